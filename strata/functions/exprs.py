@@ -181,6 +181,7 @@ def iso_to_ts(c: str | Column, tz: str | None = None) -> Column:
     """
     raw = col_(c)
     ts = F.coalesce(
+        F.try_to_timestamp(raw),
         F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
         F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
         F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm")),

@@ -60,3 +60,7 @@ def _q_calendar(spark, sf_dir):
 @register("ads_weather_alert_kind", O.sql("ads_weather_alert_kind"))
 def _q_alert_kind(spark, sf_dir):
     return Warehouse(spark, sf_dir).ads_weather_alert(alert_kind=True)
+
+
+# Operator-level queries register themselves on import.
+from strata.plans import operator_queries  # noqa: E402,F401
