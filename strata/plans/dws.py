@@ -27,6 +27,7 @@ def dws_github_daily_activity(
     as_of=None,
     target: DataFrame | None = None,
     case_sensitive: bool = False,
+    merge: bool = True,
 ) -> DataFrame:
     """Per (date, type, category) distinct events, actors, repos; public/private counts.
 
@@ -54,10 +55,12 @@ def dws_github_daily_activity(
         F.count_if(F.col("is_public")).alias("public_events"),
         F.count_if(~F.col("is_public")).alias("private_events"),
     )
-    return upsert(target, _stamp(out, as_of), ["event_date", "event_type", "category"])
+    out = _stamp(out, as_of)
+    return upsert(target, out, ["event_date", "event_type", "category"]) if merge else out
 
 
-def dws_weather_daily_summary(dwd_weather: DataFrame, as_of=None, target: DataFrame | None = None) -> DataFrame:
+def dws_weather_daily_summary(dwd_weather: DataFrame, as_of=None, target: DataFrame | None = None,
+                              merge: bool = True) -> DataFrame:
     """Per day min/max/avg temperature, avg humidity, rain, count, label list."""
     src = newer_than(dwd_weather, target, "forecast_date", inclusive=True)
     out = src.groupBy("forecast_date").agg(
@@ -70,7 +73,8 @@ def dws_weather_daily_summary(dwd_weather: DataFrame, as_of=None, target: DataFr
         # Distinct labels sorted and comma-joined; at most 13 labels per day.
         F.array_join(F.array_sort(F.collect_set("weather_category")), ",").alias("weather_categories"),
     )
-    return upsert(target, _stamp(out, as_of), ["forecast_date"])
+    out = _stamp(out, as_of)
+    return upsert(target, out, ["forecast_date"]) if merge else out
 
 
 def category_metrics(products: DataFrame) -> DataFrame:
@@ -108,10 +112,14 @@ def dws_ecommerce_category_daily(
     )
 
 
-def dws_order_daily_summary(dwd_orders: DataFrame, as_of=None, target: DataFrame | None = None) -> DataFrame:
+def dws_order_daily_summary(dwd_orders: DataFrame, as_of=None, target: DataFrame | None = None,
+                            merge: bool = True) -> DataFrame:
     """Per (day, status) orders, customers, revenue, average and channel counts.
 
     The upsert key is the day alone (I5): a re-opened day replaces all its rows.
+    ``merge=False`` returns only the re-opened days, for a sink that replaces
+    day partitions (``strata.sources.ingest.write_partitions``); the same holds
+    for the other two day-keyed models.
     """
     src = newer_than(dwd_orders, target, "order_date_key", inclusive=True)
     out = src.groupBy("order_date_key", "order_status").agg(
@@ -123,7 +131,8 @@ def dws_order_daily_summary(dwd_orders: DataFrame, as_of=None, target: DataFrame
         F.count_if(F.col("payment_channel") == "e_wallet").alias("ewallet_orders"),
         F.count_if(F.col("payment_channel") == "bank_transfer").alias("bank_transfer_orders"),
     )
-    return upsert(target, _stamp(out, as_of), ["order_date_key"])
+    out = _stamp(out, as_of)
+    return upsert(target, out, ["order_date_key"]) if merge else out
 
 
 def customer_order_totals(dwd_orders: DataFrame) -> DataFrame:

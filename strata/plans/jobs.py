@@ -20,7 +20,9 @@ from strata.plans import ads, dwd, dws, ods
 from strata.plans import suite as S
 from strata.session import configure
 from strata.sources import adapters
-from strata.sources.ingest import append_raw, load_seed, read_current, table_root, write_table
+from strata.sources.ingest import (
+    append_raw, load_seed, read_current, read_partitioned, table_root, write_partitions, write_table,
+)
 
 DOMAINS = list(adapters.RAW)
 
@@ -35,6 +37,14 @@ DOWNSTREAM = {
 }
 
 
+# Day-keyed DWS tables: stored partitioned by day, refreshed by replacing days.
+DAY_PARTITIONED = {
+    "dws_github_daily_activity": "event_date",
+    "dws_weather_daily_summary": "forecast_date",
+    "dws_order_daily_summary": "order_date_key",
+}
+
+
 @dataclass
 class RunResult:
     written: dict[str, str]
@@ -56,6 +66,8 @@ class Job:
 
     # --- table access --------------------------------------------------------------
     def current(self, layer: str, name: str) -> DataFrame | None:
+        if name in DAY_PARTITIONED:
+            return read_partitioned(self.spark, self.base, layer, name, DAY_PARTITIONED[name])
         return read_current(self.spark, table_root(self.base, layer, name))
 
     def save(self, df: DataFrame, layer: str, name: str) -> DataFrame:
@@ -83,17 +95,24 @@ class Job:
     def refresh_dws(self, name: str) -> DataFrame:
         target = self.current("dws", name)
         d = lambda x: self.current("dwd", f"dwd_{x}")
+        by_day = name in DAY_PARTITIONED
         if name == "dws_github_daily_activity":
-            out = dws.dws_github_daily_activity(d("github_events"), self.seed(), as_of=self.as_of, target=target)
+            out = dws.dws_github_daily_activity(d("github_events"), self.seed(), as_of=self.as_of, target=target,
+                                                merge=not by_day)
         elif name == "dws_weather_daily_summary":
-            out = dws.dws_weather_daily_summary(d("weather_forecast"), as_of=self.as_of, target=target)
+            out = dws.dws_weather_daily_summary(d("weather_forecast"), as_of=self.as_of, target=target,
+                                                merge=not by_day)
         elif name == "dws_ecommerce_category_daily":
             out = dws.dws_ecommerce_category_daily(d("ecommerce_products"), as_of=self.as_of, target=target)
         elif name == "dws_order_daily_summary":
-            out = dws.dws_order_daily_summary(d("business_orders"), as_of=self.as_of, target=target)
+            out = dws.dws_order_daily_summary(d("business_orders"), as_of=self.as_of, target=target,
+                                              merge=not by_day)
         else:
             out = dws.dws_customer_order_summary(d("business_orders"), d("business_customers"), as_of=self.as_of,
                                                  target=target)
+        if by_day:
+            self.written[name] = write_partitions(out, self.base, "dws", name, DAY_PARTITIONED[name])
+            return self.current("dws", name)
         return self.save(out, "dws", name)
 
     def refresh_ads(self, name: str) -> DataFrame:
