@@ -3,6 +3,9 @@
 Each model reads its ODS frame, optionally only the rows newer than the
 target's high-watermark (I1), cleans and filters, keeps the latest row per
 key (W5) and, given the current target, returns the upserted table (I4).
+``merge=False`` returns only the batch, for the partition-rewriting sink
+(``strata.sources.ingest.upsert_partitions``); ``since`` passes a recorded
+watermark instead of reading the target's max.
 """
 
 from __future__ import annotations
@@ -15,19 +18,25 @@ from strata.operators.dedup import latest_by_key
 from strata.operators.incremental import newer_than, upsert
 
 
-def _finish(cleaned: DataFrame, key: str, as_of, target: DataFrame | None, policy: str = "sync_all_columns") -> DataFrame:
+def _finish(cleaned: DataFrame, key: str, as_of, target: DataFrame | None, merge: bool = True,
+            policy: str = "sync_all_columns") -> DataFrame:
     latest = latest_by_key(cleaned, [key])
     out = latest.withColumn("_dwd_processed_at", X.ts_literal(as_of))
-    return upsert(target, out, [key], policy=policy)
+    return upsert(target, out, [key], policy=policy) if merge else out
 
 
-def _source(ods: DataFrame, target: DataFrame | None) -> DataFrame:
+def _source(ods: DataFrame, target: DataFrame | None, since=None) -> DataFrame:
+    """Rows newer than ``since`` (a recorded watermark) or than the target's max."""
+    if since is not None:
+        return ods.where(F.col("_ingested_at") > F.lit(since).cast("timestamp_ntz"))
     return newer_than(ods, target, "_ingested_at")
 
 
-def dwd_github_events(ods: DataFrame, as_of=None, target: DataFrame | None = None) -> DataFrame:
+def dwd_github_events(
+    ods: DataFrame, as_of=None, target: DataFrame | None = None, since=None, merge: bool = True
+) -> DataFrame:
     """M7: upper type, owner/repo split, day and hour buckets, ``/`` required."""
-    src = _source(ods, target)
+    src = _source(ods, target, since)
     cleaned = src.where(
         F.col("event_id").isNotNull()
         & F.col("event_type").isNotNull()
@@ -48,12 +57,14 @@ def dwd_github_events(ods: DataFrame, as_of=None, target: DataFrame | None = Non
         "source_system",
         "_ingested_at",
     )
-    return _finish(cleaned, "event_id", as_of, target)
+    return _finish(cleaned, "event_id", as_of, target, merge)
 
 
-def dwd_weather_forecast(ods: DataFrame, as_of=None, target: DataFrame | None = None) -> DataFrame:
+def dwd_weather_forecast(
+    ods: DataFrame, as_of=None, target: DataFrame | None = None, since=None, merge: bool = True
+) -> DataFrame:
     """M8: day bucket and weather label (twelve ranges + unknown)."""
-    src = _source(ods, target)
+    src = _source(ods, target, since)
     cleaned = src.where(F.col("forecast_time").isNotNull()).select(
         "forecast_time",
         "temperature_2m",
@@ -65,12 +76,14 @@ def dwd_weather_forecast(ods: DataFrame, as_of=None, target: DataFrame | None =
         "source_system",
         "_ingested_at",
     )
-    return _finish(cleaned, "forecast_time", as_of, target)
+    return _finish(cleaned, "forecast_time", as_of, target, merge)
 
 
-def dwd_ecommerce_products(ods: DataFrame, as_of=None, target: DataFrame | None = None) -> DataFrame:
+def dwd_ecommerce_products(
+    ods: DataFrame, as_of=None, target: DataFrame | None = None, since=None, merge: bool = True
+) -> DataFrame:
     """M9: rounded price and rating, rating tier on the unrounded rating, brand default."""
-    src = _source(ods, target)
+    src = _source(ods, target, since)
     cleaned = src.where(
         F.col("product_id").isNotNull() & F.col("product_title").isNotNull() & F.col("price").isNotNull()
     ).select(
@@ -88,15 +101,17 @@ def dwd_ecommerce_products(ods: DataFrame, as_of=None, target: DataFrame | None
         "source_system",
         "_ingested_at",
     )
-    return _finish(cleaned, "product_id", as_of, target)
+    return _finish(cleaned, "product_id", as_of, target, merge)
 
 
-def dwd_business_customers(ods: DataFrame, as_of=None, target: DataFrame | None = None) -> DataFrame:
+def dwd_business_customers(
+    ods: DataFrame, as_of=None, target: DataFrame | None = None, since=None, merge: bool = True
+) -> DataFrame:
     """Trims, lower email/type, first blank removed from phone, name required.
 
     The name filter sees the untrimmed name, so ``'  '`` passes and becomes ``''``.
     """
-    src = _source(ods, target)
+    src = _source(ods, target, since)
     cleaned = src.where(
         F.col("customer_id").isNotNull() & F.col("customer_name").isNotNull() & (F.col("customer_name") != "")
     ).select(
@@ -110,12 +125,14 @@ def dwd_business_customers(ods: DataFrame, as_of=None, target: DataFrame | None
         "source_system",
         "_ingested_at",
     )
-    return _finish(cleaned, "customer_id", as_of, target)
+    return _finish(cleaned, "customer_id", as_of, target, merge)
 
 
-def dwd_business_orders(ods: DataFrame, as_of=None, target: DataFrame | None = None) -> DataFrame:
+def dwd_business_orders(
+    ods: DataFrame, as_of=None, target: DataFrame | None = None, since=None, merge: bool = True
+) -> DataFrame:
     """Day key, status, payment channel and method, currency default, amount >= 0."""
-    src = _source(ods, target)
+    src = _source(ods, target, since)
     cleaned = src.where(
         F.col("order_id").isNotNull()
         & F.col("customer_id").isNotNull()
@@ -134,12 +151,14 @@ def dwd_business_orders(ods: DataFrame, as_of=None, target: DataFrame | None = N
         "source_system",
         "_ingested_at",
     )
-    return _finish(cleaned, "order_id", as_of, target)
+    return _finish(cleaned, "order_id", as_of, target, merge)
 
 
-def dwd_business_order_items(ods: DataFrame, as_of=None, target: DataFrame | None = None) -> DataFrame:
+def dwd_business_order_items(
+    ods: DataFrame, as_of=None, target: DataFrame | None = None, since=None, merge: bool = True
+) -> DataFrame:
     """Line total from the unrounded price, positive quantity, discount default 0."""
-    src = _source(ods, target)
+    src = _source(ods, target, since)
     cleaned = src.where(
         F.col("item_id").isNotNull()
         & F.col("order_id").isNotNull()
@@ -157,4 +176,4 @@ def dwd_business_order_items(ods: DataFrame, as_of=None, target: DataFrame | Non
         "source_system",
         "_ingested_at",
     )
-    return _finish(cleaned, "item_id", as_of, target)
+    return _finish(cleaned, "item_id", as_of, target, merge)

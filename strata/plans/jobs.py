@@ -1,11 +1,18 @@
 """End-to-end jobs.
 
 ``run_all`` refreshes every domain layer by layer: raw is appended, ODS is a
-view over it, DWD and DWS are upserted against their current version, ADS is
-rewritten, then the check suite, the count snapshot and drift, and the
-summary run. Each layer is written (a new version under ``out_base``) and read
-back by the next, so lineage is cut at every layer and a lost executor only
-re-runs the layer being written.
+view over it, DWD and the day-keyed DWS tables are upserted partition by
+partition, the other DWS tables and ADS are written as new table versions,
+then the check suite, the count snapshot and drift, and the summary run.
+Each layer is written and read back by the next, so lineage is cut at every
+layer and a lost executor only re-runs the layer being written.
+
+Partitioned tables (DWD, day-keyed DWS) are stored under a hidden
+``_part_date`` column: the day (or month, ``grain="month"``, for small
+volumes) of a time column that is stable per key. An incremental run reads
+and rewrites only the partitions its batch touches. Their watermark is a
+marker written after the data commit, so a run that died during the commit
+is redone whole by the next run.
 """
 
 from __future__ import annotations
@@ -13,18 +20,41 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators import monitor, quality, report
+from strata.operators.incremental import max_value
 from strata.plans import ads, dwd, dws, ods
 from strata.plans import suite as S
 from strata.session import configure
 from strata.sources import adapters
 from strata.sources.ingest import (
-    append_raw, load_seed, read_current, read_partitioned, table_root, write_partitions, write_table,
+    append_raw, load_seed, read_current, read_partitioned, read_watermark, table_root, upsert_partitions,
+    write_table, write_watermark,
 )
 
 DOMAINS = list(adapters.RAW)
+PART = "_part_date"
+
+# Partitioned tables: (upsert keys, time column that places a row in a partition).
+# DWD keys are stable in their event time; rows without one go by load time.
+# Day-keyed DWS tables use the day as a coarse key: re-opened days are replaced whole.
+PARTITIONED = {
+    "dwd_github_events": (["event_id"], "event_date"),
+    "dwd_weather_forecast": (["forecast_time"], "forecast_date"),
+    "dwd_business_orders": (["order_id"], "order_date_key"),
+    "dwd_business_order_items": (["item_id"], "_ingested_at"),
+    "dwd_business_customers": (["customer_id"], "_ingested_at"),
+    "dwd_ecommerce_products": (["product_id"], "_ingested_at"),
+    "dws_github_daily_activity": (["event_date"], "event_date"),
+    "dws_weather_daily_summary": (["forecast_date"], "forecast_date"),
+    "dws_order_daily_summary": (["order_date_key"], "order_date_key"),
+}
+
+DWS_ORDER = ["dws_github_daily_activity", "dws_weather_daily_summary", "dws_ecommerce_category_daily",
+             "dws_order_daily_summary", "dws_customer_order_summary"]
+ADS_ORDER = ["ads_github_trending", "ads_weather_alert", "ads_ecommerce_kpi", "ads_business_kpi"]
 
 # Which DWS / ADS models each domain feeds (L2 runs one domain downstream).
 DOWNSTREAM = {
@@ -35,13 +65,18 @@ DOWNSTREAM = {
     "business_orders": (["dws_order_daily_summary", "dws_customer_order_summary"], ["ads_business_kpi"]),
     "business_order_items": ([], []),
 }
-
-
-# Day-keyed DWS tables: stored partitioned by day, refreshed by replacing days.
-DAY_PARTITIONED = {
-    "dws_github_daily_activity": "event_date",
-    "dws_weather_daily_summary": "forecast_date",
-    "dws_order_daily_summary": "order_date_key",
+DWS_INPUTS = {
+    "dws_github_daily_activity": ["github_events"],
+    "dws_weather_daily_summary": ["weather_forecast"],
+    "dws_ecommerce_category_daily": ["ecommerce_products"],
+    "dws_order_daily_summary": ["business_orders"],
+    "dws_customer_order_summary": ["business_orders", "business_customers"],
+}
+ADS_INPUTS = {
+    "ads_github_trending": ["dws_github_daily_activity"],
+    "ads_weather_alert": ["dwd_weather_forecast"],
+    "ads_ecommerce_kpi": ["dws_ecommerce_category_daily"],
+    "ads_business_kpi": ["dws_customer_order_summary", "dws_order_daily_summary"],
 }
 
 
@@ -53,21 +88,28 @@ class RunResult:
     drift: DataFrame | None
 
 
+def _layer(name: str) -> str:
+    return name.split("_", 1)[0]
+
+
 class Job:
     def __init__(self, spark: SparkSession, out_base: str, as_of: _dt.datetime | None = None,
-                 seed: DataFrame | None = None, now: _dt.datetime | None = None, today: _dt.date | None = None):
+                 seed: DataFrame | None = None, now: _dt.datetime | None = None, today: _dt.date | None = None,
+                 grain: str = "day"):
         self.spark = configure(spark)
         self.base = out_base
         self.as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         self.now = now or self.as_of
         self.today = today or self.as_of.date()
+        self.grain = grain
         self._seed = seed
         self.written: dict[str, str] = {}
 
     # --- table access --------------------------------------------------------------
-    def current(self, layer: str, name: str) -> DataFrame | None:
-        if name in DAY_PARTITIONED:
-            return read_partitioned(self.spark, self.base, layer, name, DAY_PARTITIONED[name])
+    def current(self, layer: str, name: str, internal: bool = False) -> DataFrame | None:
+        if name in PARTITIONED:
+            df = read_partitioned(self.spark, self.base, layer, name, PART)
+            return df if df is None or internal else df.drop(PART)
         return read_current(self.spark, table_root(self.base, layer, name))
 
     def save(self, df: DataFrame, layer: str, name: str) -> DataFrame:
@@ -77,6 +119,29 @@ class Job:
     def seed(self) -> DataFrame:
         return self._seed if self._seed is not None else load_seed(self.spark)
 
+    def _part(self, time_col: str) -> Column:
+        day = F.to_date(F.col(time_col))
+        return F.trunc(day, "MM") if self.grain == "month" else day
+
+    def _upsert(self, name: str, batch: DataFrame, mark) -> DataFrame:
+        """Rewrite the partitions ``batch`` touches; record the watermark after the commit."""
+        keys, time_col = PARTITIONED[name]
+        layer = _layer(name)
+        target = self.current(layer, name, internal=True)
+        path = upsert_partitions(target, batch.withColumn(PART, self._part(time_col)), keys,
+                                 self.base, layer, name, PART)
+        self.written[name] = path
+        if mark is not None:
+            write_watermark(self.spark, self.base, layer, name, mark)
+        return self.current(layer, name)
+
+    def _mark(self, name: str, column: str, target: DataFrame | None):
+        """Recorded watermark, else (first run of an existing table) the table's max."""
+        mark = read_watermark(self.spark, self.base, _layer(name), name)
+        if mark is None and target is not None:
+            mark = max_value(target, column, default=None)
+        return mark
+
     # --- layers ----------------------------------------------------------------------
     def land(self, domain: str, frame: DataFrame) -> None:
         """Append one load of a domain to its raw table."""
@@ -87,32 +152,36 @@ class Job:
         return getattr(ods, f"ods_{domain}")(raw)
 
     def refresh_dwd(self, domain: str) -> DataFrame:
+        """I1 + W5 + I4: the rows loaded since the recorded watermark, upserted by key."""
         name = f"dwd_{domain}"
-        target = self.current("dwd", name)
-        out = getattr(dwd, name)(self.ods(domain), as_of=self.as_of, target=target)
-        return self.save(out, "dwd", name)
+        since = self._mark(name, "_ingested_at", self.current("dwd", name))
+        batch = getattr(dwd, name)(self.ods(domain), as_of=self.as_of, since=since, merge=False)
+        return self._upsert(name, batch, max_value(batch, "_ingested_at", default=since))
 
     def refresh_dws(self, name: str) -> DataFrame:
-        target = self.current("dws", name)
         d = lambda x: self.current("dwd", f"dwd_{x}")
-        by_day = name in DAY_PARTITIONED
-        if name == "dws_github_daily_activity":
-            out = dws.dws_github_daily_activity(d("github_events"), self.seed(), as_of=self.as_of, target=target,
-                                                merge=not by_day)
-        elif name == "dws_weather_daily_summary":
-            out = dws.dws_weather_daily_summary(d("weather_forecast"), as_of=self.as_of, target=target,
-                                                merge=not by_day)
-        elif name == "dws_ecommerce_category_daily":
+        if name in PARTITIONED:
+            day = PARTITIONED[name][1]
+            since = self._mark(name, day, self.current("dws", name))
+            # The recorded last day is re-opened; a one-row frame carries the mark.
+            mark_frame = None if since is None else self.spark.range(1).select(
+                F.lit(since).cast("timestamp_ntz").alias(day))
+            if name == "dws_github_daily_activity":
+                batch = dws.dws_github_daily_activity(d("github_events"), self.seed(), as_of=self.as_of,
+                                                      target=mark_frame, merge=False)
+            elif name == "dws_weather_daily_summary":
+                batch = dws.dws_weather_daily_summary(d("weather_forecast"), as_of=self.as_of, target=mark_frame,
+                                                      merge=False)
+            else:
+                batch = dws.dws_order_daily_summary(d("business_orders"), as_of=self.as_of, target=mark_frame,
+                                                    merge=False)
+            return self._upsert(name, batch, max_value(batch, day, default=since))
+        target = self.current("dws", name)
+        if name == "dws_ecommerce_category_daily":
             out = dws.dws_ecommerce_category_daily(d("ecommerce_products"), as_of=self.as_of, target=target)
-        elif name == "dws_order_daily_summary":
-            out = dws.dws_order_daily_summary(d("business_orders"), as_of=self.as_of, target=target,
-                                              merge=not by_day)
         else:
             out = dws.dws_customer_order_summary(d("business_orders"), d("business_customers"), as_of=self.as_of,
                                                  target=target)
-        if by_day:
-            self.written[name] = write_partitions(out, self.base, "dws", name, DAY_PARTITIONED[name])
-            return self.current("dws", name)
         return self.save(out, "dws", name)
 
     def refresh_ads(self, name: str) -> DataFrame:
@@ -131,10 +200,9 @@ class Job:
     def tables(self, models: list[str] | None = None) -> dict[str, DataFrame]:
         wanted = (lambda n: True) if models is None else (lambda n: n in models)
         out = {f"ods_{d}": self.ods(d) for d in DOMAINS if wanted(f"ods_{d}")}
-        for layer in ("dwd", "dws", "ads"):
-            for name in self.written:
-                if name.startswith(layer + "_") and wanted(name):
-                    out[name] = self.current(layer, name)
+        for name in self.written:
+            if _layer(name) in ("dwd", "dws", "ads") and name in S.FULL_SUITE and wanted(name):
+                out[name] = self.current(_layer(name), name)
         return out
 
     def check(self, models: list[str] | None = None) -> DataFrame:
@@ -143,31 +211,31 @@ class Job:
         return quality.run_suite(tables, suite)
 
     def monitor(self) -> DataFrame | None:
+        """Q10 + I8: counts of every model table, drift against yesterday, snapshot upsert."""
         tables = self.tables()
-        counted = {(name.split("_", 1)[0], name): df for name, df in tables.items() if not name.startswith("ods_")}
+        counted = {(_layer(name), name): df for name, df in tables.items() if not name.startswith("ods_")}
         counts = monitor.table_counts(counted)
         snapshot = self.current("dws", "row_count_snapshot")
         drift = None
         if snapshot is not None:
-            drift = monitor.row_count_drift(counts, snapshot, self.today, alerts_only=False)
-            drift = self.save(drift, "ads", "row_count_drift")
+            drift = self.save(monitor.row_count_drift(counts, snapshot, self.today, alerts_only=False),
+                              "ads", "row_count_drift")
         self.save(monitor.snapshot_upsert(snapshot, counts, self.today), "dws", "row_count_snapshot")
         return drift
 
 
 def run_all(spark: SparkSession, sf_dir: str, out_base: str, as_of=None, now=None, today=None,
-            seed: DataFrame | None = None, land: bool = True) -> RunResult:
+            seed: DataFrame | None = None, land: bool = True, grain: str = "day") -> RunResult:
     """L1: full refresh of all four domains, then checks, drift and summary."""
-    job = Job(spark, out_base, as_of=as_of, seed=seed, now=now, today=today)
+    job = Job(spark, out_base, as_of=as_of, seed=seed, now=now, today=today, grain=grain)
     if land:
         for domain in DOMAINS:
             job.land(domain, adapters.raw(spark, sf_dir, domain))
     for domain in DOMAINS:
         job.refresh_dwd(domain)
-    for name in ["dws_github_daily_activity", "dws_weather_daily_summary", "dws_ecommerce_category_daily",
-                 "dws_order_daily_summary", "dws_customer_order_summary"]:
+    for name in DWS_ORDER:
         job.refresh_dws(name)
-    for name in ["ads_github_trending", "ads_weather_alert", "ads_ecommerce_kpi", "ads_business_kpi"]:
+    for name in ADS_ORDER:
         job.refresh_ads(name)
     checks = job.save(job.check(), "ads", "dq_results")
     drift = job.monitor()
@@ -175,31 +243,19 @@ def run_all(spark: SparkSession, sf_dir: str, out_base: str, as_of=None, now=Non
 
 
 def run_domain(spark: SparkSession, domain: str, sf_dir: str, out_base: str, as_of=None, now=None, today=None,
-               seed: DataFrame | None = None, land: bool = True) -> RunResult:
-    """L2: one domain from its ODS view downstream, then its checks."""
-    job = Job(spark, out_base, as_of=as_of, seed=seed, now=now, today=today)
+               seed: DataFrame | None = None, land: bool = True, grain: str = "day") -> RunResult:
+    """L2: one domain from its ODS view downstream (where its other inputs exist), then its checks."""
+    job = Job(spark, out_base, as_of=as_of, seed=seed, now=now, today=today, grain=grain)
     if land:
         job.land(domain, adapters.raw(spark, sf_dir, domain))
     job.refresh_dwd(domain)
     dws_names, ads_names = DOWNSTREAM[domain]
     for name in dws_names:
-        if all(job.current("dwd", f"dwd_{d}") is not None for d in _inputs(name)):
+        if all(job.current("dwd", f"dwd_{d}") is not None for d in DWS_INPUTS[name]):
             job.refresh_dws(name)
     for name in ads_names:
-        try:
+        if all(job.current(_layer(t), t) is not None for t in ADS_INPUTS[name]):
             job.refresh_ads(name)
-        except Exception:  # an upstream table of another domain is missing yet
-            continue
     models = [f"ods_{domain}", f"dwd_{domain}", *dws_names, *ads_names]
     checks = job.check(models)
     return RunResult(job.written, checks, report.summarize(checks), None)
-
-
-def _inputs(dws_name: str) -> list[str]:
-    return {
-        "dws_github_daily_activity": ["github_events"],
-        "dws_weather_daily_summary": ["weather_forecast"],
-        "dws_ecommerce_category_daily": ["ecommerce_products"],
-        "dws_order_daily_summary": ["business_orders"],
-        "dws_customer_order_summary": ["business_orders", "business_customers"],
-    }[dws_name]

@@ -182,20 +182,103 @@ def write_partitions(df: DataFrame, base: str, layer: str, name: str, partition_
         .partitionBy(partition_col)
         .parquet(path)
     )
+    _write_text(df.sparkSession, f"{table_root(base, layer, name)}/_COLUMNS", ",".join(df.columns))
     return path
 
 
 def read_partitioned(spark: SparkSession, base: str, layer: str, name: str, partition_col: str) -> DataFrame | None:
-    """Read a day-partitioned table; the day column comes back as TIMESTAMP_NTZ, first."""
+    """Read a day-partitioned table; the day column comes back first, as TIMESTAMP_NTZ
+    (or DATE for an internal ``_..._date`` partition column)."""
     path = f"{table_root(base, layer, name)}/data"
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):
         return None
     inferred = spark.read.parquet(path).schema
-    fields = [T.StructField(f.name, T.TimestampNTZType() if f.name == partition_col else f.dataType, True)
+    part_type = T.DateType() if partition_col.endswith("_date") and partition_col.startswith("_") else T.TimestampNTZType()
+    fields = [T.StructField(f.name, part_type if f.name == partition_col else f.dataType, True)
               for f in inferred.fields]
     df = spark.read.schema(T.StructType(fields)).parquet(path)
-    return df.select(partition_col, *[c for c in df.columns if c != partition_col])
+    order = _read_text(spark, f"{table_root(base, layer, name)}/_COLUMNS")
+    cols = order.split(",") if order else [partition_col] + [c for c in df.columns if c != partition_col]
+    return df.select(*[c for c in cols if c in df.columns])
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small text file: write a temporary file, then rename it into place."""
+    fs, jpath = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(jpath.getParent(), f".{jpath.getName()}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(jpath):
+        fs.delete(jpath, False)
+    fs.rename(tmp, jpath)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, jpath = _fs(spark, path)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        jvm = spark.sparkContext._jvm
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return (reader.readLine() or "").strip()
+    finally:
+        stream.close()
+
+
+def read_watermark(spark: SparkSession, base: str, layer: str, name: str) -> _dt.datetime | None:
+    """The high-watermark recorded after the table's last successful refresh."""
+    text = _read_text(spark, f"{table_root(base, layer, name)}/_WATERMARK")
+    return _dt.datetime.fromisoformat(text) if text else None
+
+
+def write_watermark(spark: SparkSession, base: str, layer: str, name: str, value: _dt.datetime) -> None:
+    _write_text(spark, f"{table_root(base, layer, name)}/_WATERMARK", value.isoformat())
+
+
+def upsert_partitions(
+    target: DataFrame | None,
+    batch: DataFrame,
+    keys: Sequence[str],
+    base: str,
+    layer: str,
+    name: str,
+    partition_col: str,
+) -> str:
+    """I4 on disk, rewriting only the partitions the batch touches.
+
+    Touched partitions are those the batch writes to plus those where the
+    target still holds one of the batch's keys (a key that moved partition
+    is deleted from its old one). Each touched partition is rebuilt as
+    (target rows there, minus batch keys) + batch rows there, and replaced by
+    dynamic partition overwrite; untouched partitions are neither read nor
+    written. Re-running with the same batch gives the same content.
+    """
+    from strata.operators.joins import broadcast_if_small
+
+    path = f"{table_root(base, layer, name)}/data"
+    if target is None:
+        new = batch
+    else:
+        batch_keys = broadcast_if_small(batch.select(*keys).distinct())
+        moved = target.join(batch_keys, list(keys), "left_semi").select(partition_col)
+        touched = broadcast_if_small(batch.select(partition_col).unionByName(moved).distinct())
+        kept = target.join(touched, partition_col, "left_semi").join(batch_keys, list(keys), "left_anti")
+        new = kept.unionByName(batch.select(*target.columns))
+    (
+        new.repartition(partition_col)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )
+    _write_text(batch.sparkSession, f"{table_root(base, layer, name)}/_COLUMNS", ",".join(batch.columns))
+    return path
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:

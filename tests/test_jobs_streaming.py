@@ -9,7 +9,7 @@ from conftest import SF001
 from strata.plans import jobs
 from strata.plans.catalog import Warehouse
 from strata.sources import adapters
-from strata.sources.ingest import read_current, table_root
+from strata.sources.ingest import read_current, table_root  # noqa: F401
 from strata.streaming import events as S
 
 AS_OF = dt.datetime(2024, 1, 31)
@@ -17,13 +17,16 @@ AS_OF = dt.datetime(2024, 1, 31)
 
 def test_run_all_twice_is_stable(spark, scratch):
     base = os.path.join(scratch, "wh")
-    r1 = jobs.run_all(spark, SF001, base, as_of=AS_OF, now=dt.datetime(2024, 1, 15), today=dt.date(2024, 1, 30))
+    r1 = jobs.run_all(spark, SF001, base, as_of=AS_OF, now=dt.datetime(2024, 1, 15), today=dt.date(2024, 1, 30),
+                      grain="month")
     assert r1.summary.first()["total"] > 50
-    orders1 = read_current(spark, table_root(base, "dwd", "dwd_business_orders"))
+    job = jobs.Job(spark, base, grain="month")
+    orders1 = job.current("dwd", "dwd_business_orders")
     n1 = orders1.count()
     # second run appends the same load again (raw repeats keys); DWD stays one row per key
-    r2 = jobs.run_all(spark, SF001, base, as_of=AS_OF, now=dt.datetime(2024, 1, 15), today=dt.date(2024, 1, 31))
-    orders2 = read_current(spark, table_root(base, "dwd", "dwd_business_orders"))
+    r2 = jobs.run_all(spark, SF001, base, as_of=AS_OF, now=dt.datetime(2024, 1, 15), today=dt.date(2024, 1, 31),
+                      grain="month")
+    orders2 = job.current("dwd", "dwd_business_orders")
     assert orders2.count() == n1
     assert r2.drift is not None
     ods_unique = r2.checks.where("model = 'ods_business_orders' AND test_name = 'unique'").first()
@@ -34,7 +37,8 @@ def test_run_all_twice_is_stable(spark, scratch):
 
 def test_run_domain(spark, scratch):
     base = os.path.join(scratch, "wh")
-    r = jobs.run_domain(spark, "weather_forecast", SF001, base, as_of=AS_OF, now=dt.datetime(2024, 1, 15))
+    r = jobs.run_domain(spark, "weather_forecast", SF001, base, as_of=AS_OF, now=dt.datetime(2024, 1, 15),
+                       grain="month")
     assert "dws_weather_daily_summary" in r.written and "ads_weather_alert" in r.written
 
 
@@ -84,26 +88,61 @@ def test_stream_land_dedup_and_daily_counts(spark, scratch):
 
 
 def test_day_partitions_replace_only_reopened_days(spark, scratch):
-    """I2 + I5 on disk: a second run rewrites the re-opened days, keeps older days' files."""
+    """I2 + I5 on disk: the second run rewrites the partitions of re-opened days only."""
     import glob
+
     from strata.plans import dws
 
     base = os.path.join(scratch, "wh")
-    job = jobs.Job(spark, base, as_of=AS_OF)
-    w = Warehouse(spark, SF001, as_of=AS_OF)
-    dwd_orders = w.dwd("business_orders")
+    job = jobs.Job(spark, base, as_of=AS_OF, grain="month")
+    orders = adapters.raw_orders(spark, SF001)
     cut = dt.datetime(1998, 1, 1)
-    first = dws.dws_order_daily_summary(dwd_orders.where(dwd_orders.order_date < cut), as_of=AS_OF)
-    from strata.sources.ingest import write_partitions
-    write_partitions(first, base, "dws", "dws_order_daily_summary", "order_date_key")
+    job.land("business_orders", orders.where(orders._ingested_at < cut))
+    job.refresh_dwd("business_orders")
+    job.refresh_dws("dws_order_daily_summary")
     root = os.path.join(base, "dws", "dws_order_daily_summary", "data")
     before = {p: os.path.getmtime(p) for p in glob.glob(os.path.join(root, "*", "*.parquet"))}
-    target = job.current("dws", "dws_order_daily_summary")
-    batch = dws.dws_order_daily_summary(dwd_orders, as_of=AS_OF, target=target, merge=False)
-    write_partitions(batch, base, "dws", "dws_order_daily_summary", "order_date_key")
-    after = job.current("dws", "dws_order_daily_summary")
-    full = dws.dws_order_daily_summary(dwd_orders, as_of=AS_OF)
+    job.land("business_orders", orders.where(orders._ingested_at >= cut))
+    job.refresh_dwd("business_orders")
+    after = job.refresh_dws("dws_order_daily_summary")
+    full = dws.dws_order_daily_summary(Warehouse(spark, SF001).dwd("business_orders"), as_of=AS_OF)
     assert after.columns == full.columns
     assert after.exceptAll(full).count() == 0 and full.exceptAll(after).count() == 0
-    kept = [p for p in before if os.path.exists(p)]
-    assert kept and len(kept) < len(before)          # old days untouched, the last stored day rewritten
+    untouched = [p for p in before if os.path.exists(p) and os.path.getmtime(p) == before[p]]
+    assert untouched and len(untouched) < len(before)
+
+
+def test_dwd_partitions_and_retry_after_partial_commit(spark, scratch):
+    """I1 + I4 on disk: a batch rewrites only the partitions it touches; a retry without the
+    watermark marker (a run that died after its data commit) gives the same table."""
+    import glob
+
+    from strata.sources.ingest import read_watermark, write_watermark
+
+    base = os.path.join(scratch, "wh")
+    job = jobs.Job(spark, base, as_of=AS_OF, grain="month")
+    cut = dt.datetime(1998, 1, 1)
+    # orders: keys keep their order date, so older months are not touched by a newer batch
+    orders = adapters.raw_orders(spark, SF001)
+    job.land("business_orders", orders.where(orders._ingested_at < cut))
+    job.refresh_dwd("business_orders")
+    oroot = os.path.join(base, "dwd", "dwd_business_orders", "data")
+    before = {p: os.path.getmtime(p) for p in glob.glob(os.path.join(oroot, "*", "*.parquet"))}
+    job.land("business_orders", orders.where(orders._ingested_at >= cut))
+    job.refresh_dwd("business_orders")
+    assert all(os.path.exists(p) and os.path.getmtime(p) == t for p, t in before.items())
+    # items: repeated keys move between load months; the old row must go wherever it is
+    items = adapters.raw_order_items(spark, SF001)
+    job.land("business_order_items", items.where(items._ingested_at < cut))
+    job.refresh_dwd("business_order_items")
+    old_mark = read_watermark(spark, base, "dwd", "dwd_business_order_items")
+    job.land("business_order_items", items.where(items._ingested_at >= cut))
+    first = job.refresh_dwd("business_order_items")
+    full = Warehouse(spark, SF001, as_of=AS_OF).dwd("business_order_items")
+    assert first.columns == full.columns
+    assert first.exceptAll(full).count() == 0 and full.exceptAll(first).count() == 0
+    # a crash between the data commit and the marker leaves the old marker: the batch is redone
+    write_watermark(spark, base, "dwd", "dwd_business_order_items", old_mark)
+    again = job.refresh_dwd("business_order_items")
+    assert again.exceptAll(full).count() == 0 and full.exceptAll(again).count() == 0
+    assert read_watermark(spark, base, "dwd", "dwd_business_order_items") > old_mark
