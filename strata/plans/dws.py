@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
-from strata.operators.incremental import newer_than, recompute_changed, upsert
-from strata.operators.joins import lookup_join
+from strata.operators.incremental import max_value, newer_than, recompute_changed, upsert
+from strata.operators.joins import broadcast_if_small, lookup_join
 
 
 def _stamp(df: DataFrame, as_of) -> DataFrame:
@@ -117,9 +117,9 @@ def dws_order_daily_summary(dwd_orders: DataFrame, as_of=None, target: DataFrame
     """Per (day, status) orders, customers, revenue, average and channel counts.
 
     The upsert key is the day alone (I5): a re-opened day replaces all its rows.
-    ``merge=False`` returns only the re-opened days, for a sink that replaces
-    day partitions (``strata.sources.ingest.write_partitions``); the same holds
-    for the other two day-keyed models.
+    ``merge=False`` returns only the re-opened days, for the sink that
+    rewrites the touched partitions (``strata.sources.ingest.upsert_partitions``);
+    the same holds for the other two day-keyed models.
     """
     src = newer_than(dwd_orders, target, "order_date_key", inclusive=True)
     out = src.groupBy("order_date_key", "order_status").agg(
@@ -180,3 +180,33 @@ def dws_customer_order_summary(
         X.tier("total_revenue", X.CUSTOMER_TIERS, X.CUSTOMER_DEFAULT).alias("customer_tier"),
     )
     return upsert(target, _stamp(out, as_of), ["customer_id"])
+
+
+def dws_customer_order_summary_changed(
+    dwd_orders: DataFrame,
+    dwd_customers: DataFrame,
+    target: DataFrame | None,
+    as_of=None,
+) -> DataFrame:
+    """M17 incrementally: the same table as the full recompute merged by key.
+
+    Only customers with an order or a customer row processed after the
+    target's last run are re-aggregated, over ALL their orders (I3 applied to
+    I9); the rest of the target is kept. Requires processing stamps that grow
+    from run to run (``as_of`` is the run clock), which the DWD upserts keep.
+    """
+    if target is None:
+        return dws_customer_order_summary(dwd_orders, dwd_customers, as_of=as_of)
+    since = F.lit(max_value(target, "_dws_processed_at")).cast("timestamp_ntz")
+    touched = (
+        dwd_orders.where(F.col("_dwd_processed_at") > since).select("customer_id")
+        .unionByName(dwd_customers.where(F.col("_dwd_processed_at") > since).select("customer_id"))
+        .distinct()
+    )
+    touched = broadcast_if_small(touched)
+    return dws_customer_order_summary(
+        dwd_orders.join(touched, "customer_id", "left_semi"),
+        dwd_customers.join(touched, "customer_id", "left_semi"),
+        as_of=as_of,
+        target=target,
+    )

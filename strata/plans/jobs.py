@@ -180,8 +180,8 @@ class Job:
         if name == "dws_ecommerce_category_daily":
             out = dws.dws_ecommerce_category_daily(d("ecommerce_products"), as_of=self.as_of, target=target)
         else:
-            out = dws.dws_customer_order_summary(d("business_orders"), d("business_customers"), as_of=self.as_of,
-                                                 target=target)
+            out = dws.dws_customer_order_summary_changed(d("business_orders"), d("business_customers"), target,
+                                                         as_of=self.as_of)
         return self.save(out, "dws", name)
 
     def refresh_ads(self, name: str) -> DataFrame:

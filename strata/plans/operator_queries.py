@@ -286,6 +286,38 @@ def q_full_recompute_merge(spark, sf_dir):
                                           target=first)
 
 
+O.rel("dwd_orders_1", O.dwd_body("dwd_business_orders", "ods_business_orders_first", _sql_ts(AS_OF_FIRST)),
+      ["ods_business_orders_first"])
+O.rel("dwd_orders_2", O.dwd_body(
+    "dwd_business_orders",
+    "(SELECT * FROM ods_business_orders WHERE _ingested_at > (SELECT max(_ingested_at) FROM dwd_orders_1))"),
+    ["ods_business_orders", "dwd_orders_1"])
+O.rel("dwd_customers_1", O.dwd_body("dwd_business_customers", "ods_business_customers", _sql_ts(AS_OF_FIRST)),
+      ["ods_business_customers"])
+O.rel("dws_customers_1", O.CUSTOMER_AGG.format(orders="dwd_orders_1", customers="dwd_customers_1")
+      .replace(O.AS_OF + " AS _dws_processed_at", _sql_ts(AS_OF_FIRST) + " AS _dws_processed_at"),
+      ["dwd_orders_1", "dwd_customers_1"])
+O.rel("dwd_orders_all", "SELECT * FROM dwd_orders_1 UNION ALL SELECT * FROM dwd_orders_2",
+      ["dwd_orders_1", "dwd_orders_2"])
+O.rel("touched_customers", "SELECT DISTINCT customer_id FROM dwd_orders_2", ["dwd_orders_2"])
+
+
+@register("changed_customers_merge", O.sql(
+    "SELECT * FROM dws_customers_1 WHERE customer_id NOT IN (SELECT customer_id FROM touched_customers) UNION ALL "
+    + O.CUSTOMER_AGG.format(
+        orders="(SELECT * FROM dwd_orders_all WHERE customer_id IN (SELECT customer_id FROM touched_customers))",
+        customers="dwd_customers_1"),
+    ["dws_customers_1", "touched_customers", "dwd_orders_all", "dwd_customers_1"]))
+def q_changed_customers_merge(spark, sf_dir):
+    """I9 incrementally: only customers with new orders are re-aggregated (over all their orders)."""
+    w = Warehouse(spark, sf_dir)
+    o1 = dwd.dwd_business_orders(_first(w, "business_orders"), as_of=AS_OF_FIRST)
+    c1 = dwd.dwd_business_customers(w.ods("business_customers"), as_of=AS_OF_FIRST)
+    s1 = dws.dws_customer_order_summary(o1, c1, as_of=AS_OF_FIRST)
+    o_all = dwd.dwd_business_orders(w.ods("business_orders"), as_of=AS_OF, target=o1)
+    return dws.dws_customer_order_summary_changed(o_all, c1, s1, as_of=AS_OF)
+
+
 # --- I3 / G4: changed categories ----------------------------------------------------
 _A1, _A2 = _sql_ts(AS_OF_FIRST), O.AS_OF
 O.rel("dwd_products_1", O.dwd_body("dwd_ecommerce_products", "ods_ecommerce_products_first", _A1),

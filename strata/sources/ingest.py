@@ -166,26 +166,6 @@ def write_table(df: DataFrame, base: str, layer: str, name: str, partition_by: S
     return target
 
 
-def write_partitions(df: DataFrame, base: str, layer: str, name: str, partition_col: str) -> str:
-    """S9 / I5 for day-keyed tables: replace only the partitions present in ``df``.
-
-    Dynamic partition overwrite is delete+insert by day: days in the batch are
-    rewritten whole, all other days stay untouched, so an incremental run
-    writes the re-opened days only instead of a new copy of the table. A
-    retried job rewrites the same days (idempotent).
-    """
-    path = f"{table_root(base, layer, name)}/data"
-    (
-        df.repartition(partition_col)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
-    _write_text(df.sparkSession, f"{table_root(base, layer, name)}/_COLUMNS", ",".join(df.columns))
-    return path
-
-
 def read_partitioned(spark: SparkSession, base: str, layer: str, name: str, partition_col: str) -> DataFrame | None:
     """Read a day-partitioned table; the day column comes back first, as TIMESTAMP_NTZ
     (or DATE for an internal ``_..._date`` partition column)."""
