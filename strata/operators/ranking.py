@@ -8,8 +8,8 @@ distributed prefix sum:
 
 1. histogram of distinct values (partial aggregation, so a hot value is one
    row per task before the shuffle);
-2. range-partition the histogram in rank order and freeze the partition
-   assignment with ``checkpoint()``;
+2. checkpoint the histogram, range-partition it in rank order and freeze the
+   partition assignment with ``checkpoint()``;
 3. per-partition totals (one row per partition) give each partition's
    offset; a window inside each partition gives the count before each value;
 4. ``rank = 1 + offset + count_before``; rows get their rank by an equi-join.
@@ -53,7 +53,9 @@ def value_ranks(df: DataFrame, column: str, out: str, descending: bool = True, p
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     order = order_expr(column, descending)
-    hist = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    # The histogram (one row per distinct value) is materialised once, so the
+    # input is evaluated once; range sampling and partitioning then read it.
+    hist = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     ranged = (
         hist.repartitionByRange(n, order)
         .withColumn("_pid", F.spark_partition_id())
