@@ -9,6 +9,7 @@ at run time, and skewed join partitions are split by AQE.
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -31,20 +32,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Use the cluster's ``spark.checkpoint.dir``; set ``fallback`` only when unset.
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
+    """Use the cluster's ``spark.checkpoint.dir``; set one of our own only when unset.
 
-    On a cluster the setting names a shared folder every executor can reach.
-    Tests pass a scratch folder as ``fallback``.
+    On a cluster the setting names a shared folder every executor can reach,
+    and a missing setting is an error. In local mode (tests, a laptop) an unset
+    folder falls back to ``fallback`` or a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or fallback
-    if target:
-        sc.setCheckpointDir(target)
+    target = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not target:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by all executors")
+        target = tempfile.mkdtemp(prefix="strata-ckpt-")
+    sc.setCheckpointDir(target)
     return sc.getCheckpointDir()
 
 

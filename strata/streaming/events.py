@@ -26,7 +26,6 @@ from pyspark.sql.streaming import StreamingQuery
 from strata.functions import exprs as X
 from strata.plans import dwd, ods
 from strata.session import ensure_checkpoint_dir
-from strata.sources.ingest import read_current, table_root, write_table
 
 # Raw event record as it lands (flattened API fields plus load metadata).
 RAW_EVENT_SCHEMA = T.StructType([
@@ -116,22 +115,28 @@ def clean_dedup_stream(raw_stream: DataFrame, watermark: str = "1 day", event_ti
 
 
 def upsert_batches(spark: SparkSession, landing: str, out_base: str, as_of=None,
-                   checkpoint: str | None = None) -> StreamingQuery:
+                   checkpoint: str | None = None, grain: str = "day") -> StreamingQuery:
     """Each micro-batch is cleaned by the batch model and upserted into DWD.
 
-    The batch writer stores a new table version per micro-batch; the DWD
-    model's own watermark (``_ingested_at`` newer than the table's max) makes
-    a replayed batch a no-op, so a restart after a failure is idempotent.
+    The micro-batch goes through the same partitioned upsert as the batch job
+    (``strata.plans.jobs.Job``): only the event days it touches are rewritten,
+    and the table layout is the one the batch pipeline reads. Rows not newer
+    than the recorded watermark are ignored (as in batch M7), so a replayed
+    micro-batch after a restart is a no-op.
     """
+    from strata.operators.incremental import max_value
+    from strata.plans.jobs import Job
+
     stream = read_landing_stream(spark, landing)
+    name = "dwd_github_events"
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        root = table_root(out_base, "dwd", "dwd_github_events")
-        target = read_current(batch.sparkSession, root)
-        out = dwd.dwd_github_events(typed_events(batch), as_of=as_of, target=target)
-        write_table(out, out_base, "dwd", "dwd_github_events")
+        job = Job(batch.sparkSession, out_base, as_of=as_of, grain=grain)
+        since = job._mark(name, "_ingested_at", job.current("dwd", name))
+        out = dwd.dwd_github_events(typed_events(batch), as_of=job.as_of, since=since, merge=False)
+        job._upsert(name, out, max_value(out, "_ingested_at", default=since))
 
     return (
         stream.writeStream.foreachBatch(apply)
