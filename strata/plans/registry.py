@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans import oracle as O
 from strata.plans.catalog import Warehouse
+from strata.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,8 +28,14 @@ MODELS = [
 
 
 def register(name: str, oracle_sql: str | None = None):
+    """Register a query; it runs with the warehouse's runtime settings (UTC, ANSI, AQE)
+    on whatever session the caller passes."""
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(configure(spark), sf_dir)
+
+        QUERIES[name] = run
         if oracle_sql is not None:
             ORACLE[name] = oracle_sql
         return fn

@@ -67,17 +67,6 @@ def with_layer(df: DataFrame, layer: str) -> DataFrame:
     return df.withColumn("_layer", F.lit(layer.upper()))
 
 
-def ods_view(raw: DataFrame, casts: Sequence[tuple[str, str, str]], key: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed projection with rename; rows with a null key are dropped.
-
-    ``casts`` holds (source column, Spark type, output name). The key filter is
-    on the source column, so it is pushed into the Parquet scan.
-    """
-    cols = [F.col(src).cast(typ).alias(out) for src, typ, out in casts]
-    cols += [F.col(k) for k in keep]
-    return raw.where(F.col(key).isNotNull()).select(*cols)
-
-
 def load_seed(spark: SparkSession, path: str | None = None, rows=None, schema: T.StructType = SEED_SCHEMA) -> DataFrame:
     """A small dimension from CSV with a declared schema (no inference).
 
@@ -85,7 +74,25 @@ def load_seed(spark: SparkSession, path: str | None = None, rows=None, schema: T
     """
     if path:
         return spark.read.schema(schema).option("header", True).csv(path)
-    return spark.createDataFrame(rows if rows is not None else EVENT_TYPE_CATEGORIES, schema)
+    return values_frame(spark, rows if rows is not None else EVENT_TYPE_CATEGORIES, schema)
+
+
+def values_frame(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small fixed table as SQL ``VALUES``: a local relation whose exact size the
+    optimizer knows, so size-checked joins can broadcast it (rows given to
+    ``createDataFrame`` carry no size statistics)."""
+    def lit(v) -> str:
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return repr(v)
+
+    names = [f.name for f in schema.fields]
+    body = ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in rows)
+    cols = ", ".join(f"CAST(c{i} AS {f.dataType.simpleString()}) AS `{f.name}`" for i, f in enumerate(schema.fields))
+    aliases = ", ".join(f"c{i}" for i in range(len(names)))
+    return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({aliases})")
 
 
 def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
