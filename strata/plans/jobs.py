@@ -151,12 +151,25 @@ class Job:
         raw = self.spark.read.parquet(table_root(self.base, "raw", domain))
         return getattr(ods, f"ods_{domain}")(raw)
 
-    def refresh_dwd(self, domain: str) -> DataFrame:
-        """I1 + W5 + I4: the rows loaded since the recorded watermark, upserted by key."""
+    def refresh_dwd(self, domain: str) -> DataFrame | None:
+        """I1 + W5 + I4: the rows loaded since the recorded watermark, upserted by key.
+
+        The new mark is read first (max load time past the old mark: one
+        column, filter pushed into the scan) and the batch is bounded by it,
+        so rows landing during the run wait for the next run instead of being
+        skipped; nothing new means nothing is written.
+        """
         name = f"dwd_{domain}"
         since = self._mark(name, "_ingested_at", self.current("dwd", name))
-        batch = getattr(dwd, name)(self.ods(domain), as_of=self.as_of, since=since, merge=False)
-        return self._upsert(name, batch, max_value(batch, "_ingested_at", default=since))
+        ods_frame = self.ods(domain)
+        fresh = ods_frame if since is None else ods_frame.where(
+            F.col("_ingested_at") > F.lit(since).cast("timestamp_ntz"))
+        mark = max_value(fresh, "_ingested_at", default=None)
+        if mark is None:
+            return self.current("dwd", name)
+        bounded = fresh.where(F.col("_ingested_at") <= F.lit(mark).cast("timestamp_ntz"))
+        batch = getattr(dwd, name)(bounded, as_of=self.as_of, merge=False)
+        return self._upsert(name, batch, mark)
 
     def refresh_dws(self, name: str) -> DataFrame:
         d = lambda x: self.current("dwd", f"dwd_{x}")
@@ -166,16 +179,19 @@ class Job:
             # The recorded last day is re-opened; a one-row frame carries the mark.
             mark_frame = None if since is None else self.spark.range(1).select(
                 F.lit(since).cast("timestamp_ntz").alias(day))
+            src = d(DWS_INPUTS[name][0])
+            fresh = src if since is None else src.where(F.col(day) >= F.lit(since).cast("timestamp_ntz"))
+            d_mark = max_value(fresh, day, default=None)   # one column of DWD, filter pushed
+            if d_mark is None:
+                return self.current("dws", name)
             if name == "dws_github_daily_activity":
-                batch = dws.dws_github_daily_activity(d("github_events"), self.seed(), as_of=self.as_of,
-                                                      target=mark_frame, merge=False)
-            elif name == "dws_weather_daily_summary":
-                batch = dws.dws_weather_daily_summary(d("weather_forecast"), as_of=self.as_of, target=mark_frame,
+                batch = dws.dws_github_daily_activity(src, self.seed(), as_of=self.as_of, target=mark_frame,
                                                       merge=False)
+            elif name == "dws_weather_daily_summary":
+                batch = dws.dws_weather_daily_summary(src, as_of=self.as_of, target=mark_frame, merge=False)
             else:
-                batch = dws.dws_order_daily_summary(d("business_orders"), as_of=self.as_of, target=mark_frame,
-                                                    merge=False)
-            return self._upsert(name, batch, max_value(batch, day, default=since))
+                batch = dws.dws_order_daily_summary(src, as_of=self.as_of, target=mark_frame, merge=False)
+            return self._upsert(name, batch, d_mark)
         target = self.current("dws", name)
         if name == "dws_ecommerce_category_daily":
             out = dws.dws_ecommerce_category_daily(d("ecommerce_products"), as_of=self.as_of, target=target)

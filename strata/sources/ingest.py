@@ -257,8 +257,9 @@ def upsert_partitions(
         touched = broadcast_if_small(batch.select(partition_col).unionByName(moved).distinct())
         kept = target.join(touched, partition_col, "left_semi").join(batch_keys, list(keys), "left_anti")
         new = kept.unionByName(batch.select(*target.columns))
+    # rebalance: AQE splits a hot partition over several writers and merges small ones
     (
-        new.repartition(partition_col)
+        new.hint("rebalance", partition_col)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
