@@ -30,16 +30,6 @@ TEST_SEED = [
     ("signup", "team", None),
 ]
 
-DOMAIN_OF = {
-    "github_events": "github_events",
-    "weather_forecast": "weather_forecast",
-    "ecommerce_products": "ecommerce_products",
-    "business_customers": "business_customers",
-    "business_orders": "business_orders",
-    "business_order_items": "business_order_items",
-}
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=AS_OF, seed: DataFrame | None = None):
         self.spark = configure(spark)
