@@ -30,6 +30,7 @@ TEST_SEED = [
     ("signup", "team", None),
 ]
 
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=AS_OF, seed: DataFrame | None = None):
         self.spark = configure(spark)
