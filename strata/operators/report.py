@@ -7,6 +7,8 @@ driver to be rendered as Markdown text.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +53,14 @@ def failure_report(results: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     )
 
 
-def markdown(summary: DataFrame, failures: DataFrame, pipeline: str = "data_warehouse_full_pipeline") -> tuple[str, str]:
+def markdown(summary: DataFrame, failures: DataFrame, pipeline: str = "data_warehouse_full_pipeline",
+             when: _dt.datetime | None = None) -> tuple[str, str]:
     """Q12: title and Markdown body from the summary row and the capped failure rows."""
     s = summary.first()
+    stamp = (when or _dt.datetime.now(_dt.timezone.utc)).strftime("%Y-%m-%d %H:%M UTC")
     lines = [
         f"**DAG**: {pipeline}",
+        f"**Time**: {stamp}",
         f"**Tests**: {s['total']} total | {s['pass_count']} passed",
     ]
     if s["overall_status"] == "FAILED":

@@ -18,7 +18,7 @@ is redone whole by the next run.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +86,7 @@ class RunResult:
     checks: DataFrame
     summary: DataFrame
     drift: DataFrame | None
+    messages: list[tuple[str, str]] = field(default_factory=list)   # (title, Markdown body), Q12
 
 
 def _layer(name: str) -> str:
@@ -255,7 +256,14 @@ def run_all(spark: SparkSession, sf_dir: str, out_base: str, as_of=None, now=Non
         job.refresh_ads(name)
     checks = job.save(job.check(), "ads", "dq_results")
     drift = job.monitor()
-    return RunResult(job.written, checks, report.summarize(checks), drift)
+    summary = report.summarize(checks)
+    # Q12: message texts from bounded rows (one summary row, <= 20 failures, <= one row per table)
+    messages = [report.markdown(summary, report.failure_report(checks), when=job.as_of)]
+    if drift is not None:
+        alert = monitor.drift_markdown(drift, when=job.as_of)
+        if alert:
+            messages.append(alert)
+    return RunResult(job.written, checks, summary, drift, messages)
 
 
 def run_domain(spark: SparkSession, domain: str, sf_dir: str, out_base: str, as_of=None, now=None, today=None,

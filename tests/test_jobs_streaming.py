@@ -20,6 +20,7 @@ def test_run_all_twice_is_stable(spark, scratch):
     r1 = jobs.run_all(spark, SF001, base, as_of=AS_OF, now=dt.datetime(2024, 1, 15), today=dt.date(2024, 1, 30),
                       grain="month")
     assert r1.summary.first()["total"] > 50
+    assert r1.messages and r1.messages[0][0].startswith("Data Quality")
     job = jobs.Job(spark, base, grain="month")
     orders1 = job.current("dwd", "dwd_business_orders")
     n1 = orders1.count()

@@ -63,6 +63,13 @@ def test_drift_cases(spark):
     assert (out["down"]["direction"], out["down"]["change_pct"]) == ("-", 31.0)
     upd = monitor.snapshot_upsert(snap, today, day)
     assert upd.count() == 5 + 6
+    title, body = monitor.drift_markdown(monitor.row_count_drift(today, snap, day, alerts_only=False),
+                                         when=dt.datetime(2024, 1, 2, 7, 0))
+    assert title == "Row Count Alert - FLUCTUATION DETECTED"
+    assert "| s.up | 100 | 131 | +31.0% |" in body and "| s.down | 100 | 69 | -31.0% |" in body
+    assert "s.thirty" not in body and "**Time**: 2024-01-02 07:00 UTC" in body
+    calm = monitor.row_count_drift(today.where("table_name = 'zero'"), snap, day, alerts_only=False)
+    assert monitor.drift_markdown(calm) is None
 
 
 def test_failure_report_caps_and_text(spark):
