@@ -1,6 +1,7 @@
 """Upsert, watermark and schema alignment (I1-I9) plus properties."""
 
 import datetime as dt
+import os
 
 import pytest
 
@@ -72,3 +73,19 @@ def test_dedup_leaves_unique_keys(spark):
     items = w.dwd("business_order_items")
     assert items.count() == items.select("item_id").distinct().count()
     assert w.ods("business_order_items").count() > items.count()
+
+
+def test_failed_write_keeps_last_good_version(spark, scratch):
+    """The pointer moves only after a complete write; a failing job leaves the old version readable."""
+    from pyspark.sql import functions as F
+
+    from strata.sources.ingest import read_current, table_root, write_table
+
+    base = os.path.join(scratch, "wh")
+    good = spark.createDataFrame([(1, "a")], "k long, v string")
+    write_table(good, base, "ads", "t")
+    bad = spark.createDataFrame([(2, "not a number")], "k long, v string").select(
+        "k", F.col("v").cast("int").alias("v"))          # ANSI cast fails inside the job
+    with pytest.raises(Exception):
+        write_table(bad, base, "ads", "t")
+    assert [tuple(r) for r in read_current(spark, table_root(base, "ads", "t")).collect()] == [(1, "a")]
