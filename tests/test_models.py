@@ -106,3 +106,45 @@ def test_category_tier(spark):
         df = df.withColumn(c, df.total_inventory_value)
     out = {r["revenue_rank"]: r["category_tier"] for r in ads.ads_ecommerce_kpi(df, as_of=T0).collect()}
     assert out[1] == "star" and out[5] == "core" and out[10] == "core" and out[11] == "niche"
+
+
+def test_trend_row_lag_vs_calendar(spark):
+    """Lags are rows in each type's series; a missing day shifts them. Calendar mode looks up real days."""
+    day = lambda d: dt.datetime(2024, 1, d)
+    # type A: 8 full days (23..30); type B: day 26 missing
+    rows = [(day(d), "A", "x", 10 + d, 1, 1) for d in range(23, 31)]
+    rows += [(day(d), "B", "y", 5, 1, 1) for d in range(23, 31) if d != 26]
+    df = spark.createDataFrame(rows, "event_date timestamp_ntz, event_type string, category string, "
+                                     "event_count long, unique_actors long, unique_repos long")
+    out = {(r["event_type"], r["event_date"].day): r
+           for r in ads.ads_github_trending(df, today=dt.date(2024, 1, 30), as_of=T0).collect()}
+    assert out[("A", 30)]["week_over_week_pct"] == round((40 - 33) / 33 * 100, 2)   # 8 dates: week value on day 8
+    assert out[("A", 29)]["week_over_week_pct"] is None
+    assert out[("B", 27)]["day_over_day_pct"] == 0.0                               # row lag skips the gap
+    assert out[("B", 30)]["week_over_week_pct"] is None                            # only 7 rows for B
+    cal = {(r["event_type"], r["event_date"].day): r
+           for r in ads.ads_github_trending(df, today=dt.date(2024, 1, 30), as_of=T0, calendar=True).collect()}
+    assert cal[("B", 27)]["day_over_day_pct"] is None                              # no row on the 26th
+    assert cal[("A", 30)]["week_over_week_pct"] == out[("A", 30)]["week_over_week_pct"]
+
+
+def test_shares_null_when_no_channel_orders(spark):
+    from strata.functions import exprs as X
+    df = spark.createDataFrame([(0, 0, 0), (1, 3, 0)], "c long, e long, b long")
+    got = [r[0] for r in df.select(X.share_pct("c", df.c + df.e + df.b, 1)).collect()]
+    assert got == [None, 25.0]
+
+
+def test_products_brand_default_and_items_zero_price(spark):
+    raw = spark.createDataFrame([
+        (1, " t ", "d", 9.999, None, 4.5, 3, None, " c ", "u", "s", T0),
+    ], "id long, title string, description string, price double, discount_percentage double, rating double, "
+       "stock int, brand string, category string, thumbnail string, source_system string, _ingested_at timestamp_ntz")
+    p = dwd.dwd_ecommerce_products(ods.ods_ecommerce_products(raw), as_of=T0).first()
+    assert (p["brand"], p["product_title"], p["category"], p["price"], p["discount_pct"], p["rating_tier"]) == \
+        ("Unknown", "t", "c", 10.0, 0.0, "platinum")
+    items = spark.createDataFrame([(1, 1, "p", 2, 0.0, None, "s", T0)],
+                                  "item_id long, order_id long, product_name string, quantity int, unit_price double, "
+                                  "discount_pct double, source_system string, _ingested_at timestamp_ntz")
+    i = dwd.dwd_business_order_items(ods.ods_business_order_items(items), as_of=T0).first()
+    assert (i["unit_price"], i["line_total"]) == (0.0, 0.0)
