@@ -28,10 +28,10 @@ from strata.operators.incremental import max_value
 from strata.plans import ads, dwd, dws, ods
 from strata.plans import suite as S
 from strata.session import configure
-from strata.sources import adapters
+from strata.sources import adapters, api_payloads
 from strata.sources.ingest import (
     append_raw, load_seed, read_current, read_partitioned, read_watermark, table_root, upsert_partitions,
-    write_table, write_watermark,
+    with_ingest_meta, write_table, write_watermark,
 )
 
 DOMAINS = list(adapters.RAW)
@@ -148,6 +148,15 @@ class Job:
         """Append one load of a domain to its raw table."""
         append_raw(frame, table_root(self.base, "raw", domain))
 
+    def land_documents(self, domain: str, path: str, source: str, one_per_file: bool = False,
+                       tz: str | None = None) -> None:
+        """S11 + S1-S3 + S5: parse landed API documents and append them to raw,
+        stamped with the source system and this run's load time."""
+        docs = api_payloads.read_documents(self.spark, path, one_per_file)
+        reader = api_payloads.READERS[domain]
+        rows = reader(docs, tz=tz) if domain == "weather_forecast" else reader(docs)
+        self.land(domain, with_ingest_meta(rows, source, self.as_of))
+
     def ods(self, domain: str) -> DataFrame:
         raw = self.spark.read.parquet(table_root(self.base, "raw", domain))
         return getattr(ods, f"ods_{domain}")(raw)

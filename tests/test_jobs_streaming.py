@@ -147,3 +147,37 @@ def test_dwd_partitions_and_retry_after_partial_commit(spark, scratch):
     again = job.refresh_dwd("business_order_items")
     assert again.exceptAll(full).count() == 0 and full.exceptAll(again).count() == 0
     assert read_watermark(spark, base, "dwd", "dwd_business_order_items") > old_mark
+
+
+def test_land_api_documents_through_pipeline(spark, scratch):
+    """S11 + S1-S3: API pages dropped as JSON lines are parsed, landed and refreshed like any load."""
+    base = os.path.join(scratch, "wh")
+    raw = adapters.raw_github_events(spark, SF001)
+    page = F.floor(F.col("id").cast("long") / 30)
+    rec = F.struct(
+        F.col("id"), F.col("type"),
+        F.struct(F.col("actor_login").alias("login"), F.col("actor_id").alias("id")).alias("actor"),
+        F.struct(F.col("repo_name").alias("name"), F.col("repo_id").alias("id")).alias("repo"),
+        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"),
+        F.col("is_public").alias("public"))
+    events_dir = os.path.join(scratch, "landing_events")
+    raw.groupBy(page.alias("p")).agg(F.to_json(F.collect_list(rec)).alias("doc")).select("doc").write.text(events_dir)
+
+    w = spark.createDataFrame([("2024-01-15T08:00", 39.5, 40, 0.0, 95), ("2024-01-15T09:00", 20.0, 50, 1.5, 3)],
+                              "t string, temp double, h int, p double, c int")
+    doc = w.agg(F.to_json(F.struct(F.struct(
+        F.collect_list("t").alias("time"), F.collect_list("temp").alias("temperature_2m"),
+        F.collect_list("h").alias("relative_humidity_2m"), F.collect_list("p").alias("precipitation"),
+        F.collect_list("c").alias("weather_code")).alias("hourly"))).alias("doc"))
+    weather_dir = os.path.join(scratch, "landing_weather")
+    doc.write.text(weather_dir)
+
+    job = jobs.Job(spark, base, as_of=AS_OF, grain="month")
+    job.land_documents("github_events", events_dir, "github")
+    job.land_documents("weather_forecast", weather_dir, "open_meteo", tz="Asia/Shanghai")
+    got = job.refresh_dwd("github_events").drop("_ingested_at", "_dwd_processed_at")
+    want = Warehouse(spark, SF001, as_of=AS_OF).dwd("github_events").drop("_ingested_at", "_dwd_processed_at")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    hours = sorted((r["forecast_time"], r["weather_category"]) for r in job.refresh_dwd("weather_forecast").collect())
+    assert hours == [(dt.datetime(2024, 1, 15, 0, 0), "severe_thunderstorm"), (dt.datetime(2024, 1, 15, 1, 0),
+                                                                                "partly_cloudy")]
