@@ -177,10 +177,9 @@ def q_ingest_meta(spark, sf_dir):
     return with_layer(with_ingest_meta(o, "source_db", LOAD_TIME), "ods")
 
 
-@register("seed_join_default", """
+@register("seed_join_default", f"""
 SELECT e.event_id, upper(trim(e.event_type)) AS event_type, coalesce(c.category, 'uncategorized') AS category
-FROM events e LEFT JOIN (VALUES ('click', 'engagement'), ('view', 'engagement'), ('purchase', 'commerce'),
-                                ('signup', 'team')) AS c(event_type, category)
+FROM events e LEFT JOIN {O.seed_values()}
   ON upper(trim(e.event_type)) = upper(c.event_type)""")
 def q_seed_join_default(spark, sf_dir):
     """S7 + J2: left join to the category seed on an expression key, default on miss."""
