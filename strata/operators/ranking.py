@@ -49,13 +49,42 @@ def top_k_rank(df: DataFrame, column: str, out: str, k: int, descending: bool =
 
 def value_ranks(df: DataFrame, column: str, out: str, descending: bool = True, partitions: int | None = None) -> DataFrame:
     """Distinct values of ``column`` with their ``RANK`` over all rows of ``df``."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    order = order_expr(column, descending)
+    ensure_checkpoint_dir(df.sparkSession)
     # The histogram (one row per distinct value) is materialised once, so the
     # input is evaluated once; range sampling and partitioning then read it.
     hist = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    return _ranks_from_histogram(hist, column, out, descending, partitions)
+
+
+def value_ranks_many(df: DataFrame, specs: list[tuple[str, str, bool]],
+                     partitions: int | None = None) -> dict[str, DataFrame]:
+    """``value_ranks`` for several columns from ONE pass over ``df``.
+
+    ``specs`` holds (column, output name, descending). The histograms of all
+    columns come from a single GROUPING SETS aggregation, one set per column.
+    """
+    if len(specs) == 1:
+        c, out, desc = specs[0]
+        return {c: value_ranks(df, c, out, desc, partitions)}
+    ensure_checkpoint_dir(df.sparkSession)
+    cols = [c for c, _o, _d in specs]
+    n = len(cols)
+    hists = df.groupingSets([[c] for c in cols], *cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")
+    ).checkpoint(eager=True)
+    result = {}
+    for i, (c, out, desc) in enumerate(specs):
+        gid = (1 << n) - 1 - (1 << (n - 1 - i))   # every column but c is aggregated away
+        hist = hists.where(F.col("_gid") == gid).select(c, "_n")
+        result[c] = _ranks_from_histogram(hist, c, out, desc, partitions)
+    return result
+
+
+def _ranks_from_histogram(hist: DataFrame, column: str, out: str, descending: bool,
+                          partitions: int | None) -> DataFrame:
+    spark = hist.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    order = order_expr(column, descending)
     ranged = (
         hist.repartitionByRange(n, order)
         .withColumn("_pid", F.spark_partition_id())
@@ -83,3 +112,14 @@ def attach_ranks(rows: DataFrame, population: DataFrame, column: str, out: str,
     ranks = value_ranks(population, column, out, descending).withColumnRenamed(column, "_rv")
     small = broadcast_if_small(rows)
     return ranks.join(small, small[column].eqNullSafe(ranks["_rv"]), "inner").drop("_rv")
+
+
+def attach_ranks_many(rows: DataFrame, population: DataFrame, specs: list[tuple[str, str, bool]]) -> DataFrame:
+    """Several ``attach_ranks`` whose histograms share one pass over ``population``."""
+    ranks = value_ranks_many(population, specs)
+    out = rows
+    for c, _o, _d in specs:
+        r = ranks[c].withColumnRenamed(c, "_rv")
+        small = broadcast_if_small(out)
+        out = r.join(small, small[c].eqNullSafe(r["_rv"]), "inner").drop("_rv")
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
 from strata.operators.joins import attach_latest, attach_one_row
-from strata.operators.ranking import attach_ranks, plain_rank, top_k_rank
+from strata.operators.ranking import attach_ranks_many, plain_rank, top_k_rank
 
 
 def _stamp(df: DataFrame, as_of) -> DataFrame:
@@ -185,7 +185,7 @@ def ads_business_kpi(dws_customers: DataFrame, dws_daily: DataFrame, as_of=None,
     * revenue rank: whole-frame rank with a top-k filter (partial top-k per task);
     * loyalty and average-value ranks of those rows among ALL customers: the
       distributed rank of ``strata.operators.ranking`` (no single-task window
-      over the customer table);
+      over the customer table), both histograms from one pass;
     * channel shares: one-row aggregate cross joined (J3);
     * latest day: top-1 row of the daily trend attached to every row (J4).
     """
@@ -195,8 +195,9 @@ def ads_business_kpi(dws_customers: DataFrame, dws_daily: DataFrame, as_of=None,
     ]
     customers = dws_customers.select(*cols)
     top = top_k_rank(customers, "total_revenue", "revenue_rank", k)
-    top = attach_ranks(top, customers.select("total_orders"), "total_orders", "loyalty_rank")
-    top = attach_ranks(top, customers.select("avg_order_value"), "avg_order_value", "avg_value_rank")
+    top = attach_ranks_many(top, customers.select("total_orders", "avg_order_value"), [
+        ("total_orders", "loyalty_rank", True), ("avg_order_value", "avg_value_rank", True),
+    ])
     trend = daily_trend(dws_daily).select(
         F.col("order_date_key").alias("latest_trade_date"),
         F.col("daily_revenue").alias("latest_daily_revenue"),

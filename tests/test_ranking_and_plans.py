@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators.joins import broadcast_if_small
-from strata.operators.ranking import global_rank, top_k_rank
+from strata.operators.ranking import global_rank, top_k_rank, value_ranks_many
 from strata.plans.catalog import Warehouse
 from conftest import SF001
 
@@ -21,6 +21,18 @@ def test_global_rank_matches_window(spark):
     assert mine == ref
 
 
+def test_value_ranks_many_one_pass(spark):
+    rnd = random.Random(3)
+    data = [(i, rnd.choice([None, 1, 2, 2, 5]), rnd.choice([0.5, 1.5, None, 9.0])) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, a long, b double")
+    got = value_ranks_many(df, [("a", "ra", True), ("b", "rb", False)])
+    for col, out, desc in [("a", "ra", True), ("b", "rb", False)]:
+        o = F.col(col).desc_nulls_first() if desc else F.col(col).asc_nulls_last()
+        ref = {r[col]: r["rk"] for r in df.withColumn("rk", F.rank().over(Window.orderBy(o))).collect()}
+        mine = {r[col]: r[out] for r in got[col].collect()}
+        assert mine == ref
+
+
 def test_top_k_keeps_ties(spark):
     df = spark.createDataFrame([(1, 5), (2, 5), (3, 5), (4, 4), (5, 3)], "id long, v long")
     got = sorted((r["id"], r["r"]) for r in top_k_rank(df, "v", "r", 1).collect())
