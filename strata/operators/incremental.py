@@ -106,7 +106,7 @@ def upsert(
         return incoming
     t, i = align(target, incoming, policy)
     batch_keys = broadcast_if_small(i.select(*keys).distinct())
-    kept = t.join(batch_keys, list(keys), "left_anti")
+    kept = t.join(batch_keys, list(keys), "left_anti").select(*t.columns)
     return kept.unionByName(i)
 
 

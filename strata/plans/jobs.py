@@ -129,8 +129,10 @@ class Job:
         keys, time_col = PARTITIONED[name]
         layer = _layer(name)
         target = self.current(layer, name, internal=True)
+        # DWD tables follow the incoming columns, DWS tables only add new ones
+        policy = "sync_all_columns" if layer == "dwd" else "append_new_columns"
         path = upsert_partitions(target, batch.withColumn(PART, self._part(time_col)), keys,
-                                 self.base, layer, name, PART)
+                                 self.base, layer, name, PART, policy=policy)
         self.written[name] = path
         if mark is not None:
             write_watermark(self.spark, self.base, layer, name, mark)

@@ -9,6 +9,7 @@ is written and a small pointer file is switched afterwards.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -180,6 +181,12 @@ def read_partitioned(spark: SparkSession, base: str, layer: str, name: str, part
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):
         return None
+    recorded = _read_text(spark, f"{table_root(base, layer, name)}/_SCHEMA")
+    if recorded:
+        # the table schema as of the last write: columns added since read as nulls
+        # in untouched partitions, and no footer is opened to infer it
+        schema = T.StructType.fromJson(json.loads(recorded))
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     inferred = spark.read.parquet(path).schema
     part_type = T.DateType() if partition_col.endswith("_date") and partition_col.startswith("_") else T.TimestampNTZType()
     fields = [T.StructField(f.name, part_type if f.name == partition_col else f.dataType, True)
@@ -236,27 +243,33 @@ def upsert_partitions(
     layer: str,
     name: str,
     partition_col: str,
+    policy: str = "sync_all_columns",
 ) -> str:
-    """I4 on disk, rewriting only the partitions the batch touches.
+    """I4 + I6 on disk, rewriting only the partitions the batch touches.
 
     Touched partitions are those the batch writes to plus those where the
     target still holds one of the batch's keys (a key that moved partition
     is deleted from its old one). Each touched partition is rebuilt as
     (target rows there, minus batch keys) + batch rows there, and replaced by
     dynamic partition overwrite; untouched partitions are neither read nor
-    written. Re-running with the same batch gives the same content.
+    written. Re-running with the same batch gives the same content. Column
+    changes follow ``policy`` (``strata.operators.incremental.align``); the
+    resulting schema is recorded next to the data.
     """
+    from strata.operators.incremental import align
     from strata.operators.joins import broadcast_if_small
 
     path = f"{table_root(base, layer, name)}/data"
     if target is None:
         new = batch
     else:
+        target, batch = align(target, batch, policy)
         batch_keys = broadcast_if_small(batch.select(*keys).distinct())
         moved = target.join(batch_keys, list(keys), "left_semi").select(partition_col)
         touched = broadcast_if_small(batch.select(partition_col).unionByName(moved).distinct())
         kept = target.join(touched, partition_col, "left_semi").join(batch_keys, list(keys), "left_anti")
-        new = kept.unionByName(batch.select(*target.columns))
+        # joins on column names move the key first: restore the table's order
+        new = kept.select(*target.columns).unionByName(batch.select(*target.columns))
     # rebalance: AQE splits a hot partition over several writers and merges small ones
     (
         new.hint("rebalance", partition_col)
@@ -265,7 +278,7 @@ def upsert_partitions(
         .partitionBy(partition_col)
         .parquet(path)
     )
-    _write_text(batch.sparkSession, f"{table_root(base, layer, name)}/_COLUMNS", ",".join(batch.columns))
+    _write_text(batch.sparkSession, f"{table_root(base, layer, name)}/_SCHEMA", new.schema.json())
     return path
 
 

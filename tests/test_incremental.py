@@ -89,3 +89,19 @@ def test_failed_write_keeps_last_good_version(spark, scratch):
     with pytest.raises(Exception):
         write_table(bad, base, "ads", "t")
     assert [tuple(r) for r in read_current(spark, table_root(base, "ads", "t")).collect()] == [(1, "a")]
+
+
+def test_partition_upsert_schema_change(spark, scratch):
+    """I6 on disk: a batch with a new column; untouched partitions read it as null."""
+    from strata.sources.ingest import read_partitioned, upsert_partitions
+
+    base = os.path.join(scratch, "wh")
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    first = spark.createDataFrame([(1, "a", d1), (2, "b", d2)], "k long, v string, p date")
+    upsert_partitions(None, first, ["k"], base, "dwd", "t", "p")
+    target = read_partitioned(spark, base, "dwd", "t", "p")
+    batch = spark.createDataFrame([(2, "B", 7, d2)], "k long, v string, extra int, p date")
+    upsert_partitions(target, batch, ["k"], base, "dwd", "t", "p", policy="append_new_columns")
+    out = read_partitioned(spark, base, "dwd", "t", "p")
+    assert out.columns == ["k", "v", "p", "extra"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a", d1, None), (2, "B", d2, 7)]
