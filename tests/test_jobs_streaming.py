@@ -181,3 +181,12 @@ def test_land_api_documents_through_pipeline(spark, scratch):
     hours = sorted((r["forecast_time"], r["weather_category"]) for r in job.refresh_dwd("weather_forecast").collect())
     assert hours == [(dt.datetime(2024, 1, 15, 0, 0), "severe_thunderstorm"), (dt.datetime(2024, 1, 15, 1, 0),
                                                                                 "partly_cloudy")]
+
+
+def test_run_domain_skips_models_missing_inputs(spark, scratch):
+    """L2: orders alone refresh the day summary; the customer summary and KPI wait for customers."""
+    base = os.path.join(scratch, "wh")
+    r = jobs.run_domain(spark, "business_orders", SF001, base, as_of=AS_OF, grain="month")
+    assert "dws_order_daily_summary" in r.written
+    assert "dws_customer_order_summary" not in r.written and "ads_business_kpi" not in r.written
+    assert r.summary.first()["total"] > 0
