@@ -2,7 +2,7 @@
 
     run-all    --sf-dir DIR --out BASE [--grain day|month]   full refresh (L1), prints summary and messages
     run-domain DOMAIN --sf-dir DIR --out BASE               one domain downstream (L2)
-    query      NAME --sf-dir DIR [--rows N]                  run a registered query, show N rows
+    query      NAME --sf-dir DIR [--rows N] [--explain]      run a registered query, show N rows or its plan
     list                                                     registered query names
 
 Without ``--master`` the master comes from the launcher (``spark-submit
@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     p_q.add_argument("name")
     p_q.add_argument("--sf-dir", required=True)
     p_q.add_argument("--rows", type=int, default=20)
+    p_q.add_argument("--explain", action="store_true", help="print the formatted physical plan instead of rows")
     sub.add_parser("list")
     args = parser.parse_args(argv)
 
@@ -48,7 +49,11 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.cmd == "query":
             from strata.plans.registry import QUERIES
-            QUERIES[args.name](spark, args.sf_dir).show(args.rows, truncate=False)
+            df = QUERIES[args.name](spark, args.sf_dir)
+            if args.explain:
+                df.explain("formatted")
+            else:
+                df.show(args.rows, truncate=False)
             return 0
         from strata.plans import jobs
         if args.cmd == "run-all":
