@@ -79,10 +79,14 @@ def round_money(c: str | Column, digits: int = 2) -> Column:
 def exact_sum(c: str | Column, scale: int = 2) -> Column:
     """Sum of values that are already rounded to ``scale`` digits, as double.
 
-    Summing doubles depends on the order partial sums meet across tasks; the
-    decimal sum is exact, so every run and every engine agrees.
+    Summing doubles depends on the order partial sums meet across tasks. The
+    values are summed as whole cents in BIGINT instead: exact, so every run and
+    every engine agrees, and a plain long add in generated code (a
+    DECIMAL(38,2) sum runs on BigDecimal). ANSI mode raises on overflow, at
+    about 9e16 cents in one group.
     """
-    return F.sum(col_(c).cast(f"decimal(38,{scale})")).cast("double")
+    unit = 10 ** scale
+    return F.sum(F.round(col_(c) * unit).cast("long")) / F.lit(unit)
 
 
 def line_total(quantity: str | Column, unit_price: str | Column, discount_pct: str | Column) -> Column:
