@@ -33,7 +33,7 @@ from strata.llm.common import arrow_schema, blocks, ragged, text_bytes, without
 LONG_PIECE = 256
 NONE = np.int32(2**31 - 1)
 #: Chunks whose ids a worker keeps (about 200 bytes each); the store starts anew when it is full.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 300_000
 _U = np.uint64
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, html_extract, langid, neardup, quality_fm, repetition, sharding
+from strata.llm import bpe, chaining, decontam, html_extract, langid, neardup, quality_fm, repetition, sharding, suffix_index
 from strata.llm.common import held_out
 from strata.sources.tables import read_table
 
@@ -56,6 +56,15 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.matches(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return repetition.measure(docs).drop("text").select(
@@ -72,10 +81,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.summary(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_byte_bpe, op3_html_extraction, op4_minhash_neardup, op5_quality_classifier,
-        op8_quality_rules, op9_language_id,
+        op6_benchmark_decontamination, op7_suffix_array_dedup, op8_quality_rules, op9_language_id, op10_substring_dedup,
     )
 }
