@@ -1,7 +1,7 @@
 """Command line: ``python -m strata <command>``.
 
-    run-all    --sf-dir DIR --out BASE [--grain day|month]   full refresh (L1), prints summary and messages
-    run-domain DOMAIN --sf-dir DIR --out BASE               one domain downstream (L2)
+    run-all    --sf-dir DIR --out BASE [--grain day|month] [--gate]   full refresh (L1), prints summary and messages
+    run-domain DOMAIN --sf-dir DIR --out BASE [--gate]      one domain downstream (L2); --gate fails the run on failed checks
     query      NAME --sf-dir DIR [--rows N] [--explain]      run a registered query, show N rows or its plan
     list                                                     registered query names
 
@@ -24,11 +24,13 @@ def main(argv: list[str] | None = None) -> int:
     p_all.add_argument("--sf-dir", required=True)
     p_all.add_argument("--out", required=True)
     p_all.add_argument("--grain", default="day", choices=["day", "month"])
+    p_all.add_argument("--gate", action="store_true", help="raise when a check of severity error fails")
     p_dom = sub.add_parser("run-domain")
     p_dom.add_argument("domain")
     p_dom.add_argument("--sf-dir", required=True)
     p_dom.add_argument("--out", required=True)
     p_dom.add_argument("--grain", default="day", choices=["day", "month"])
+    p_dom.add_argument("--gate", action="store_true", help="raise when a check of severity error fails")
     p_q = sub.add_parser("query")
     p_q.add_argument("name")
     p_q.add_argument("--sf-dir", required=True)
@@ -57,9 +59,9 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         from strata.plans import jobs
         if args.cmd == "run-all":
-            result = jobs.run_all(spark, args.sf_dir, args.out, grain=args.grain)
+            result = jobs.run_all(spark, args.sf_dir, args.out, grain=args.grain, gate=args.gate)
         else:
-            result = jobs.run_domain(spark, args.domain, args.sf_dir, args.out, grain=args.grain)
+            result = jobs.run_domain(spark, args.domain, args.sf_dir, args.out, grain=args.grain, gate=args.gate)
         result.summary.show(truncate=False)
         for title, body in result.messages:
             print(f"## {title}\n{body}\n")

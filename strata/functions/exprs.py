@@ -122,9 +122,11 @@ def first_match_replace(c: str | Column, pattern: str, replacement: str = "") ->
     """replace the FIRST match only (PostgreSQL ``regexp_replace`` without ``g``).
 
     Spark's ``regexp_replace`` replaces every match, so the text before the
-    first match is captured and put back. ``pattern`` must not contain groups.
+    first match is captured and put back. ``pattern`` may alternate but must not
+    contain capturing groups; ``replacement`` is literal text.
     """
-    return F.regexp_replace(col_(c), f"(?s)^(.*?){pattern}", f"$1{replacement}")
+    literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(col_(c), f"(?s)^(.*?)(?:{pattern})", "$1" + literal)
 
 
 def remove_first_blank(c: str | Column) -> Column:
@@ -177,11 +179,12 @@ def ts_literal(value: _dt.datetime | str | Column | None) -> Column:
     return F.lit(value.replace(tzinfo=None)).cast("timestamp_ntz")
 
 
-def iso_to_ts(c: str | Column, tz: str | None = None) -> Column:
+def iso_to_ts(c: str | Column, tz: str | None = None, on_bad: str = "raise") -> Column:
     """ISO text (``...Z`` or local ``YYYY-MM-DDTHH:MM``) to NTZ UTC.
 
     ``tz`` names the zone a local time was written in (the weather API returns
-    local times); it is converted to UTC.
+    local times); it is converted to UTC. Text that is no time raises, like the
+    cast it stands for; ``on_bad="null"`` makes it null on request.
     """
     raw = col_(c)
     ts = F.coalesce(
@@ -192,7 +195,11 @@ def iso_to_ts(c: str | Column, tz: str | None = None) -> Column:
     )
     if tz:
         ts = F.to_utc_timestamp(ts, tz)
-    return ts.cast("timestamp_ntz")
+    ts = ts.cast("timestamp_ntz")
+    if on_bad == "null":
+        return ts
+    bad = F.raise_error(F.concat(F.lit("not a time: "), raw.cast("string"))).cast("timestamp_ntz")
+    return F.when(raw.isNotNull() & ts.isNull(), bad).otherwise(ts)
 
 
 # ---------------------------------------------------------------------------

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import EPOCH
-from strata.operators.joins import broadcast_if_small
 
 
 def max_value(df: DataFrame, column: str, default=EPOCH):
@@ -100,13 +99,12 @@ def upsert(
 
     With a key coarser than the grain (I5) all old rows of that key vanish,
     also those the batch does not repeat (delete+insert, not a row merge). The
-    incoming key set is de-duplicated first and broadcast only when small.
+    incoming key set is de-duplicated first; the join is left to adaptive execution.
     """
     if target is None:
         return incoming
     t, i = align(target, incoming, policy)
-    batch_keys = broadcast_if_small(i.select(*keys).distinct())
-    kept = t.join(batch_keys, list(keys), "left_anti").select(*t.columns)
+    kept = t.join(i.select(*keys).distinct(), list(keys), "left_anti").select(*t.columns)
     return kept.unionByName(i)
 
 
@@ -124,17 +122,31 @@ def recompute_changed(
     keys: Sequence[str],
     build,
     partial: bool = False,
+    count_column: str | None = None,
 ) -> DataFrame:
     """I3 + G4: rebuild only the groups touched since the last run.
 
-    Default: aggregate ALL source rows of each changed group (correct).
-    ``partial=True`` reproduces the reference, which aggregates only the
-    changed rows and lets that partial result replace the whole group.
+    Default: aggregate ALL source rows of each changed group (correct). With
+    ``count_column`` (the target's number of source rows per group) a group that
+    rows have left is found as well, by its count: it is rebuilt, or removed
+    when nothing is left of it. ``partial=True`` reproduces the reference, which
+    aggregates only the changed rows and lets that partial result replace the
+    whole group.
     """
     if target is None:
         return build(src)
     fresh = newer_than(src, target, src_time, target_column=target_time)
     if partial:
         return upsert(target, build(fresh), keys)
-    touched = broadcast_if_small(fresh.select(*keys).distinct())
-    return upsert(target, build(src.join(touched, list(keys), "left_semi")), keys)
+    touched = fresh.select(*keys).distinct()
+    if count_column:
+        now = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_now"))
+        before = target.select(*keys, F.col(count_column).alias("_before"))
+        same = F.lit(True)
+        for k in keys:
+            same = same & now[k].eqNullSafe(before[k])
+        left = before.join(now, same, "left").where(F.coalesce("_now", F.lit(0)) != F.col("_before"))
+        touched = touched.unionByName(left.select(*[before[k] for k in keys])).distinct()
+    rebuilt = build(src.join(touched, list(keys), "left_semi"))
+    kept, new = align(target.join(touched, list(keys), "left_anti").select(*target.columns), rebuilt)
+    return kept.unionByName(new)

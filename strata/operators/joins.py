@@ -1,8 +1,8 @@
 """Join helpers.
 
-Broadcasting is only hinted after the optimizer's size estimate of the side
-is checked against a bound; a larger side falls back to a shuffle join that
-AQE may still demote to a broadcast at run time.
+No join is forced to broadcast: the session's threshold and adaptive execution
+decide by the sizes they see at run time. The one exception is a side that is
+one row by construction, and that is checked.
 """
 
 from __future__ import annotations
@@ -12,29 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (bytes, optimizer estimate) that is broadcast on purpose.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame's optimized plan (no job is run)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
-def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast when the estimate is under ``limit_bytes``, else leave it.
-
-    The estimate grows with the data, so the same code broadcasts a 25-row
-    nation table and shuffles a customer table that has outgrown the bound.
-    """
-    try:
-        size = estimated_bytes(df)
-    except Exception:  # estimates unavailable (e.g. streaming): let the planner decide
-        return df
-    return F.broadcast(df) if size <= limit_bytes else df
-
-
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -47,7 +24,7 @@ def lookup_join(
     ``defaults`` maps dimension output columns to the value used when no row
     matched (``COALESCE(dim.col, default)``).
     """
-    d = broadcast_if_small(dim)
+    d = dim
     joined = fact.join(d, fact_key == d[dim_key], "left")
     for name, default in (defaults or {}).items():
         joined = joined.withColumn(name, F.coalesce(d[name], default))
@@ -55,12 +32,18 @@ def lookup_join(
 
 
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Cross join with a frame known to hold exactly one row (a global aggregate).
+    """Cross join with a frame of one row (a global aggregate).
 
-    The one-row side is an ungrouped aggregate, so its size is fixed; it is
-    broadcast and every row of ``df`` gains its columns without a shuffle.
+    The one-row side is broadcast and every row of ``df`` gains its columns
+    without a shuffle. A frame of several rows raises instead of multiplying
+    ``df``: the side is folded to its first row and its count is checked.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    cols = one_row.columns
+    folded = one_row.select(F.struct(*cols).alias("r")).agg(F.count(F.lit(1)).alias("n"), F.min("r").alias("r"))
+    checked = F.when(F.col("n") == 1, F.col("r")).otherwise(
+        F.raise_error(F.lit("attach_one_row needs exactly one row")).cast(folded.schema["r"].dataType)
+    )
+    return df.crossJoin(F.broadcast(folded.select(checked.alias("r")).select(*[F.col(f"r.{c}") for c in cols])))
 
 
 def attach_latest(df: DataFrame, series: DataFrame, order_col: str, prefix_cols: Sequence[str] | None = None) -> DataFrame:

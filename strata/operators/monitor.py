@@ -79,9 +79,9 @@ def row_count_drift(
     return out.where(F.col("alert")) if alerts_only else out
 
 
-def drift_markdown(drift: DataFrame, when: _dt.datetime | None = None, threshold_pct: float = THRESHOLD_PCT,
-                   pipeline: str = "data_warehouse_full_pipeline") -> tuple[str, str] | None:
-    """Q12: title and Markdown body of the drift alert, or None without alerts.
+def drift_markdown(drift: DataFrame, pipeline: str, when: _dt.datetime | None = None,
+                   threshold_pct: float = THRESHOLD_PCT) -> tuple[str, str] | None:
+    """Q12: title and Markdown body of the drift message, or None without alerts.
 
     At most one row per monitored table reaches the driver (the table list is
     fixed), ordered by schema and table.
@@ -95,18 +95,10 @@ def drift_markdown(drift: DataFrame, when: _dt.datetime | None = None, threshold
     if not rows:
         return None
     stamp = (when or _dt.datetime.now(_dt.timezone.utc)).strftime("%Y-%m-%d %H:%M UTC")
-    lines = [
-        "**Row Count Fluctuation Alert**",
-        f"**DAG**: {pipeline}",
-        f"**Time**: {stamp}",
-        f"> Threshold: >{threshold_pct:.0f}% change vs yesterday",
-        "",
-        "| Table | Yesterday | Today | Change |",
-        "| :--- | ---: | ---: | :---: |",
-    ]
+    lines = [f"{len(rows)} table(s) of `{pipeline}` changed by more than {threshold_pct:.0f} percent ({stamp}):", ""]
     lines += [
-        f"| {r['schema_name']}.{r['table_name']} | {r['yesterday_count']} | {r['today_count']} "
-        f"| {r['direction']}{r['change_pct']:.1f}% |"
+        f"- `{r['schema_name']}.{r['table_name']}`: {r['yesterday_count']} rows before, {r['today_count']} now "
+        f"({r['direction']}{r['change_pct']:.1f} %)"
         for r in rows
     ]
-    return "Row Count Alert - FLUCTUATION DETECTED", "\n".join(lines)
+    return f"{pipeline}: row counts drifted", "\n".join(lines)

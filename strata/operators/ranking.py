@@ -22,7 +22,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.joins import broadcast_if_small
 from strata.session import ensure_checkpoint_dir
 
 
@@ -110,7 +109,7 @@ def global_rank(df: DataFrame, column: str, out: str, descending: bool = True) -
 def attach_ranks(rows: DataFrame, population: DataFrame, column: str, out: str, descending: bool = True) -> DataFrame:
     """Ranks of ``rows`` (a small selection, e.g. a top-k) among all of ``population``."""
     ranks = value_ranks(population, column, out, descending).withColumnRenamed(column, "_rv")
-    small = broadcast_if_small(rows)
+    small = rows
     return ranks.join(small, small[column].eqNullSafe(ranks["_rv"]), "inner").drop("_rv")
 
 
@@ -120,6 +119,6 @@ def attach_ranks_many(rows: DataFrame, population: DataFrame, specs: list[tuple[
     out = rows
     for c, _o, _d in specs:
         r = ranks[c].withColumnRenamed(c, "_rv")
-        small = broadcast_if_small(out)
+        small = out
         out = r.join(small, small[c].eqNullSafe(r["_rv"]), "inner").drop("_rv")
     return out

@@ -53,26 +53,18 @@ def failure_report(results: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     )
 
 
-def markdown(summary: DataFrame, failures: DataFrame, pipeline: str = "data_warehouse_full_pipeline",
+def markdown(summary: DataFrame, failures: DataFrame, pipeline: str,
              when: _dt.datetime | None = None) -> tuple[str, str]:
     """Q12: title and Markdown body from the summary row and the capped failure rows."""
     s = summary.first()
     stamp = (when or _dt.datetime.now(_dt.timezone.utc)).strftime("%Y-%m-%d %H:%M UTC")
-    lines = [
-        f"**DAG**: {pipeline}",
-        f"**Time**: {stamp}",
-        f"**Tests**: {s['total']} total | {s['pass_count']} passed",
-    ]
-    if s["overall_status"] == "FAILED":
-        lines[-1] += f" | {s['fail_count']} failed | {s['error_count']} errors"
-        lines.append("> Status: **FAILED**")
-        rows = failures.collect()
-        table = ["| Test | Model | Column | Message |", "| :--- | :--- | :--- | :--- |"]
-        table += [f"| {r['test']} | {r['model']} | {r['column_name']} | {r['message']} |" for r in rows]
-        body = "\n".join(lines) + "\n\n" + "\n".join(table)
-        more = rows[0]["more_failures"] if rows else 0
-        if more > 0:
-            body += f"\n\n... and {more} more failures."
-        return "Data Quality Alert - FAILED", body
-    lines.append("> Status: **PASSED**")
-    return "Data Quality Check - PASSED", "\n".join(lines) + f"\n\nAll {s['pass_count']} tests passed successfully."
+    if s["overall_status"] != "FAILED":
+        return (f"{pipeline}: checks passed",
+                f"All {s['total']} checks ran at {stamp}: {s['pass_count']} passed, {s['warn_count']} with a warning.")
+    rows = failures.collect()
+    lines = [f"{s['fail_count'] + s['error_count']} of {s['total']} checks failed at {stamp} ({s['pass_count']} passed):", ""]
+    lines += [f"- `{r['model']}`, column `{r['column_name']}`, check `{r['test']}`: {r['message']}" for r in rows]
+    more = rows[0]["more_failures"] if rows else 0
+    if more > 0:
+        lines.append(f"- and {more} more")
+    return f"{pipeline}: checks failed", "\n".join(lines)

@@ -89,6 +89,8 @@ class Warehouse:
 
     def model(self, name: str) -> DataFrame:
         layer, _, domain = name.partition("_")
+        if layer == "raw":
+            return adapters.raw(self.spark, self.sf_dir, domain)
         if layer == "ods":
             return self.ods(domain)
         if layer == "dwd":

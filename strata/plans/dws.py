@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
 from strata.operators.incremental import max_value, newer_than, recompute_changed, upsert
-from strata.operators.joins import broadcast_if_small, lookup_join
+from strata.operators.joins import lookup_join
 
 
 def _stamp(df: DataFrame, as_of) -> DataFrame:
@@ -109,6 +109,7 @@ def dws_ecommerce_category_daily(
         ["category"],
         lambda frame: _stamp(category_metrics(frame), as_of),
         partial=partial,
+        count_column="product_count",
     )
 
 
@@ -191,22 +192,28 @@ def dws_customer_order_summary_changed(
     """M17 incrementally: the same table as the full recompute merged by key.
 
     Only customers with an order or a customer row processed after the
-    target's last run are re-aggregated, over ALL their orders (I3 applied to
-    I9); the rest of the target is kept. Requires processing stamps that grow
-    from run to run (``as_of`` is the run clock), which the DWD upserts keep.
+    target's last run, or with another number of orders than the target holds
+    (an order went to another customer), are re-aggregated over ALL their
+    orders (I3 applied to I9); customers left without orders go, the rest of the
+    target is kept. Requires processing stamps that grow from run to run
+    (``as_of`` is the run clock), which the DWD upserts keep.
     """
     if target is None:
         return dws_customer_order_summary(dwd_orders, dwd_customers, as_of=as_of)
     since = F.lit(max_value(target, "_dws_processed_at")).cast("timestamp_ntz")
+    now = dwd_orders.groupBy("customer_id").agg(F.count("order_id").alias("_now"))
+    before = target.select(F.col("customer_id").alias("_id"), "total_orders")
+    left = before.join(now, F.col("_id") == F.col("customer_id"), "left").where(
+        F.coalesce("_now", F.lit(0)) != F.col("total_orders")).select(F.col("_id").alias("customer_id"))
     touched = (
         dwd_orders.where(F.col("_dwd_processed_at") > since).select("customer_id")
         .unionByName(dwd_customers.where(F.col("_dwd_processed_at") > since).select("customer_id"))
+        .unionByName(left)
         .distinct()
     )
-    touched = broadcast_if_small(touched)
-    return dws_customer_order_summary(
+    rebuilt = dws_customer_order_summary(
         dwd_orders.join(touched, "customer_id", "left_semi"),
         dwd_customers.join(touched, "customer_id", "left_semi"),
         as_of=as_of,
-        target=target,
     )
+    return target.join(touched, "customer_id", "left_anti").select(*target.columns).unionByName(rebuilt)

@@ -7,10 +7,10 @@ then the check suite, the count snapshot and drift, and the summary run.
 Each layer is written and read back by the next, so lineage is cut at every
 layer and a lost executor only re-runs the layer being written.
 
-Partitioned tables (DWD, day-keyed DWS) are stored under a hidden
-``_part_date`` column: the day (or month, ``grain="month"``, for small
-volumes) of a time column that is stable per key. An incremental run reads
-and rewrites only the partitions its batch touches. Their watermark is a
+Partitioned tables (DWD, day-keyed DWS) are stored under a hidden partition
+column that follows from the row's key: the day (or month, ``grain="month"``,
+for small volumes) of a time that never changes for a key, or a range of ids.
+An incremental run reads and rewrites only the partitions its batch touches. Their watermark is a
 marker written after the data commit, so a run that died during the commit
 is redone whole by the next run.
 """
@@ -30,27 +30,32 @@ from strata.plans import suite as S
 from strata.session import configure
 from strata.sources import adapters, api_payloads
 from strata.sources.ingest import (
-    append_raw, load_seed, read_current, read_partitioned, read_watermark, table_root, upsert_partitions,
+    append_raw, load_seed, path_exists, read_current, read_partitioned, read_watermark, table_root, upsert_partitions,
     with_ingest_meta, write_table, write_watermark,
 )
 
 DOMAINS = list(adapters.RAW)
-PART = "_part_date"
+PIPELINE = "strata run-all"
+PART, PART_ID = "_part_date", "_part_id"
 
-# Partitioned tables: (upsert keys, time column that places a row in a partition).
-# DWD keys are stable in their event time; rows without one go by load time.
+# Partitioned tables: (upsert keys, column that places a row in a partition).
+# The partition of a row must follow from its key, so that a batch alone names the
+# partitions it touches: events keep their creation time, forecasts are keyed by time,
+# and tables whose rows are loaded again at other times go by ranges of their id.
 # Day-keyed DWS tables use the day as a coarse key: re-opened days are replaced whole.
 PARTITIONED = {
     "dwd_github_events": (["event_id"], "event_date"),
     "dwd_weather_forecast": (["forecast_time"], "forecast_date"),
-    "dwd_business_orders": (["order_id"], "order_date_key"),
-    "dwd_business_order_items": (["item_id"], "_ingested_at"),
-    "dwd_business_customers": (["customer_id"], "_ingested_at"),
-    "dwd_ecommerce_products": (["product_id"], "_ingested_at"),
+    "dwd_business_orders": (["order_id"], "order_id"),
+    "dwd_business_order_items": (["item_id"], "item_id"),
+    "dwd_business_customers": (["customer_id"], "customer_id"),
+    "dwd_ecommerce_products": (["product_id"], "product_id"),
     "dws_github_daily_activity": (["event_date"], "event_date"),
     "dws_weather_daily_summary": (["forecast_date"], "forecast_date"),
     "dws_order_daily_summary": (["order_date_key"], "order_date_key"),
 }
+#: Ids per partition of the tables that go by id (about one file of 128 MB at 130 bytes a row).
+IDS_PER_PARTITION = 1_000_000
 
 DWS_ORDER = ["dws_github_daily_activity", "dws_weather_daily_summary", "dws_ecommerce_category_daily",
              "dws_order_daily_summary", "dws_customer_order_summary"]
@@ -109,8 +114,8 @@ class Job:
     # --- table access --------------------------------------------------------------
     def current(self, layer: str, name: str, internal: bool = False) -> DataFrame | None:
         if name in PARTITIONED:
-            df = read_partitioned(self.spark, self.base, layer, name, PART)
-            return df if df is None or internal else df.drop(PART)
+            df = read_partitioned(self.spark, self.base, layer, name, self._part_name(name))
+            return df if df is None or internal else df.drop(PART, PART_ID)
         return read_current(self.spark, table_root(self.base, layer, name))
 
     def save(self, df: DataFrame, layer: str, name: str) -> DataFrame:
@@ -120,19 +125,26 @@ class Job:
     def seed(self) -> DataFrame:
         return self._seed if self._seed is not None else load_seed(self.spark)
 
-    def _part(self, time_col: str) -> Column:
-        day = F.to_date(F.col(time_col))
+    @staticmethod
+    def _part_name(name: str) -> str:
+        return PART_ID if PARTITIONED[name][1].endswith("_id") else PART
+
+    def _part(self, column: str) -> Column:
+        if column.endswith("_id"):
+            return F.floor(F.col(column) / IDS_PER_PARTITION).cast("long")
+        day = F.to_date(F.col(column))
         return F.trunc(day, "MM") if self.grain == "month" else day
 
-    def _upsert(self, name: str, batch: DataFrame, mark) -> DataFrame:
+    def _upsert(self, name: str, batch: DataFrame, mark, newest: str | None = None) -> DataFrame:
         """Rewrite the partitions ``batch`` touches; record the watermark after the commit."""
-        keys, time_col = PARTITIONED[name]
+        keys, place = PARTITIONED[name]
         layer = _layer(name)
         target = self.current(layer, name, internal=True)
         # DWD tables follow the incoming columns, DWS tables only add new ones
         policy = "sync_all_columns" if layer == "dwd" else "append_new_columns"
-        path = upsert_partitions(target, batch.withColumn(PART, self._part(time_col)), keys,
-                                 self.base, layer, name, PART, policy=policy)
+        part = self._part_name(name)
+        path = upsert_partitions(target, batch.withColumn(part, self._part(place)), keys, self.base, layer, name, part,
+                                 policy=policy, stable=True, newest=newest)
         self.written[name] = path
         if mark is not None:
             write_watermark(self.spark, self.base, layer, name, mark)
@@ -159,9 +171,14 @@ class Job:
         rows = reader(docs, tz=tz) if domain == "weather_forecast" else reader(docs)
         self.land(domain, with_ingest_meta(rows, source, self.as_of))
 
+    def raw(self, domain: str) -> DataFrame:
+        return self.spark.read.parquet(table_root(self.base, "raw", domain))
+
+    def _landed(self, domain: str) -> bool:
+        return path_exists(self.spark, table_root(self.base, "raw", domain))
+
     def ods(self, domain: str) -> DataFrame:
-        raw = self.spark.read.parquet(table_root(self.base, "raw", domain))
-        return getattr(ods, f"ods_{domain}")(raw)
+        return getattr(ods, f"ods_{domain}")(self.raw(domain))
 
     def refresh_dwd(self, domain: str) -> DataFrame | None:
         """I1 + W5 + I4: the rows loaded since the recorded watermark, upserted by key.
@@ -227,10 +244,15 @@ class Job:
     # --- checks and monitoring ---------------------------------------------------------
     def tables(self, models: list[str] | None = None) -> dict[str, DataFrame]:
         wanted = (lambda n: True) if models is None else (lambda n: n in models)
-        out = {f"ods_{d}": self.ods(d) for d in DOMAINS if wanted(f"ods_{d}")}
-        for name in self.written:
-            if _layer(name) in ("dwd", "dws", "ads") and name in S.FULL_SUITE and wanted(name):
-                out[name] = self.current(_layer(name), name)
+        out = {}
+        for d in DOMAINS:
+            if self._landed(d):
+                out |= {n: f for n, f in ((f"raw_{d}", self.raw(d)), (f"ods_{d}", self.ods(d))) if wanted(n)}
+        for name in S.FULL_SUITE:  # every table there is, whether this run wrote it or not
+            if _layer(name) in ("dwd", "dws", "ads") and wanted(name):
+                frame = self.current(_layer(name), name)
+                if frame is not None:
+                    out[name] = frame
         return out
 
     def check(self, models: list[str] | None = None) -> DataFrame:
@@ -241,7 +263,7 @@ class Job:
     def monitor(self) -> DataFrame | None:
         """Q10 + I8: counts of every model table, drift against yesterday, snapshot upsert."""
         tables = self.tables()
-        counted = {(_layer(name), name): df for name, df in tables.items() if not name.startswith("ods_")}
+        counted = {(_layer(name), name): df for name, df in tables.items() if _layer(name) != "raw"}
         counts = monitor.table_counts(counted)
         snapshot = self.current("dws", "row_count_snapshot")
         drift = None
@@ -253,8 +275,12 @@ class Job:
 
 
 def run_all(spark: SparkSession, sf_dir: str, out_base: str, as_of=None, now=None, today=None,
-            seed: DataFrame | None = None, land: bool = True, grain: str = "day") -> RunResult:
-    """L1: full refresh of all four domains, then checks, drift and summary."""
+            seed: DataFrame | None = None, land: bool = True, grain: str = "day", gate: bool = False) -> RunResult:
+    """L1: full refresh of all four domains, then checks, drift and summary.
+
+    With ``gate`` a failed check of severity error raises after everything is
+    written and reported (Q14).
+    """
     job = Job(spark, out_base, as_of=as_of, seed=seed, now=now, today=today, grain=grain)
     if land:
         for domain in DOMAINS:
@@ -269,16 +295,18 @@ def run_all(spark: SparkSession, sf_dir: str, out_base: str, as_of=None, now=Non
     drift = job.monitor()
     summary = report.summarize(checks)
     # Q12: message texts from bounded rows (one summary row, <= 20 failures, <= one row per table)
-    messages = [report.markdown(summary, report.failure_report(checks), when=job.as_of)]
+    messages = [report.markdown(summary, report.failure_report(checks), PIPELINE, when=job.as_of)]
     if drift is not None:
-        alert = monitor.drift_markdown(drift, when=job.as_of)
+        alert = monitor.drift_markdown(drift, PIPELINE, when=job.as_of)
         if alert:
             messages.append(alert)
+    if gate:
+        quality.require_passed(checks)
     return RunResult(job.written, checks, summary, drift, messages)
 
 
 def run_domain(spark: SparkSession, domain: str, sf_dir: str, out_base: str, as_of=None, now=None, today=None,
-               seed: DataFrame | None = None, land: bool = True, grain: str = "day") -> RunResult:
+               seed: DataFrame | None = None, land: bool = True, grain: str = "day", gate: bool = False) -> RunResult:
     """L2: one domain from its ODS view downstream (where its other inputs exist), then its checks."""
     job = Job(spark, out_base, as_of=as_of, seed=seed, now=now, today=today, grain=grain)
     if land:
@@ -291,6 +319,8 @@ def run_domain(spark: SparkSession, domain: str, sf_dir: str, out_base: str, as_
     for name in ads_names:
         if all(job.current(_layer(t), t) is not None for t in ADS_INPUTS[name]):
             job.refresh_ads(name)
-    models = [f"ods_{domain}", f"dwd_{domain}", *dws_names, *ads_names]
+    models = [f"raw_{domain}", f"ods_{domain}", f"dwd_{domain}", *dws_names, *ads_names]
     checks = job.check(models)
+    if gate:
+        quality.require_passed(checks)
     return RunResult(job.written, checks, report.summarize(checks), None)

@@ -10,6 +10,7 @@ input, and the oracle states the final content.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from strata.functions import exprs as X
 from strata.operators import monitor, quality, report
 from strata.operators.dedup import latest_by_key
-from strata.operators.incremental import newer_than
+from strata.operators.incremental import newer_than, recompute_changed
 from strata.operators.joins import attach_latest, attach_one_row, lookup_join, orphans
 from strata.operators.ranking import global_rank, top_k_rank
 from strata.plans import ads, dwd, dws
@@ -26,8 +27,9 @@ from strata.plans import oracle as O
 from strata.plans import suite as S
 from strata.plans.catalog import AS_OF, Warehouse
 from strata.plans.registry import register
-from strata.sources.ingest import with_ingest_meta, with_layer
-from strata.sources.json_records import json_path, read_json_columnar, read_json_records
+from strata.session import ensure_checkpoint_dir
+from strata.sources.ingest import read_partitioned, upsert_partitions, with_ingest_meta, with_layer
+from strata.sources.json_records import json_path, quarantine, read_json_columnar, read_json_records
 from strata.sources.tables import read_table
 
 # Fixed split points (load time) between "yesterday's" and "today's" data per domain.
@@ -141,6 +143,21 @@ def q_json_products_root(spark, sf_dir):
     )
 
 
+@register("json_quarantine", """
+SELECT CAST(event_id % 50 = 7 AS BOOLEAN) AS broken, CAST(count(*) AS BIGINT) AS documents,
+       CAST(sum(CASE WHEN event_id % 50 = 7 THEN 0 ELSE event_id END) AS BIGINT) AS id_sum
+FROM events GROUP BY 1""")
+def q_json_quarantine(spark, sf_dir):
+    """S1 with broken documents: they are split off and counted, the others are read in full."""
+    e = read_table(spark, sf_dir, "events")
+    whole = F.to_json(F.array(F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("type"))))
+    doc = F.when(F.col("event_id") % 50 == 7, F.concat(whole, F.lit(",{"))).otherwise(whole)
+    good, bad = quarantine(e.select(doc.alias("doc")), "doc", "array")
+    rows = read_json_records(good, "doc", EVENT_DOC, {"id": "id"})
+    read = rows.agg(F.lit(False).alias("broken"), F.count(F.lit(1)).alias("documents"), F.sum(F.col("id").cast("long")).alias("id_sum"))
+    return read.unionByName(bad.agg(F.lit(True).alias("broken"), F.count(F.lit(1)).alias("documents"), F.lit(0).cast("long").alias("id_sum")))
+
+
 @register("json_columnar_zip", """
 SELECT event_id, ts AS time, value AS temperature_2m, CAST(user_id % 101 AS INTEGER) AS humidity FROM events""")
 def q_json_columnar_zip(spark, sf_dir):
@@ -361,23 +378,75 @@ def q_changed_categories_partial(spark, sf_dir):
     return _changed_categories(spark, sf_dir, partial=True)
 
 
+@register("changed_categories_moved", """
+SELECT CASE WHEN p_brand = 'Brand#55' THEN 'Brand#12' WHEN p_partkey % 5 = 0 THEN 'Brand#11' ELSE p_brand END AS category,
+       CAST(count(*) AS BIGINT) AS product_count, CAST(sum(CAST(round(p_retailprice * 100) AS BIGINT)) AS BIGINT) AS price_cents
+FROM part GROUP BY 1""")
+def q_changed_categories_moved(spark, sf_dir):
+    """Products change category and one category empties; the rebuilt table equals the full build."""
+    p = read_table(spark, sf_dir, "part")
+    old, stamp = F.col("p_brand"), lambda t: F.lit(t).cast("timestamp_ntz")
+    moved = (old == "Brand#55") | (F.col("p_partkey") % 5 == 0)
+    new = F.when(old == "Brand#55", F.lit("Brand#12")).when(F.col("p_partkey") % 5 == 0, F.lit("Brand#11")).otherwise(old)
+
+    def build(at):
+        return lambda frame: frame.groupBy("category").agg(
+            F.count(F.lit(1)).alias("product_count"), F.sum(F.round(F.col("price") * 100).cast("long")).alias("price_cents")
+        ).withColumn("_dws_processed_at", stamp(at))
+
+    first = p.select(old.alias("category"), F.col("p_retailprice").alias("price"))
+    second = p.select(
+        new.alias("category"), F.col("p_retailprice").alias("price"),
+        F.when(moved, stamp("2024-01-02 00:00:00")).otherwise(stamp("2024-01-01 00:00:00")).alias("_dwd_processed_at"),
+    )
+    out = recompute_changed(second, build("2024-01-01 00:00:00")(first), "_dwd_processed_at", "_dws_processed_at",
+                            ["category"], build("2024-01-02 00:00:00"), count_column="product_count")
+    return out.select("category", "product_count", "price_cents")
+
+
+@register("upsert_partitions_moved", """
+WITH f AS (SELECT min(date_trunc('month', o_orderdate)) AS m FROM orders),
+     o AS (SELECT *, (o_orderkey % 3 = 0 OR date_trunc('month', o_orderdate) = f.m) AS moved FROM orders, f)
+SELECT o_orderkey AS order_id, CASE WHEN moved THEN o_totalprice + 1 ELSE o_totalprice END AS total_amount,
+       CAST(date_trunc('month', CASE WHEN moved THEN o_orderdate + INTERVAL 1 YEAR ELSE o_orderdate END) AS DATE) AS order_month
+FROM o""")
+def q_upsert_partitions_moved(spark, sf_dir):
+    """I4 on disk: two loads of orders into month partitions; a third of the keys move to another
+    partition and the first one empties. Written to and read back from the shared folder."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-moved-{uuid.uuid4().hex[:12]}"
+    o = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total_amount"), F.to_date("o_orderdate").alias("day"))
+    month = lambda c: F.trunc(c, "MM").alias("_part_date")
+    first_month = o.agg(F.min(F.trunc("day", "MM"))).first()[0]
+    upsert_partitions(None, o.select("order_id", "total_amount", month(F.col("day"))), ["order_id"], base, "dwd", "orders", "_part_date")
+    moved = o.where((F.col("order_id") % 3 == 0) | (F.trunc("day", "MM") == F.lit(first_month)))
+    batch = moved.select("order_id", (F.col("total_amount") + 1).alias("total_amount"), month(F.add_months("day", 12)))
+    target = read_partitioned(spark, base, "dwd", "orders", "_part_date")
+    upsert_partitions(target, batch, ["order_id"], base, "dwd", "orders", "_part_date")
+    out = read_partitioned(spark, base, "dwd", "orders", "_part_date")
+    return out.select("order_id", "total_amount", F.col("_part_date").alias("order_month"))
+
+
 # =====================================================================================
 # Joins, windows, aggregates, scalar functions
 # =====================================================================================
 
 @register("anti_join_orphans", O.sql("""
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM dwd_business_order_items i
-        WHERE i.order_id IS NOT NULL AND i.order_id NOT IN (SELECT order_id FROM dwd_business_orders)) AS orphan_items,
+        WHERE i.order_id IS NOT NULL
+          AND i.order_id NOT IN (SELECT order_id FROM dwd_business_orders WHERE order_id % 11 <> 0)) AS orphan_items,
        (SELECT CAST(count(*) AS BIGINT) FROM dwd_business_orders o
         WHERE o.customer_id IS NOT NULL
-          AND o.customer_id NOT IN (SELECT customer_id FROM dwd_business_customers)) AS orphan_orders""",
+          AND o.customer_id NOT IN (SELECT customer_id FROM dwd_business_customers WHERE customer_id % 7 <> 0)) AS orphan_orders""",
     ["dwd_business_order_items", "dwd_business_orders", "dwd_business_customers"]))
 def q_anti_join_orphans(spark, sf_dir):
-    """Referential integrity of items to orders and orders to customers."""
+    """Referential integrity of items to orders and orders to customers, with parents taken out."""
     w = Warehouse(spark, sf_dir)
-    items, orders, customers = w.dwd("business_order_items"), w.dwd("business_orders"), w.dwd("business_customers")
+    items, orders = w.dwd("business_order_items"), w.dwd("business_orders")
+    customers = w.dwd("business_customers").where(F.col("customer_id") % 7 != 0)
+    orders, all_orders = orders.where(F.col("order_id") % 11 != 0), orders
     a = orphans(items, orders, "order_id").agg(F.count(F.lit(1)).cast("long").alias("orphan_items"))
-    b = orphans(orders, customers, "customer_id").agg(F.count(F.lit(1)).cast("long").alias("orphan_orders"))
+    b = orphans(all_orders, customers, "customer_id").agg(F.count(F.lit(1)).cast("long").alias("orphan_orders"))
     return attach_one_row(a, b)
 
 
@@ -614,6 +683,62 @@ def suite_sql(suite: dict) -> str:
             + " UNION ALL ".join(parts) + ")")
 
 
+# Rows as they look before cleaning: made from the given tables, with faults that the checks must count.
+_ITEM_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                 "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+DIRTY_SQL = {
+    "dirty_events": """
+SELECT CASE WHEN event_id % 29 = 0 THEN '' WHEN event_id % 31 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS event_id,
+       CASE WHEN event_id % 37 = 0 THEN NULL ELSE event_type END AS event_type FROM events""",
+    "dirty_orders": """
+SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_custkey END AS customer_id,
+       CASE WHEN o_orderkey % 19 = 0 THEN 'lost' WHEN o_orderkey % 21 = 0 THEN 'unknown' ELSE 'completed' END AS order_status,
+       CASE WHEN o_orderkey % 23 = 0 THEN -150.0 WHEN o_orderkey % 29 = 0 THEN 2000.0 ELSE 5.0 END AS change_pct,
+       CASE WHEN o_orderkey % 17 = 0 THEN -1 ELSE 1 END AS line_count FROM orders""",
+    "dirty_items": "SELECT " + ", ".join(
+        f"CASE WHEN l_orderkey % {k} = 0 THEN NULL ELSE {c} END AS {c}" for k, c in enumerate(_ITEM_COLUMNS, 3)
+    ) + " FROM lineitem",
+}
+for _name, _body in DIRTY_SQL.items():
+    O.rel(_name, _body)
+
+
+def _dirty(spark, sf_dir, name: str) -> DataFrame:
+    if name == "dirty_events":
+        e, key = read_table(spark, sf_dir, "events"), F.col("event_id")
+        return e.select(
+            F.when(key % 29 == 0, F.lit("")).when(key % 31 != 0, key.cast("string")).alias("event_id"),
+            F.when(key % 37 != 0, F.col("event_type")).alias("event_type"),
+        )
+    if name == "dirty_orders":
+        o, key = read_table(spark, sf_dir, "orders"), F.col("o_orderkey")
+        return o.select(
+            key.alias("order_id"), F.when(key % 13 != 0, F.col("o_custkey")).alias("customer_id"),
+            F.when(key % 19 == 0, F.lit("lost")).when(key % 21 == 0, F.lit("unknown")).otherwise(F.lit("completed"))
+            .alias("order_status"),
+            F.when(key % 23 == 0, F.lit(-150.0)).when(key % 29 == 0, F.lit(2000.0)).otherwise(F.lit(5.0)).alias("change_pct"),
+            F.when(key % 17 == 0, F.lit(-1)).otherwise(F.lit(1)).alias("line_count"),
+        )
+    i = read_table(spark, sf_dir, "lineitem")
+    return i.select(*[F.when(F.col("l_orderkey") % k != 0, F.col(c)).alias(c) for k, c in enumerate(_ITEM_COLUMNS, 3)])
+
+
+# The rule values stand here as literals of their own.
+DIRTY_SUITE = {
+    "dirty_events": [quality.assert_rows("no_empty", "event_id IS NULL OR event_id = '' OR event_type IS NULL OR event_type = ''"),
+                     quality.unique("event_id")],
+    "dirty_orders": [quality.not_null("customer_id"),
+                     quality.accepted_values("order_status", ["completed", "processing", "cancelled", "refunded"]),
+                     quality.reasonable_range("change_pct", -100, 1000),
+                     quality.assert_rows("positive_counts", "line_count < 0")],
+    "dirty_items": [c for x in _ITEM_COLUMNS for c in (quality.not_null(x), quality.unique(x))],
+}
+
+
+def _frame(spark, sf_dir, w: Warehouse, name: str) -> DataFrame:
+    return _dirty(spark, sf_dir, name) if name in DIRTY_SQL else w.model(name)
+
+
 def _select(suite: dict, kinds: set[str]) -> dict:
     out = {m: [c for c in checks if c.kind in kinds] for m, checks in suite.items()}
     return {m: cs for m, cs in out.items() if cs}
@@ -622,19 +747,20 @@ def _select(suite: dict, kinds: set[str]) -> dict:
 def _suite_query(suite: dict):
     def run(spark, sf_dir):
         w = Warehouse(spark, sf_dir)
-        return quality.run_suite({m: w.model(m) for m in suite}, suite)
+        return quality.run_suite({m: _frame(spark, sf_dir, w, m) for m in suite}, suite)
     return run
 
 
 _LAYERS = {**S.ODS_SUITE, **S.DWD_SUITE}
 DQ = {
-    "dq_not_null": _select(S.DWD_SUITE, {"not_null"}),
+    "dq_not_null": _select({**S.DWD_SUITE, **DIRTY_SUITE}, {"not_null"}),
     "dq_unique": _select(_LAYERS, {"unique"}),
     "dq_accepted_values": _select({**S.DWD_SUITE, **S.ADS_SUITE}, {"accepted_values"}),
-    "dq_range": _select(S.ADS_SUITE, {"reasonable_range"}),
+    "dq_range": _select({**S.ADS_SUITE, **DIRTY_SUITE}, {"reasonable_range"}),
     "dq_multicol": {"ods_business_orders": [S.ORDERS_MULTICOL]},
-    "dq_positive": _select(S.DWS_SUITE, {"assert_rows"}),
-    "dq_no_empty": {"ods_github_events": [S.ODS_NO_EMPTY]},
+    "dq_positive": {**_select(S.DWS_SUITE, {"assert_rows"}), "dirty_orders": [DIRTY_SUITE["dirty_orders"][-1]]},
+    "dq_no_empty": {"ods_github_events": [S.ODS_NO_EMPTY], "dirty_events": [DIRTY_SUITE["dirty_events"][0]]},
+    "dq_raw_sources": S.RAW_SUITE,
 }
 for _name, _suite in DQ.items():
     register(_name, O.sql(suite_sql(_suite), list(_suite)))(_suite_query(_suite))
@@ -647,6 +773,10 @@ def _full_results(spark, sf_dir) -> DataFrame:
     return quality.run_suite({m: w.model(m) for m in S.FULL_SUITE}, S.FULL_SUITE)
 
 
+_REPORTED = {**S.DWD_SUITE, **DIRTY_SUITE}
+O.rel("reported_suite", suite_sql(_REPORTED), list(_REPORTED))
+
+
 @register("dq_suite_summary", O.sql("""
 SELECT CAST(count(*) FILTER (WHERE status = 'pass') AS BIGINT) AS pass_count,
        CAST(count(*) FILTER (WHERE status = 'fail') AS BIGINT) AS fail_count,
@@ -668,11 +798,11 @@ SELECT test, model, column_name, message, CAST(greatest(n - 20, 0) AS BIGINT) AS
          coalesce(column_name, '-') AS column_name,
          replace(replace(substring(coalesce(message, ''), 1, 80), chr(10), ' '), '|', '\|') AS message,
          count(*) OVER () AS n
-  FROM full_suite WHERE status IN ('fail', 'error'))
-ORDER BY unique_id LIMIT 20""", ["full_suite"]))
+  FROM reported_suite WHERE status IN ('fail', 'error'))
+ORDER BY unique_id LIMIT 20""", ["reported_suite"]))
 def q_dq_failures_top20(spark, sf_dir):
-    """T4 + F20 + F21: the capped failure table of the suite."""
-    return report.failure_report(_full_results(spark, sf_dir), 20)
+    """T4 + F20 + F21: the capped failure table, over the clean models and the uncleaned inputs."""
+    return report.failure_report(_suite_query(_REPORTED)(spark, sf_dir), 20)
 
 
 _FRESH_PARTS = " UNION ALL ".join(

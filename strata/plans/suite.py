@@ -18,6 +18,16 @@ GITHUB_EVENT_TYPES = [
     "ReleaseEvent", "SponsorshipEvent",
 ]
 
+# Checks declared on the raw sources; uniqueness warns there as on ODS, since raw repeats keys.
+RAW_SUITE = {
+    "raw_github_events": [nn("id"), uq("id", "warn"), nn("type"), nn("created_at"), nn("repo_name")],
+    "raw_weather_forecast": [nn("time"), nn("temperature_2m")],
+    "raw_ecommerce_products": [nn("id"), uq("id", "warn"), nn("title"), nn("price")],
+    "raw_business_customers": [nn("customer_id"), uq("customer_id", "warn"), nn("customer_name")],
+    "raw_business_orders": [nn("order_id"), uq("order_id", "warn"), nn("order_date"), nn("total_amount")],
+    "raw_business_order_items": [nn("item_id"), uq("item_id", "warn"), nn("order_id")],
+}
+
 ODS_SUITE = {
     "ods_github_events": [nn("event_id"), uq("event_id", "warn"), nn("event_type"), nn("repo_name"), nn("_ingested_at")],
     "ods_weather_forecast": [nn("forecast_time"), nn("temperature_2m"), nn("_ingested_at")],
@@ -86,4 +96,5 @@ FRESHNESS_HOURS = {
     "business_order_items": (24, 48),
 }
 
-FULL_SUITE = {**ODS_SUITE, **DWD_SUITE, **DWS_SUITE, **ADS_SUITE}
+FULL_SUITE = {**RAW_SUITE, **ODS_SUITE, **DWD_SUITE, **DWS_SUITE, **ADS_SUITE}
+FULL_SUITE["ods_github_events"] = [*ODS_SUITE["ods_github_events"], ODS_NO_EMPTY]

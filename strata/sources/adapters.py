@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from strata.functions.exprs import trunc_ts
 from strata.sources.ingest import with_ingest_meta
 from strata.sources.tables import read_table
-from strata.operators.joins import broadcast_if_small
 
 # Fixed source-system names stamped at ingestion, one per upstream system.
 SOURCE_EVENTS = "github"
@@ -93,7 +92,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = c.join(broadcast_if_small(n), c.c_nationkey == n.n_nationkey, "inner")
+    joined = c.join(n, c.c_nationkey == n.n_nationkey, "inner")
     df = joined.select(
         F.col("c_custkey").alias("customer_id"),
         F.concat(F.lit(" "), F.col("c_name")).alias("customer_name"),

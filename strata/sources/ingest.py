@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.exprs import ts_literal
+from strata.session import ensure_checkpoint_dir
 
 # ---------------------------------------------------------------------------
 # The event-type category seed of the reference warehouse.
@@ -105,11 +106,8 @@ def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
 
 
 # --- versioned full-refresh / upsert sink -----------------------------------
-# Pointer files go through the Hadoop FileSystem API, so the same code works on
-# a shared cluster store (hdfs://, s3a://, abfs://) and on a local folder.
-
-_POINTER = "_CURRENT"
-
+# Paths go through the Hadoop FileSystem API, so the same code works on a shared
+# cluster store (hdfs://, s3a://, abfs://) and on a local folder.
 
 def table_root(base: str, layer: str, name: str) -> str:
     """Tables are addressed as ``<base>/<layer>/<name>`` (no name prefix)."""
@@ -122,20 +120,23 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath)
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
+    """The newest committed version: Spark's committer writes ``_SUCCESS`` last, so a
+    version without it is unfinished and invisible. Nothing has to be switched."""
     fs, jroot = _fs(spark, root)
-    pointer = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(jroot, _POINTER)
-    if not fs.exists(pointer):
+    if not fs.exists(jroot):
         return None
-    stream = fs.open(pointer)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8")
-        )
-        name = (reader.readLine() or "").strip()
-    finally:
-        stream.close()
-    return f"{root}/{name}" if name else None
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = sorted(st.getPath().getName() for st in fs.listStatus(jroot) if st.getPath().getName().startswith("v-"))
+    for name in reversed(names):
+        if fs.exists(path(f"{root}/{name}/_SUCCESS")):
+            return f"{root}/{name}"
+    return None
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
@@ -143,37 +144,38 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(path) if path else None
 
 
-def write_table(df: DataFrame, base: str, layer: str, name: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a new version of ``layer.name`` and switch the pointer to it.
+def write_table(df: DataFrame, base: str, layer: str, name: str, partition_by: Sequence[str] = (),
+                keep_versions: int = 2) -> str:
+    """Write a new version of ``layer.name``; it becomes current with its ``_SUCCESS`` mark.
 
-    The new version may be computed from the current one (upsert), since the
-    old files stay untouched until the pointer moves. Readers see either the
-    old or the new version, never a half-written one. A failed job leaves the
-    pointer on the last good version.
+    The new version may be computed from the current one (upsert), since older
+    versions stay untouched while it is written. Readers see the old or the
+    new version whole, whatever step a job dies in. Versions before the last
+    ``keep_versions`` committed ones, and older unfinished ones, are removed.
     """
     spark = df.sparkSession
     root = table_root(base, layer, name)
     version = f"v-{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     target = f"{root}/{version}"
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
-    fs, jroot = _fs(spark, root)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(jroot, f".{_POINTER}.{uuid.uuid4().hex[:8]}")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(version.encode("utf-8")))
-    finally:
-        out.close()
-    pointer = jvm.org.apache.hadoop.fs.Path(jroot, _POINTER)
-    if fs.exists(pointer):
-        fs.delete(pointer, False)
-    fs.rename(tmp, pointer)
+    _drop_old_versions(spark, root, keep_versions)
     return target
 
 
+def _drop_old_versions(spark: SparkSession, root: str, keep: int) -> None:
+    fs, jroot = _fs(spark, root)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = sorted(st.getPath().getName() for st in fs.listStatus(jroot) if st.getPath().getName().startswith("v-"))
+    done = [n for n in names if fs.exists(path(f"{root}/{n}/_SUCCESS"))]
+    if len(done) > keep:
+        for n in names:
+            if n < done[-keep]:
+                fs.delete(path(f"{root}/{n}"), True)
+
+
 def read_partitioned(spark: SparkSession, base: str, layer: str, name: str, partition_col: str) -> DataFrame | None:
     """Read a day-partitioned table; the day column comes back first, as TIMESTAMP_NTZ
     (or DATE for an internal ``_..._date`` partition column)."""
@@ -192,13 +194,12 @@ def read_partitioned(spark: SparkSession, base: str, layer: str, name: str, part
     fields = [T.StructField(f.name, part_type if f.name == partition_col else f.dataType, True)
               for f in inferred.fields]
     df = spark.read.schema(T.StructType(fields)).parquet(path)
-    order = _read_text(spark, f"{table_root(base, layer, name)}/_COLUMNS")
-    cols = order.split(",") if order else [partition_col] + [c for c in df.columns if c != partition_col]
-    return df.select(*[c for c in cols if c in df.columns])
+    return df.select(partition_col, *[c for c in df.columns if c != partition_col])
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small text file: write a temporary file, then rename it into place."""
+    """Replace a small text file: write a temporary file, then rename it over the old one
+    in one step, so a reader finds the old or the new text at any time."""
     fs, jpath = _fs(spark, path)
     jvm = spark.sparkContext._jvm
     tmp = jvm.org.apache.hadoop.fs.Path(jpath.getParent(), f".{jpath.getName()}.{uuid.uuid4().hex[:8]}")
@@ -207,9 +208,12 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(jpath):
-        fs.delete(jpath, False)
-    fs.rename(tmp, jpath)
+    option = jvm.org.apache.hadoop.fs.Options.Rename
+    overwrite = spark.sparkContext._gateway.new_array(option, 1)
+    overwrite[0] = option.OVERWRITE
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(jpath), overwrite)
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
@@ -235,6 +239,37 @@ def write_watermark(spark: SparkSession, base: str, layer: str, name: str, value
     _write_text(spark, f"{table_root(base, layer, name)}/_WATERMARK", value.isoformat())
 
 
+def stage_batch(df: DataFrame) -> DataFrame:
+    """Write a batch once to the cluster's checkpoint folder and read it back: it is used
+    several times by an upsert, and must be the same each time."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/batch-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _in_partitions(column: str, values: Sequence) -> Column:
+    """A partition filter with literals, so only the named partitions are listed and read."""
+    known = [v for v in values if v is not None]
+    out = F.col(column).isin(known) if known else F.lit(False)
+    return out | F.col(column).isNull() if len(known) < len(values) else out
+
+
+def touched_partitions(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], partition_col: str,
+                       stable: bool) -> list:
+    """Values of the partitions that an upsert of ``batch`` rewrites (bounded by their number).
+
+    With ``stable`` a row's partition follows from its key, so the batch alone
+    names them. Otherwise a key may have moved, and the key column of the
+    target is searched for the partitions that still hold one of the batch's keys.
+    """
+    found = {r[0] for r in batch.select(partition_col).distinct().collect()}
+    if target is not None and not stable:
+        old = target.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(partition_col).distinct()
+        found |= {r[0] for r in old.collect()}
+    return sorted(found, key=lambda v: (v is None, v))
+
+
 def upsert_partitions(
     target: DataFrame | None,
     batch: DataFrame,
@@ -244,32 +279,47 @@ def upsert_partitions(
     name: str,
     partition_col: str,
     policy: str = "sync_all_columns",
+    stable: bool = False,
+    newest: str | None = None,
 ) -> str:
     """I4 + I6 on disk, rewriting only the partitions the batch touches.
 
-    Touched partitions are those the batch writes to plus those where the
-    target still holds one of the batch's keys (a key that moved partition
-    is deleted from its old one). Each touched partition is rebuilt as
-    (target rows there, minus batch keys) + batch rows there, and replaced by
-    dynamic partition overwrite; untouched partitions are neither read nor
-    written. Re-running with the same batch gives the same content. Column
-    changes follow ``policy`` (``strata.operators.incremental.align``); the
-    resulting schema is recorded next to the data.
+    The batch is written once; the touched partitions (``touched_partitions``)
+    are collected and become literals of the partition filter on the target.
+    Each is rebuilt as (target rows there, minus batch keys) + batch rows there
+    and replaced by dynamic partition overwrite; a touched partition that ends
+    up without rows is deleted, since the overwrite leaves it as it was. Other
+    partitions are neither read nor written. With ``newest`` the row with the
+    greatest value of that column wins over the batch (late rows of a stream).
+    Re-running with the same batch gives the same content, also after a run
+    that died between overwrite and delete. Column changes follow ``policy``
+    (``strata.operators.incremental.align``); the schema is recorded next to
+    the data.
     """
+    from strata.operators.dedup import latest_by_key, rest_tiebreak
     from strata.operators.incremental import align
-    from strata.operators.joins import broadcast_if_small
 
-    path = f"{table_root(base, layer, name)}/data"
+    spark = batch.sparkSession
+    root = table_root(base, layer, name)
+    path = f"{root}/data"
+    batch = stage_batch(batch)
+    emptied: list = []
     if target is None:
         new = batch
     else:
         target, batch = align(target, batch, policy)
-        batch_keys = broadcast_if_small(batch.select(*keys).distinct())
-        moved = target.join(batch_keys, list(keys), "left_semi").select(partition_col)
-        touched = broadcast_if_small(batch.select(partition_col).unionByName(moved).distinct())
-        kept = target.join(touched, partition_col, "left_semi").join(batch_keys, list(keys), "left_anti")
-        # joins on column names move the key first: restore the table's order
-        new = kept.select(*target.columns).unionByName(batch.select(*target.columns))
+        touched = touched_partitions(target, batch, keys, partition_col, stable)
+        there = target.where(_in_partitions(partition_col, touched))
+        if newest:
+            both = there.unionByName(batch)
+            order = [F.col(newest).desc_nulls_first(), *rest_tiebreak(both, [*keys, newest, "_dwd_processed_at", partition_col])]
+            new = latest_by_key(both, keys, order, tiebreak=None)
+        else:
+            kept = there.join(batch.select(*keys).distinct(), list(keys), "left_anti")
+            # joins on column names move the key first: restore the table's order
+            new = kept.select(*target.columns).unionByName(batch.select(*target.columns))
+        held = {r[0] for r in new.select(partition_col).distinct().collect()}
+        emptied = [v for v in touched if v not in held]
     # rebalance: AQE splits a hot partition over several writers and merges small ones
     (
         new.hint("rebalance", partition_col)
@@ -278,13 +328,17 @@ def upsert_partitions(
         .partitionBy(partition_col)
         .parquet(path)
     )
-    _write_text(batch.sparkSession, f"{table_root(base, layer, name)}/_SCHEMA", new.schema.json())
+    for value in emptied:
+        folder = f"{path}/{partition_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+        fs, jpath = _fs(spark, folder)
+        fs.delete(jpath, True)
+    _write_text(spark, f"{root}/_SCHEMA", new.schema.json())
     return path
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
-    """Batch read of API documents dropped as JSON files into a folder."""
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+    """Batch read of API documents dropped as JSON files into a folder; a malformed document raises."""
+    return spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
 
 
 def read_jdbc(

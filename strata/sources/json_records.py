@@ -8,7 +8,9 @@ Three document shapes reach the warehouse:
 
 All of them take a frame with one JSON document per row (a string column) or
 an already-parsed struct column, so they work the same on a batch landing
-folder and on a stream. Parsing uses a declared schema, never inference.
+folder and on a stream. Parsing uses a declared schema, never inference. A
+malformed document raises; ``quarantine`` splits such documents off first, so
+they can be counted and kept.
 """
 
 from __future__ import annotations
@@ -23,10 +25,22 @@ from pyspark.sql import types as T
 def _parsed(df: DataFrame, column: str, schema: T.DataType) -> Column:
     field = df.schema[column].dataType
     if isinstance(field, T.StringType):
-        return F.from_json(F.col(column), schema)
+        return F.from_json(F.col(column), schema, {"mode": "FAILFAST"})
     return F.col(column)
 
 
+def quarantine(df: DataFrame, column: str, shape: str = "object") -> tuple[DataFrame, DataFrame]:
+    """(documents that are JSON of the given shape, the others); ``shape`` is "object" or "array".
+
+    Nothing is lost: a document is in exactly one of the two frames. Null
+    documents carry no rows and stay with the good ones.
+    """
+    text = F.col(column)
+    opens = F.substring(F.trim(text), 1, 1) == F.lit("[" if shape == "array" else "{")
+    good = text.isNull() | (F.try_parse_json(text).isNotNull() & opens)
+    return df.where(good), df.where(~good)
+
+
 def read_json_records(
     df: DataFrame,
     column: str,

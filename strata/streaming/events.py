@@ -12,8 +12,8 @@ event records dropped into a landing folder are a stream:
   bound; distinct actors are approximate (exact distinct is not supported on
   streams)
 
-Checkpoint folders live under the session's ``spark.checkpoint.dir`` unless
-given, so a restarted query resumes where it stopped.
+Checkpoint folders lie next to the stream's output unless given, so a restarted
+query resumes where it stopped, also in a new application.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions import exprs as X
 from strata.plans import dwd, ods
-from strata.session import ensure_checkpoint_dir
 
 # Raw event record as it lands (flattened API fields plus load metadata).
 RAW_EVENT_SCHEMA = T.StructType([
@@ -42,13 +41,10 @@ RAW_EVENT_SCHEMA = T.StructType([
 ])
 
 
-def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
-    if location:
-        return location
-    base = ensure_checkpoint_dir(spark)
-    if not base:
-        raise ValueError("no checkpoint location: set spark.checkpoint.dir or pass one")
-    return f"{base.rstrip('/')}/streams/{name}"
+def _checkpoint(output: str, name: str, location: str | None) -> str:
+    """The stream's own checkpoint folder: next to its output, so that a restarted
+    application finds it again (``spark.checkpoint.dir`` holds a folder per application)."""
+    return location or f"{output.rstrip('/')}_checkpoints/{name}"
 
 
 def read_landing_stream(spark: SparkSession, path: str, schema: T.StructType = RAW_EVENT_SCHEMA,
@@ -56,7 +52,7 @@ def read_landing_stream(spark: SparkSession, path: str, schema: T.StructType = R
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    return reader.option("mode", "FAILFAST").json(path)
 
 
 def typed_events(raw: DataFrame) -> DataFrame:
@@ -72,7 +68,7 @@ def land_stream(spark: SparkSession, landing: str, raw_path: str, checkpoint: st
     return (
         stream.writeStream.format("parquet")
         .option("path", raw_path)
-        .option("checkpointLocation", _checkpoint(spark, "land_events", checkpoint))
+        .option("checkpointLocation", _checkpoint(raw_path, "land_events", checkpoint))
         .trigger(availableNow=True)
         .start()
     )
@@ -120,27 +116,29 @@ def upsert_batches(spark: SparkSession, landing: str, out_base: str, as_of=None,
 
     The micro-batch goes through the same partitioned upsert as the batch job
     (``strata.plans.jobs.Job``): only the event days it touches are rewritten,
-    and the table layout is the one the batch pipeline reads. Rows not newer
-    than the recorded watermark are ignored (as in batch M7), so a replayed
-    micro-batch after a restart is a no-op.
+    and the table layout is the one the batch pipeline reads. Of the rows of an
+    event, stored or new, the one loaded last stays, so late and equal load
+    times lose nothing and a replayed micro-batch changes nothing.
     """
     from strata.operators.incremental import max_value
     from strata.plans.jobs import Job
+    from strata.sources.ingest import stage_batch
 
     stream = read_landing_stream(spark, landing)
     name = "dwd_github_events"
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
         job = Job(batch.sparkSession, out_base, as_of=as_of, grain=grain)
+        rows = stage_batch(dwd.dwd_github_events(typed_events(batch), as_of=job.as_of, merge=False))  # parsed once
+        last = max_value(rows, "_ingested_at", default=None)
+        if last is None:
+            return
         since = job._mark(name, "_ingested_at", job.current("dwd", name))
-        out = dwd.dwd_github_events(typed_events(batch), as_of=job.as_of, since=since, merge=False)
-        job._upsert(name, out, max_value(out, "_ingested_at", default=since))
+        job._upsert(name, rows, last if since is None else max(since, last), newest="_ingested_at")
 
     return (
         stream.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", _checkpoint(spark, "upsert_events", checkpoint))
+        .option("checkpointLocation", _checkpoint(out_base, "upsert_events", checkpoint))
         .trigger(availableNow=True)
         .start()
     )

@@ -76,7 +76,7 @@ def test_dedup_leaves_unique_keys(spark):
 
 
 def test_failed_write_keeps_last_good_version(spark, scratch):
-    """The pointer moves only after a complete write; a failing job leaves the old version readable."""
+    """A version counts only once it is complete; a failing job leaves the old version readable."""
     from pyspark.sql import functions as F
 
     from strata.sources.ingest import read_current, table_root, write_table

@@ -63,13 +63,13 @@ def test_drift_cases(spark):
     assert (out["down"]["direction"], out["down"]["change_pct"]) == ("-", 31.0)
     upd = monitor.snapshot_upsert(snap, today, day)
     assert upd.count() == 5 + 6
-    title, body = monitor.drift_markdown(monitor.row_count_drift(today, snap, day, alerts_only=False),
+    title, body = monitor.drift_markdown(monitor.row_count_drift(today, snap, day, alerts_only=False), "nightly",
                                          when=dt.datetime(2024, 1, 2, 7, 0))
-    assert title == "Row Count Alert - FLUCTUATION DETECTED"
-    assert "| s.up | 100 | 131 | +31.0% |" in body and "| s.down | 100 | 69 | -31.0% |" in body
-    assert "s.thirty" not in body and "**Time**: 2024-01-02 07:00 UTC" in body
+    assert title == "nightly: row counts drifted"
+    assert "`s.up`: 100 rows before, 131 now (+31.0 %)" in body and "`s.down`: 100 rows before, 69 now (-31.0 %)" in body
+    assert "s.thirty" not in body and "2024-01-02 07:00 UTC" in body
     calm = monitor.row_count_drift(today.where("table_name = 'zero'"), snap, day, alerts_only=False)
-    assert monitor.drift_markdown(calm) is None
+    assert monitor.drift_markdown(calm, "nightly") is None
 
 
 def test_failure_report_caps_and_text(spark):
@@ -81,8 +81,8 @@ def test_failure_report_caps_and_text(spark):
     assert top[0]["model"] == "m00" and top[0]["test"] == "not_null__c"
     summary = report.summarize(res).first()
     assert (summary["fail_count"], summary["total"], summary["overall_status"]) == (25, 25, "FAILED")
-    title, body = report.markdown(report.summarize(res), report.failure_report(res, 20))
-    assert title.endswith("FAILED") and "... and 5 more failures." in body
+    title, body = report.markdown(report.summarize(res), report.failure_report(res, 20), "nightly")
+    assert title == "nightly: checks failed" and body.endswith("- and 5 more")
     # an id with two parts keeps the whole id as model
     two = spark.createDataFrame([("a.b", "fail", "msg", "c")], "unique_id string, status string, message string, "
                                                              "column_name string")

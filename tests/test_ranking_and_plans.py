@@ -5,9 +5,10 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from strata.operators.joins import broadcast_if_small
+from strata.operators.joins import attach_one_row
 from strata.operators.ranking import global_rank, top_k_rank, value_ranks_many
 from strata.plans.catalog import Warehouse
+import pytest
 from conftest import SF001
 
 
@@ -57,8 +58,7 @@ def test_scan_prunes_and_pushes(spark):
     assert "o_orderpriority" in p and "o_comment" not in p
 
 
-def test_broadcast_only_when_small(spark):
-    small = spark.range(10)
-    hinted = broadcast_if_small(small)
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    assert broadcast_if_small(small, limit_bytes=1) is small
+def test_attach_one_row_checks_its_side(spark):
+    assert attach_one_row(spark.range(3), spark.range(1).selectExpr("7 AS x")).where("x = 7").count() == 3
+    with pytest.raises(Exception, match="exactly one row"):
+        attach_one_row(spark.range(3), spark.range(2).selectExpr("id AS x")).collect()
