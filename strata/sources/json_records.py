@@ -36,8 +36,11 @@ def quarantine(df: DataFrame, column: str, shape: str = "object") -> tuple[DataF
     documents carry no rows and stay with the good ones.
     """
     text = F.col(column)
-    opens = F.substring(F.trim(text), 1, 1) == F.lit("[" if shape == "array" else "{")
-    good = text.isNull() | (F.try_parse_json(text).isNotNull() & opens)
+    start, end = ("[", "]") if shape == "array" else ("{", "}")
+    # the parser stops after the first value, so what follows it has to be looked at as well
+    bare = F.regexp_replace(text, r"^\s+|\s+$", "")
+    framed = bare.startswith(start) & bare.endswith(end)
+    good = text.isNull() | (F.try_parse_json(text).isNotNull() & framed)
     return df.where(good), df.where(~good)
 
 
