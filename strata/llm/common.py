@@ -29,12 +29,34 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write go with its end, as nothing reads them again
+    (Spark keeps them else until the driver collects its garbage).
+    """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stage_folder = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of staged frames that nothing reads any more (later stages are written)."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df.stage_folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(doc_id, modulus: int, remainder: int):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import stage
+from strata.llm.common import release, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("hi", "lo"))).first()
         if now == mark or now[0] == 0:
             break
-        mark = now
+        mark, last = now, edges
         edges = stage(_small_star(_large_star(edges).distinct()).distinct(), "links")
+        release(last)
     members = edges.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
     return members.union(edges.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())

@@ -15,10 +15,14 @@ connected components of the links.
    The sketch of the union estimates each pair's similarity, the full sets
    verify it, and components form. A list with a third of all documents costs
    one row per member.
-4. The rest: pairs of a list that are still in different components, short lists
-   by a join, long ones as blocks of a few hundred members against each other.
-   After that no pair that shares a list is unexamined across components, so no
-   link between components is missing, and copies never unfold into all pairs.
+4. The rest: pairs of a list that are still in different components. Shingles that
+   only one document of these lists has bound what it can share with any other;
+   pairs below the threshold by that are out. The others meet in a join (short
+   lists) or as blocks of a few hundred members against each other; members of one
+   family are compared exactly there, by their differences from the family's most
+   central member, and what remains is estimated and verified like stars. After that no pair that shares a list is
+   unexamined across components, so no link between components is missing, and
+   copies never unfold into all pairs.
 
 Defined results: null, blank and empty texts have no shingles and link with
 nothing; fewer words than a shingle make one shingle of all; repeated rows share
@@ -37,12 +41,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import LOWER, chained, doc_blocks, ragged, stage, word_hashes, word_spans
+from strata.llm.common import LOWER, chained, doc_blocks, ragged, release, stage, word_hashes, word_spans
 from strata.llm.graph import components
 
 RISK = 1e-8
-#: Lists up to this length meet in a join; longer ones in blocks of this size (rows per side and task group).
-BLOCK_MEMBERS = 64
+#: Lists up to this length meet in a join; longer ones in blocks of up to about BLOCK_ROWS members a side.
+BLOCK_MEMBERS = 16
+BLOCK_ROWS = 256
 #: Up to this many candidate documents (about 40 bytes each) their ids are broadcast to find their texts.
 BROADCAST_IDS = 300_000
 
@@ -157,66 +162,155 @@ def similar(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, s: Settings) ->
     return exact.withColumn("i", inter).where(F.col("i") * s.den >= (F.col("na") + F.col("nb") - F.col("i")) * s.num).select("a", "b").distinct()
 
 
-def open_pairs(lists: DataFrame, comps: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
-    """Pairs that share a list, lie in different components and haven't met in a star."""
-    named = lists.join(comps.select(F.col("node").alias("nid"), "component"), "nid", "left")
-    named = named.select("v", "nid", "lead", F.coalesce("component", "nid").alias("comp")).where("nid <> lead")
-    per = named.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("n"))
-    tops = per.groupBy("v").agg(
-        F.count(F.lit(1)).alias("comps"), F.sum("n").alias("m"), F.max(F.struct("n", "comp")).alias("top")
-    ).where("comps > 1")
-    rest = stage(named.join(tops.select(F.col("v").alias("w"), "m", F.col("top.comp").alias("main")), F.col("v") == F.col("w")).drop("w", "lead"), "open-lists")
+def own_shingles(sets: DataFrame, nids: DataFrame) -> DataFrame:
+    """nid, u: how many shingles of a node no other of the given nodes has.
 
-    short = rest.where(F.col("m") <= BLOCK_MEMBERS).select("v", "nid", "comp")
-    other = short.select(F.col("v").alias("w"), F.col("nid").alias("b"), F.col("comp").alias("comp_b"))
-    pairs = short.join(other, (F.col("v") == F.col("w")) & (F.col("nid") < F.col("b")) & (F.col("comp") != F.col("comp_b")))
-    pairs = pairs.select(F.col("nid").alias("a"), "b").distinct()
+    Those can't be shared, so a pair shares at most min(n - u) shingles. A group
+    of copies that were each edited on their own is told apart by this alone.
+    """
+    rows = sets.join(nids, "nid", "left_semi").select("nid", F.explode("vals").alias("s"))
+    single = rows.groupBy("s").agg(F.min("nid").alias("nid"), F.max("nid").alias("last")).where("nid = last")
+    return single.groupBy("nid").agg(F.count(F.lit(1)).alias("u"))
+
+
+def _can_link(s: Settings, na: Column, ua: Column, nb: Column, ub: Column) -> Column:
+    shared = F.least(na - ua, nb - ub)
+    return shared * s.den >= (na + nb - shared) * s.num
+
+
+def common_counts(left, right, width: int = 8192) -> np.ndarray:
+    """How many values each array of ``left`` shares with each array of ``right`` (no repeats within an array)."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    arrays = [np.asarray(x, np.int64) for x in [*left, *right]]
+    flat = np.concatenate([*arrays, np.empty(0, np.int64)])
+    if not len(flat):
+        return out
+    owner = np.repeat(np.arange(len(arrays)), [len(x) for x in arrays])
+    _, codes, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    several = counts[codes] > 1
+    owner, codes = owner[several], np.unique(codes[several], return_inverse=True)[1]
+    order = np.argsort(codes, kind="stable")
+    owner, codes = owner[order], codes[order]
+    for a in range(0, int(codes[-1]) + 1 if len(codes) else 0, width):  # a slice of the values at a time
+        s, e = np.searchsorted(codes, [a, a + width])
+        grid = np.zeros((len(arrays), width), np.float32)
+        grid[owner[s:e], codes[s:e] - a] = 1
+        out += (grid[: len(left)] @ grid[len(left) :].T).astype(np.int64)
+    return out
+
+
+def _deltas(nids: DataFrame, sets: DataFrame) -> DataFrame:
+    """nid, fam, fam_n, missing, extra: what a node lacks of its family's leader and has beyond it."""
+    own = nids.join(sets.select("nid", "vals"), "nid")
+    lead = sets.select(F.col("nid").alias("fam"), F.col("n").alias("fam_n"), F.col("vals").alias("lead_vals"))
+    both = own.join(lead, "fam")
+    return both.select(
+        "nid", "fam", "fam_n", F.array_except("lead_vals", "vals").alias("missing"), F.array_except("vals", "lead_vals").alias("extra")
+    ).dropDuplicates(["nid"])
+
+
+def open_pairs(lists: DataFrame, comps: DataFrame, nodes: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Pairs that share a list, lie in different components, haven't met in a star and could be linked."""
+    top = F.max(F.struct("lead_shared", "lead_weight", "lead"))
+    family = lists.groupBy("nid").agg(top.alias("t")).select("nid", F.col("t.lead").alias("fam"))
+    for _ in range(2):  # a leader may follow a more central one
+        above = family.select(F.col("nid").alias("lead_nid"), F.col("fam").alias("top_fam"))
+        family = family.join(above, F.col("fam") == F.col("lead_nid"), "left").select("nid", F.coalesce("top_fam", "fam").alias("fam"))
+    family = stage(family, "families")
+    named = lists.where("nid <> lead").join(comps.select(F.col("node").alias("nid"), "component"), "nid", "left")
+    named = named.select("v", "nid", F.coalesce("component", "nid").alias("comp"))
+
+    def still_open(members: DataFrame) -> DataFrame:
+        per = members.groupBy("v", "comp").agg(F.count(F.lit(1)).alias("k"))
+        tops = per.groupBy("v").agg(
+            F.count(F.lit(1)).alias("comps"), F.sum("k").alias("m"), F.max(F.struct("k", "comp")).alias("top")
+        ).where("comps > 1").select(F.col("v").alias("w"), "m", F.col("top.comp").alias("main"))
+        return members.join(tops, F.col("v") == F.col("w")).drop("w")
+
+    first = stage(still_open(named), "open-lists")
+    own = own_shingles(sets, first.select("nid").distinct())
+    known = stage(
+        first.select("nid").distinct().join(nodes.select("nid", F.col("n_shingles").alias("n")), "nid").join(own, "nid", "left")
+        .select("nid", "n", F.coalesce("u", F.lit(0)).alias("u")), "own-shingles",
+    )
+    rest = first.select("v", "nid", "comp").join(known, "nid")
+    # the best partner that a list could hold is as small as its smallest member
+    least = rest.groupBy("v").agg(F.min("n").alias("lo")).withColumnRenamed("v", "w")
+    room = F.col("n") - F.col("u")
+    rest = rest.join(least, F.col("v") == F.col("w")).where(
+        room * s.den >= (F.greatest("lo", room) + F.col("u")) * s.num
+    ).drop("w", "lo")
+    rest = stage(still_open(rest), "open-lists")
+
+    short = rest.where(F.col("m") <= BLOCK_MEMBERS).select("v", "nid", "comp", "n", "u")
+    other = short.select(*[F.col(c).alias(f"{c}2") for c in short.columns])
+    pairs = short.join(other, (F.col("v") == F.col("v2")) & (F.col("nid") < F.col("nid2")) & (F.col("comp") != F.col("comp2")))
+    pairs = pairs.where(_can_link(s, F.col("n"), F.col("u"), F.col("n2"), F.col("u2")))
+    pairs = pairs.select(F.col("nid").alias("a"), F.col("nid2").alias("b")).distinct()
 
     long = rest.where(F.col("m") > BLOCK_MEMBERS)
     if long.isEmpty():
         return pairs
     odd = F.col("comp") != F.col("main")
     n_odd = long.where(odd).groupBy("v").agg(F.count(F.lit(1)).alias("o")).withColumnRenamed("v", "w")
-    size = F.lit(float(4 * BLOCK_MEMBERS))
-    long = long.join(n_odd, F.col("v") == F.col("w")).drop("w").join(nodes.select("nid", "sketch"), "nid")
+    size = F.lit(float(BLOCK_ROWS))
+    ids = long.select("nid").distinct()
+    deltas = stage(_deltas(ids.join(family, "nid"), sets), "deltas")
+    long = long.join(n_odd, F.col("v") == F.col("w")).drop("w").join(nodes.select("nid", "sketch"), "nid").join(deltas, "nid")
     long = long.withColumn("rows", F.ceil(F.col("o") / size)).withColumn("cols", F.ceil(F.col("m") / size))
+    zero = F.lit(0).cast("long")
     left = long.where(odd).select(
-        "v", F.pmod(F.hash("nid"), F.col("rows")).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cols") - 1)).alias("j"),
-        F.lit(True).alias("is_left"), "nid", "comp", odd.alias("odd"), "sketch",
+        "v", F.pmod(F.hash("nid"), F.col("rows")).alias("i"), F.explode(F.sequence(zero, F.col("cols") - 1)).alias("j"),
+        F.lit(True).alias("is_left"), "nid", "comp", "n", "u", odd.alias("odd"), "sketch", "fam", "fam_n", "missing", "extra",
     )
     right = long.select(
-        "v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"), F.pmod(F.hash("nid"), F.col("cols")).alias("j"),
-        F.lit(False).alias("is_left"), "nid", "comp", odd.alias("odd"), "sketch",
+        "v", F.explode(F.sequence(zero, F.col("rows") - 1)).alias("i"), F.pmod(F.hash("nid"), F.col("cols")).alias("j"),
+        F.lit(False).alias("is_left"), "nid", "comp", "n", "u", odd.alias("odd"), "sketch", "fam", "fam_n", "missing", "extra",
     )
-    least = s.least_shared
+    least_shared, num, den = s.least_shared, s.num, s.den
 
     def meet(block: pd.DataFrame) -> pd.DataFrame:
+        """Linked pairs of a left and a right member: exact for members of one family, whose
+        sets are known by what they lack of and add to the family's leader; the pairs of
+        others that own shingles and sketches allow."""
         l, r = block[block.is_left], block[~block.is_left]
-        out_a, out_b = [], []
-        if len(l) and len(r):
-            values, inverse = np.unique(np.concatenate([*r.sketch]), return_inverse=True)
-            owner = np.repeat(np.arange(len(r)), [len(x) for x in r.sketch])
-            grid = np.zeros((len(r), len(values)), np.int16)
-            grid[owner, inverse] = 1
-            comp, nid, is_odd = r.comp.to_numpy(), r.nid.to_numpy(), r.odd.to_numpy()
-            for n, c, x in zip(l.nid, l.comp, l.sketch, strict=True):
-                at = np.searchsorted(values, x)
-                at = at[(at < len(values)) & (values[np.minimum(at, len(values) - 1)] == np.asarray(x))]
-                shared = grid[:, at].sum(axis=1)
-                hit = (shared >= min(least, len(x) * 4 // 5)) & (comp != c) & (~is_odd | (nid > n))
-                out_b += nid[hit].tolist()
-                out_a += [n] * int(hit.sum())
-        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+        if not len(l) or not len(r):
+            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+        ln, lu, rn, ru = (x.to_numpy(np.int64) for x in (l.n, l.u, r.n, r.u))
+        most = np.minimum((ln - lu)[:, None], (rn - ru)[None, :])
+        total = ln[:, None] + rn[None, :]
+        ok = most * den >= (total - most) * num
+        ok &= l.comp.to_numpy()[:, None] != r.comp.to_numpy()[None, :]
+        ok &= ~r.odd.to_numpy(bool)[None, :] | (r.nid.to_numpy()[None, :] > l.nid.to_numpy()[:, None])
+        if ok.any():
+            lens = lambda f, c: np.array([len(x) for x in f[c]], np.int64)
+            kin = l.fam.to_numpy()[:, None] == r.fam.to_numpy()[None, :]
+            shared = l.fam_n.to_numpy(np.int64)[:, None] - lens(l, "missing")[:, None] - lens(r, "missing")[None, :]
+            shared = shared + common_counts(l.missing, r.missing) + common_counts(l.extra, r.extra)
+            linked = shared * den >= (total - shared) * num
+            ls, rs = lens(l, "sketch"), lens(r, "sketch")
+            least = np.minimum(least_shared, np.minimum(ls[:, None], rs[None, :]) * num // den)
+            close = common_counts(l.sketch, r.sketch) >= least
+            ok &= np.where(kin, linked, close)
+        i, j = np.nonzero(ok)
+        if len(i):  # of a row's verified links to one component, one connects as well as all
+            exact = np.flatnonzero(kin[i, j])
+            _, comp = np.unique(r.comp.to_numpy()[j[exact]], return_inverse=True)
+            _, first = np.unique(i[exact] * (len(exact) + 1) + comp, return_index=True)
+            keep = ~kin[i, j]
+            keep[exact[first]] = True
+            i, j = i[keep], j[keep]
+        return pd.DataFrame({"a": l.nid.to_numpy()[i], "b": r.nid.to_numpy()[j]})
 
     blocks = left.union(right).groupBy("v", "i", "j").applyInPandas(meet, "a long, b long")
     return pairs.union(blocks.select(F.least("a", "b"), F.greatest("a", "b"))).distinct()
 
 
 def near_duplicates(docs: DataFrame, s: Settings | None = None) -> DataFrame:
-    """doc_id, th, n_shingles, component_id, kept for every row of docs (doc_id, text).
+    """doc_id, th, n_shingles, group_id, component_id, kept for every row of docs (doc_id, text).
 
-    component_id is the smallest doc_id among all linked documents and copies;
-    kept marks the rows that carry it.
+    group_id names the group (null without words), component_id is the smallest
+    doc_id among all linked documents and copies; kept marks the rows that carry it.
     """
     s = s or Settings()
     prepared = stage(sketches(docs, s), "sketches")
@@ -229,23 +323,57 @@ def near_duplicates(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     # a list's most central member: with most shared values, in the longest lists
     lead = lists.groupBy("v").agg(
         F.count(F.lit(1)).alias("len"), F.max(F.struct("n_shared", "weight", "nid")).alias("top")
-    ).where("len > 1").select(F.col("v").alias("w"), F.col("top.nid").alias("lead"))
-    lists = stage(lists.join(lead, F.col("v") == F.col("w")).select("v", "nid", "lead"), "led-lists")
+    ).where("len > 1").select(
+        F.col("v").alias("w"), F.col("top.nid").alias("lead"), F.col("top.n_shared").alias("lead_shared"), F.col("top.weight").alias("lead_weight")
+    )
+    all_lists = lists
+    lists = stage(lists.join(lead, F.col("v") == F.col("w")).drop("w", "n_shared", "weight"), "led-lists")
+    release(all_lists)
 
     wanted = lists.select("nid").distinct().join(nodes.select("nid", "rep.doc_id", "rep.th"), "nid")
     sets = stage(full_sets(docs, stage(wanted, "wanted"), s), "sets")
     stars = lists.where("nid <> lead").select(F.col("lead").alias("a"), F.col("nid").alias("b")).distinct()
     links = stage(similar(stars, nodes, sets, s), "links-1")
     comps = stage(components(links, "a", "b"), "components-1")
-    more = stage(similar(open_pairs(lists, comps, nodes, s), nodes, sets, s), "links-2")
+    more = stage(similar(open_pairs(lists, comps, nodes, sets, s), nodes, sets, s), "links-2")
+    release(lists, sets)
     if not more.isEmpty():
         comps = stage(components(links.union(more), "a", "b"), "components-2")
 
     named = nodes.select("nid", "first_id").join(comps.withColumnRenamed("node", "nid"), "nid", "left")
     smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("first_id").alias("least_id"))
     named = named.join(smallest, "component", "left").select(
-        F.col("nid").alias("node"), F.coalesce("least_id", "first_id").alias("least_id")
+        F.col("nid").alias("node"), F.coalesce("component", "nid").alias("group_id"),
+        F.coalesce("least_id", "first_id").alias("least_id"),
     )
     out = prepared.select("doc_id", "th", "n_shingles", "nid").join(named, F.col("nid") == F.col("node"), "left")
     out = out.withColumn("component_id", F.when(F.col("nid").isNull(), F.col("doc_id")).otherwise(F.col("least_id")))
-    return out.select("doc_id", "th", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "th", "n_shingles", "group_id", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def one_per_group(docs: DataFrame, s: Settings | None = None) -> DataFrame:
+    """The rows of docs without near duplicates: of each group the row with the smallest
+    doc_id (then text hash) stays; rows without words all stay."""
+    rows = stage(near_duplicates(docs.select("doc_id", "text"), s), "near-duplicates")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
+    best = rows.where("group_id IS NOT NULL").groupBy("group_id").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n"))
+    grouped = rows.join(best.where("n > 1").withColumnRenamed("group_id", "g"), F.col("group_id") == F.col("g"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th"))
+    gone = stage(grouped.where(~stays).select(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th")).distinct(), "gone")
+    again = stage(
+        grouped.where(stays).groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+            F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th")
+        ), "repeated",
+    )
+
+    def matching(small: DataFrame):
+        left = F.broadcast(small) if small.count() <= BROADCAST_IDS else small
+        return left, docs["doc_id"].cast("long").eqNullSafe(left["gone_id"]) & (F.xxhash64(docs["text"]) == left["gone_th"])
+
+    left, match = matching(gone)
+    kept = docs.join(left, match, "left_anti")
+    if not again.isEmpty():  # a row that stands several times stays once
+        left, match = matching(again)
+        once = docs.join(left, match, "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(left, match, "left_anti").unionByName(once)
+    return kept
