@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import BYTE_VALUES, doc_blocks, mix64, powers, prefix_hash, ragged, span_hash, stage
+from strata.llm.common import BYTE_VALUES, doc_blocks, mix64, powers, prefix_hash, ragged, release, span_hash, stage
 
 LENGTH = 200
 GRAM = 32
@@ -90,6 +90,7 @@ class SuffixFamily:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.levels: list[tuple[int, DataFrame]] = []  # batches held, (suffix, many)
+        self.merged: list[DataFrame] = []  # levels that went into larger ones
 
     def add(self, suffixes: DataFrame) -> DataFrame:
         """``suffixes``: one row per sampled suffix of a new batch (column ``suffix``).
@@ -105,6 +106,7 @@ class SuffixFamily:
         held = 1
         while self.levels and self.levels[-1][0] == held:
             _, other = self.levels.pop()
+            self.merged += [array, other]
             both = array.unionByName(other).groupBy("suffix").agg((F.max("many") | (F.count(F.lit(1)) > 1)).alias("many"))
             array, held = stage(both.sortWithinPartitions("suffix"), "level"), 2 * held
         self.levels.append((held, array))
@@ -113,6 +115,10 @@ class SuffixFamily:
             out = out.union(r)
         return out
 
+    def drop(self) -> None:
+        """Remove the files of all levels (a family that is to grow further is kept)."""
+        release(*self.merged, *[level for _, level in self.levels])
+
 
 def sampled_suffixes(docs: DataFrame, length: int) -> DataFrame:
     """doc_id, th, suffixes: each document's distinct sampled suffixes, and ``twice`` for those it holds twice."""
@@ -220,19 +226,26 @@ def _with_rows(texts: DataFrame, per_row: DataFrame, column: str) -> DataFrame:
     return joined.select(texts["doc_id"], texts["th"], texts["text"], per_row[column])
 
 
-def _groups(runs: DataFrame, keys: list[str], core: list[str], name: str) -> tuple[DataFrame, DataFrame]:
-    """(spans of runs that recur whole, one run of each group still to be split).
+def _groups(runs: DataFrame, keys: list[str], core: list[str], length: int, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """(spans of runs that recur whole, one run of each group still to be split); ``runs`` is used up.
 
     ``keys`` say what makes runs equal, ``core`` what any equal strings of two
     runs must share. Of runs that recur one is kept as a partner for the rest.
     """
     groups = runs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "anchor")).alias("rep"))
-    groups = stage(groups, name)
+    groups = stage(groups, "groups")
     many = groups.where("n > 1").select(*[F.col(k).alias(f"g_{k}") for k in keys])
     match = F.lit(True)
     for k in keys:
         match = match & (F.col(k) == F.col(f"g_{k}"))
-    solved = runs.join(many, match).select("doc_id", "th", "anchor", "lo", "hi")
+    solved = runs.join(many, match).select(
+        "doc_id", "th", (F.col("anchor") - F.col("hi")).alias("start"), (F.col("anchor") - F.col("lo") + length).alias("end")
+    )
+    solved = stage(solved, "spans")
+    release(runs)
+    if last:
+        release(groups)
+        return solved, None
     cores = groups.groupBy(*core).agg(
         F.count(F.lit(1)).alias("g"), F.max((F.col("n") == 1).cast("int")).alias("open")
     ).where("g > 1 AND open = 1").select(*[F.col(k).alias(f"c_{k}") for k in core])
@@ -240,6 +253,8 @@ def _groups(runs: DataFrame, keys: list[str], core: list[str], name: str) -> tup
     for k in core:
         match = match & (F.col(k) == F.col(f"c_{k}"))
     left = groups.join(cores, match).select("rep.doc_id", "rep.th", "suffix", "rep.anchor", "lo", "hi")
+    left = stage(left, "open-runs")
+    release(groups)
     return solved, left
 
 
@@ -258,7 +273,9 @@ def recurring_suffixes(samples: DataFrame, batches: int) -> DataFrame:
         suffixes = rows.select(F.explode("suffixes").alias("suffix")).union(rows.select(F.explode("twice").alias("suffix")))
         found = family.add(suffixes)
         out = found if out is None else out.union(found)
-    return out.distinct()
+    out = stage(out.distinct(), "recurring")
+    family.drop()
+    return out
 
 
 def duplicate_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
@@ -268,26 +285,25 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, batches: int = BATCHE
         raise ValueError(f"length must be at least {2 * GRAM}")
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
     samples = stage(sampled_suffixes(docs, length), "suffixes")
-    recurring = stage(recurring_suffixes(samples, batches), "recurring")
+    recurring = recurring_suffixes(samples, batches)
 
     rows = samples.select("doc_id", "th", F.explode("suffixes").alias("suffix")).join(_small(recurring), "suffix")
     wanted = stage(rows.groupBy("doc_id", "th").agg(F.collect_set("suffix").alias("wanted")), "wanted")
+    release(samples, recurring)
     ids = _small(wanted.select("doc_id", "th"))
     texts = stage(docs.join(ids, _same_row(docs, ids), "left_semi"), "candidate-texts")
 
     runs = stage(candidate_runs(_with_rows(texts, wanted, "wanted"), length), "runs")
-    solved, left = _groups(runs, ["suffix", "lo", "hi", "whole"], ["suffix"], "run-groups")
+    release(wanted)
+    spans, left = _groups(runs, ["suffix", "lo", "hi", "whole"], ["suffix"], length)
     cell = F.floor(F.col("lo") / PART).alias("cell")
-    parts = part_hashes(_ask(texts, left), length, single=False).withColumn("cell", cell)
-    parts = stage(parts, "parts")
-    solved2, left = _groups(parts, ["suffix", "lo", "hi", "whole", "cell", "core"], ["suffix", "cell", "core"], "part-groups")
-    strings = stage(part_hashes(_ask(texts, left), length, single=True), "strings")
-    solved3, _ = _groups(strings, ["suffix", "lo", "hi", "whole"], ["suffix"], "string-groups")
-
-    spans = solved.union(solved2).union(solved3).select(
-        "doc_id", "th", (F.col("anchor") - F.col("hi")).alias("start"), (F.col("anchor") - F.col("lo") + length).alias("end")
-    )
-    return texts, spans
+    parts = stage(part_hashes(_ask(texts, left), length, single=False).withColumn("cell", cell), "parts")
+    release(left)
+    more, left = _groups(parts, ["suffix", "lo", "hi", "whole", "cell", "core"], ["suffix", "cell", "core"], length)
+    strings = stage(part_hashes(_ask(texts, left), length, single=True).drop("core"), "strings")
+    release(left)
+    last, _ = _groups(strings, ["suffix", "lo", "hi", "whole"], ["suffix"], length, last=True)
+    return texts, spans.union(more).union(last)
 
 
 def cut(texts: DataFrame, spans: DataFrame) -> DataFrame:
