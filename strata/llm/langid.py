@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
@@ -30,7 +30,7 @@ DIMENSIONS = 4096
 CENTROIDS = 4
 #: Bound of the sample that k-means sees, for each language (about this many rows).
 SAMPLE_PER_LANGUAGE = 600
-#: Languages with fewer training rows than this share of the largest are still learned; a label set is small.
+#: This share of the sampled training texts lies beyond the distance at which a text is rejected.
 REJECT_QUANTILE = 0.005
 UNKNOWN = "und"
 
@@ -184,12 +184,8 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 pred, score = np.full(len(part), UNKNOWN, dtype=object), np.zeros(len(part))
             columns = [
                 *part.columns, pa.array(pred.tolist(), pa.string()), pa.array(score, pa.float64()),
-                pa.array((score < m.cutoff) | ~letter, pa.bool_()),
+                pa.array((score < m.cutoff) | ~letter | (len(names) == 0), pa.bool_()),
             ]
             yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, target, strict=True)], schema=target)
 
     return df.mapInArrow(run, schema)
-
-
-def learnable(held: Column) -> Column:
-    return ~held

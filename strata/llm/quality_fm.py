@@ -168,8 +168,8 @@ def train(f: Features, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7)
     quantiles = np.linspace(0, 1, BINS + 1)[1:-1]
     edges = np.stack([np.quantile(f.statistics[:, j], quantiles) for j in range(m)]) if f.size else np.zeros((m, BINS - 1))
     machine = Machine(edges, 0.0, np.zeros(size), rng.normal(0, 0.02, (size, RANK)))
-    good = labels.mean() if f.size else 0.5
-    if not 0 < good < 1:
+    good = labels.mean() if f.size else 0.0
+    if not 0 < good < 1:  # nothing to tell apart: a constant
         machine.bias = 0.0 if not f.size else (4.0 if good == 1 else -4.0)
         machine.factors[:] = 0
         return machine
