@@ -51,14 +51,23 @@ def _times(high: Column, low: Column, factor: int, plus: int = 0) -> tuple[Colum
     return upper.bitwiseAND(F.lit(_LOW)), total.bitwiseAND(F.lit(_LOW))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def mixed_key(key: Column) -> Column:
     """Spread an integer key over 64 bits, so that runs of ids fall evenly."""
+    def folded(x: Column, by: int) -> Column:
+        return _let(x, lambda y: y.bitwiseXOR(F.shiftrightunsigned(y, by)))
+
+    def multiplied(x: Column, factor: int) -> Column:
+        return _let(x, lambda y: _join(*_times(*_halves(y), factor)))
+
     z = F.coalesce(key.cast("long"), F.lit(0).cast("long"))
     for shift, factor in zip((30, 27), MIX_MULTIPLIERS, strict=True):
-        high, low = _halves(z.bitwiseXOR(F.shiftrightunsigned(z, shift)))
-        # a named struct keeps the halves from being computed twice
-        z = _join(*_times(high, low, factor))
-    return z.bitwiseXOR(F.shiftrightunsigned(z, 31))
+        z = multiplied(folded(z, shift), factor)
+    return folded(z, 31)
 
 
 def jump_path(key: Column, most: int) -> Column:
@@ -67,25 +76,31 @@ def jump_path(key: Column, most: int) -> Column:
     The walk visits the shards at which the key settles as the count grows; it
     takes at most ``most`` steps, about ln(most) of which change anything.
     """
-    high, low = _halves(key)
-    start = F.struct(
-        F.lit(-1).cast("long").alias("b"), F.lit(0).cast("long").alias("j"), F.lit(0).cast("long").alias("p"),
-        high.alias("h"), low.alias("l"),
-    )
+    def begin(k: Column) -> Column:
+        high, low = _halves(k)
+        return F.struct(
+            F.lit(-1).cast("long").alias("b"), F.lit(0).cast("long").alias("j"), F.lit(0).cast("long").alias("p"),
+            high.alias("h"), low.alias("l"),
+        )
 
     def step(s: Column, _: Column) -> Column:
-        h, low_half = _times(s["h"], s["l"], JUMP_MULTIPLIER, 1)
-        draw = (F.shiftrightunsigned(h, 1) + F.lit(1)).cast("double")
-        jump = F.floor((s["j"] + F.lit(1)).cast("double") * (F.lit(float(1 << 31)) / draw)).cast("long")
-        moved = F.struct(
-            s["j"].alias("b"), jump.alias("j"),
-            F.when(s["j"] < most - 1, s["j"]).otherwise(s["p"]).alias("p"),
-            h.alias("h"), low_half.alias("l"),
-        )
-        return F.when(s["j"] < most, moved).otherwise(s)
+        high, low = _times(s["h"], s["l"], JUMP_MULTIPLIER, 1)
+
+        def moved(drawn: Column) -> Column:
+            draw = (F.shiftrightunsigned(drawn["h"], 1) + F.lit(1)).cast("double")
+            jump = F.floor((s["j"] + F.lit(1)).cast("double") * (F.lit(float(1 << 31)) / draw)).cast("long")
+            return F.struct(
+                s["j"].alias("b"), jump.alias("j"), F.when(s["j"] < most - 1, s["j"]).otherwise(s["p"]).alias("p"),
+                drawn["h"].alias("h"), drawn["l"].alias("l"),
+            )
 
-    walk = F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step)
-    return F.struct(walk["b"].cast("int").alias("now"), walk["p"].cast("int").alias("before"))
+        return F.when(s["j"] < most, _let(F.struct(high.alias("h"), low.alias("l")), moved)).otherwise(s)
+
+    walk = F.aggregate(
+        F.sequence(F.lit(1), F.lit(most)), _let(key, begin), step,
+        lambda s: F.struct(s["b"].cast("int").alias("now"), s["p"].cast("int").alias("before")),
+    )
+    return walk
 
 
 def jump_shard(df: DataFrame, key: Column, n_shards: int, grown: bool = True) -> DataFrame:
