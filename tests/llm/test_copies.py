@@ -213,6 +213,31 @@ def test_fuzzy_passages_are_found(spark, scratch):
     assert by[900]["n_words"] == 0 and by[None]["class_id"] is None
 
 
+def test_pairs_beside_a_closer_pair_are_examined(spark):
+    """In lists of three a document keeps its only partner, though the partner has a closer one."""
+    rows, want = [], {}
+    for i in range(24):
+        x, own = prose(5000 + i, 100).split(), prose(5100 + i, 60).split()
+        cut = [*x[:45], *prose(5200 + i, 10).split(), *x[55:]]
+        for k, words in enumerate((x, cut, [*x[:55], *own])):
+            rows.append((3 * i + k, " ".join(words)))
+            want[3 * i + k] = 3 * i
+    got = chaining.summary(docs_frame(spark, rows)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == want
+
+
+def test_long_lists_meet_in_full(spark, monkeypatch):
+    """Forty pairs, each with a passage of its own around a line that all have."""
+    monkeypatch.setattr(chaining, "BLOCK_ROWS", 16)
+    line, rows = prose(5300, 12), []
+    for i in range(80):
+        own = prose(5400 + i // 2, 60).split()
+        rows.append((i, f"{prose(5500 + i, 40)} {' '.join(own[:22])} {line} {' '.join(own[22:44])} {prose(5600 + i, 40)}"))
+    got = {r["doc_id"]: r for r in chaining.summary(docs_frame(spark, rows)).collect()}
+    assert all(got[i]["class_id"] == i - i % 2 for i in range(80))
+    assert all(56 <= got[i]["n_covered"] <= 60 for i in range(80))
+
+
 def test_empty_tables(spark, scratch):
     write_docs(spark, scratch, [])
     for query in (queries.op4_minhash_neardup, queries.op7_suffix_array_dedup, queries.op10_substring_dedup):
