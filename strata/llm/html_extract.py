@@ -4,9 +4,11 @@
    its link text, for its container in full and for each container above with
    half of the weight below. The best containers vote for their path: tags and
    classes from the body down, digits generalised.
-2. Spark sums the votes per host and path and ranks the paths of a host.
-3. Every page is read again with its host's ranked paths: the first that the
-   page has gives the text; a page with none of them uses its own best container.
+2. Spark sums the votes per host and path.
+3. Every page is read again with its host's paths, most votes first: the first that
+   the page has gives the text; a page with none of them uses its own best container.
+   Pages of hosts with many voted paths find theirs in a join of their own paths
+   with the votes, so no list grows with a host and no voted path is left out.
 
 Boilerplate inside the container (menus, headers, footers, sidebars, notices,
 adverts, forms, comments) is left out by tag, role or class. Blocks are cleaned
@@ -24,13 +26,13 @@ import re
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.llm.common import arrow_schema, stage, without
 
-#: A host keeps this many voted paths; pages without any of them use their own best container.
+#: Up to this many voted paths a host's pages get them as a list; beyond it each page's best comes by a join.
 PATHS_PER_HOST = 32
 #: Containers with at least this share of the page's best score vote as well, with that share.
 VOTE_SHARE = 0.6
@@ -248,8 +250,18 @@ def host(url: Column) -> Column:
     return part
 
 
-def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """host, paths: the voted container paths of each host, most votes first.
+def text_paths(page: Page) -> set[str]:
+    """Paths of the containers that hold any text."""
+    seen: set[int] = set()
+    for box, _, _ in page.blocks:
+        while box >= 0 and box not in seen:
+            seen.add(box)
+            box = page.boxes[box].parent
+    return {page.boxes[i].path for i in seen}
+
+
+def host_votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """host, path, place: the voted container paths of each host; the smallest place has most votes.
 
     Votes are summed before and after the shuffle, so a host with a third of
     all pages moves as few rows as it has distinct paths per task.
@@ -270,22 +282,52 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     cast = pages.select(host(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(run, "host string, path string, share long")
     counted = cast.groupBy("host", "path").agg(F.sum("share").alias("votes"))
     # of paths with equal votes the deeper, then the first by name
-    order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc(F.length("path")), F.col("path"))
-    ranked = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PATHS_PER_HOST)
-    listed = ranked.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("list"))
-    return listed.select("host", F.col("list.path").alias("paths"))
+    return counted.select("host", "path", F.struct((-F.col("votes")).alias("v"), (-F.length("path")).alias("l"), F.col("path").alias("p")).alias("place"))
+
+
+def best_paths(pages: DataFrame, voted: DataFrame) -> DataFrame:
+    """host, page, path: of each distinct page (host, html) the path with most votes that it holds text in."""
+
+    def run(batches):
+        for batch in batches:
+            hosts, marks, paths = [], [], []
+            for h, mark, source in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html")), strict=True):
+                for path in text_paths(parse(source)):
+                    hosts.append(h)
+                    marks.append(mark)
+                    paths.append(path)
+            yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "page": pa.array(marks, pa.string()), "path": pa.array(paths, pa.string())})
+
+    own = pages.where("html IS NOT NULL").select("host", "page", "html").mapInArrow(run, "host string, page string, path string")
+    best = own.join(voted, ["host", "path"]).groupBy("host", "page").agg(F.min("place").alias("place"))
+    return best.select("host", "page", F.col("place.p").alias("path"))
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", out: str = "text") -> DataFrame:
     """Replace the html column by the page's main text in ``out``."""
-    agreed = stage(host_paths(pages, url, html), "host-paths")
+    voted = stage(host_votes(pages, url, html), "host-votes")
+    sizes = voted.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    hosts = stage(sizes.where(F.col("n") > PATHS_PER_HOST).select("host"), "wide-hosts")
+    listed = voted.join(sizes.where(F.col("n") <= PATHS_PER_HOST).select("host"), "host", "left_semi")
+    listed = listed.groupBy("host").agg(F.sort_array(F.collect_list("place")).alias("list"))
+    agreed = stage(listed.select("host", F.col("list.p").alias("paths")), "host-paths")
     if agreed.count() <= BROADCAST_HOSTS:
         agreed = F.broadcast(agreed)
     # beyond that the join shuffles, and adaptive execution splits a hot host
     keep = [c for c in pages.columns if c.lower() not in (out.lower(), html.lower())]
     joined = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(html).alias("__html"), host(F.col(url)).alias("__host"))
+    paths = F.col("paths")
+    if not hosts.isEmpty():
+        wide = pages.select(host(F.col(url)).alias("host"), F.col(html).alias("html")).withColumn("page", F.md5("html"))
+        few = F.broadcast(hosts) if hosts.count() <= BROADCAST_HOSTS else hosts
+        best = stage(best_paths(wide.join(few, "host", "left_semi"), voted.join(few, "host", "left_semi")), "best-paths")
+        best = best.select(F.col("host").alias("__h"), F.col("page").alias("__p"), F.col("path").alias("__best"))
+        best = F.broadcast(best) if best.count() <= BROADCAST_HOSTS else best
+        joined = joined.withColumn("__page", F.md5("__html"))
+        joined = joined.join(best, (F.col("__host") == F.col("__h")) & (F.col("__page") == F.col("__p")), "left")
+        paths = F.coalesce(paths, F.when(F.col("__best").isNotNull(), F.array("__best")))
     joined = joined.join(agreed, joined["__host"] == agreed["host"], "left").select(
-        *[joined[f"`{c}`"] for c in keep], "__html", F.col("paths").alias("__paths")
+        *[joined[f"`{c}`"] for c in keep], "__html", paths.alias("__paths")
     )
     fields = [f for f in joined.schema.fields if f.name not in ("__html", "__paths")]
     schema = StructType([*fields, StructField(out, StringType(), False)])

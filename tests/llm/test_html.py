@@ -38,6 +38,18 @@ def test_hosts_agree_on_a_path(spark, scratch):
     assert got[3] == "story " * 60 + "3"
 
 
+def test_hosts_with_many_paths_keep_all(spark):
+    """Forty templates on one host: a page of the least common one still follows its host's vote."""
+    name = lambda k: "t" + chr(97 + k // 26) + chr(97 + k % 26)
+    story = lambda k, n: f"<section><div class='{name(k)}'><p>{'story ' * n}</p></div></section>"
+    rows = [(100 * k + i, "https://h/", _page(story(k, 60 + i))) for k in range(40) for i in range(3 if k else 2)]
+    rows.append((9999, "https://h/", _page(f"{story(0, 2)}<div class='extra'><p>{'noise ' * 80}</p></div>")))
+    rows.append((9998, "https://other/", _page("<p>only its own</p>")))
+    got = {r["page_id"]: r["text"] for r in html_extract.pages_text(spark.createDataFrame(rows, PAGE)).collect()}
+    assert len(got) == len(rows) and got[9999] == "story story" and got[9998] == "only its own"
+    assert all(got[100 * k + 1] == ("story " * 61).strip() for k in range(40))
+
+
 def test_edge_pages(spark, scratch):
     rows = [
         (1, None, None), (2, "", ""), (3, "no url", "plain words only"), (4, "https://h/", "<p>unclosed <b>tags <i>here"),
