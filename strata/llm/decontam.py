@@ -1,7 +1,9 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
 A document holds a benchmark item if some part of it is within the item's edit
-budget k (``EDIT_RATE`` of its length). Both are compared in a plain form:
+budget k (``EDIT_RATE`` of its length, at most (m - Q) / Q edits): an item of 38 words
+with four words replaced counts, or one that lacks its last tenth; a copy that
+lacks more than the budget doesn't. Both are compared in a plain form:
 ASCII and Latin-1 letters lower-cased, everything but letters and digits folded
 into one space.
 
@@ -47,11 +49,12 @@ from strata.llm.common import (
     without,
 )
 
-Q = 10
-EDIT_RATE = 0.06
+Q = 8
+EDIT_RATE = 0.11
 #: A block of the benchmark holds about this many bytes of item text.
 BLOCK_ITEM_BYTES = 4 << 20
 _BITS = 22
+_COUNTERS = (1 << 21) - 1
 
 MATCH = StructType([
     StructField("item_id", LongType()), StructField("start", LongType()), StructField("end", LongType()),
@@ -164,10 +167,20 @@ def candidates(x: Items, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n = count[a:b]
         post = np.repeat(x.first[slot[a:b]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         item = x.item[post]
+        hit = np.repeat(np.arange(a, b), n)
+        # a region lies in two neighbouring stretches of ``wide`` bytes: counts there bound the band's
+        # (stretches that share a counter only raise it)
+        code = at[hit] // wide * len(x.ids) + item
+        total = np.bincount(code & _COUNTERS, minlength=_COUNTERS + 1)
+        here, after, before = (total[(code + d) & _COUNTERS] for d in (0, len(x.ids), -len(x.ids)))
+        ok = np.flatnonzero(here + np.maximum(after, before) >= x.needed[item])
+        item, post, hit = item[ok], post[ok], hit[ok]
+        if not len(hit):
+            continue
         step = x.budgets[item] + 1
-        diagonal = np.repeat(at[a:b], n) - x.place[post] - offsets[np.repeat(doc[a:b], n)]
+        diagonal = at[hit] - x.place[post] - offsets[doc[hit]]
         band = diagonal // step
-        key = np.repeat(doc[a:b], n) * len(x.ids) + item
+        key = doc[hit] * len(x.ids) + item
         key = np.concatenate([key, key])
         band = np.concatenate([band, band - 1])
         order = np.lexsort((band, key))

@@ -75,6 +75,24 @@ def test_spans_hold_the_passage(spark):
     assert {text.encode()[m["start"] : m["end"]].decode() for m in found} == {item}
 
 
+def test_replaced_words_and_cut_ends_are_found(spark):
+    """Copies with four of 38 words replaced or without the last tenth count; texts alike in a third don't."""
+    items = [(i, prose(700 + i, 38)) for i in range(8)]
+    rows = []
+    for i, item in items:
+        words, rng = item.split(), random.Random(i)
+        for at in rng.sample(range(38), 4):
+            words[at] = prose(800 + 50 * i + at, 1)[: len(words[at])].ljust(len(words[at]), "x")
+        rows.append((100 + i, f"{prose(720 + i, 40)} {' '.join(words)} {prose(740 + i, 40)}"))
+        rows.append((200 + i, f"{prose(760 + i, 40)} {item[: len(item) * 9 // 10]}"))
+        rows.append((300 + i, f"{prose(780 + i, 40)} {' '.join(item.split()[:13])} {prose(790 + i, 40)}"))
+    found = decontam.matches(docs_frame(spark, rows), spark.createDataFrame(items, ITEMS)).collect()
+    want = {(base + i, i) for i, item in items for base, copy in zip((100, 200), rows[3 * i : 3 * i + 2])
+            if _least_edits(_plain(item), _plain(copy[1])) <= len(_plain(item)) * 11 // 100}
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want
+    assert len(want) >= 14
+
+
 def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     items = [(i, prose(300 + i, 20)) for i in range(12)]
     docs = docs_frame(spark, [(i, f"{prose(400 + i, 30)} {t} {prose(500 + i, 30)}") for i, t in items])
