@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chaining, decontam, html_extract, langid, neardup, quality_fm, repetition, sharding, suffix_index
+from strata.llm import bpe, chaining, decontam, html_extract, langid, neardup, quality_fm, repetition, sharding, suffix_index, turn_trie
 from strata.llm.common import held_out
 from strata.sources.tables import read_table
 
@@ -85,10 +85,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.summary(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sharding, op2_byte_bpe, op3_html_extraction, op4_minhash_neardup, op5_quality_classifier,
         op6_benchmark_decontamination, op7_suffix_array_dedup, op8_quality_rules, op9_language_id, op10_substring_dedup,
+        op13_conversation_trie,
     )
 }
