@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chaining, decontam, hard_negatives, html_extract, langid, neardup, quality_fm, repetition, sharding, suffix_index, turn_trie
+from strata.llm import (
+    bpe, chaining, decontam, hard_negatives, html_extract, langid, metric_join, neardup, quality_fm, repetition, sharding, suffix_index,
+    turn_trie,
+)
 from strata.llm.common import held_out
 from strata.sources.tables import read_table
 
@@ -85,6 +88,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.summary(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return metric_join.jaccard_components(docs, neardup.Settings(words=5, num=80, den=100))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hard_negatives.vectors(read_table(spark, sf_dir, "embeddings"))
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -100,6 +108,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_sharding, op2_byte_bpe, op3_html_extraction, op4_minhash_neardup, op5_quality_classifier,
         op6_benchmark_decontamination, op7_suffix_array_dedup, op8_quality_rules, op9_language_id, op10_substring_dedup,
-        op12_hard_negatives, op13_conversation_trie,
+        op11_jaccard_join, op12_hard_negatives, op13_conversation_trie,
     )
 }
