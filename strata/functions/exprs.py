@@ -67,6 +67,13 @@ def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def in_values(c: str | Column, values: Sequence) -> Column:
+    """``c`` is one of the values, null being a value too: a filter of literals that reaches the scan."""
+    known = [F.lit(v).cast("timestamp_ntz") if isinstance(v, _dt.datetime) else F.lit(v) for v in values if v is not None]
+    out = col_(c).isin(*known) if known else F.lit(False)
+    return out | col_(c).isNull() if len(known) < len(values) else out
+
+
 def round_money(c: str | Column, digits: int = 2) -> Column:
     """F1: ``ROUND(x::NUMERIC, n)::DOUBLE PRECISION``.
 

@@ -15,7 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.exprs import EPOCH
+from strata.functions.exprs import EPOCH, in_values
+
+#: Up to this many touched groups are named by literals, which the scan skips row groups by; more meet in a join.
+LITERAL_GROUPS = 1000
 
 
 def max_value(df: DataFrame, column: str, default=EPOCH):
@@ -114,6 +117,33 @@ def changed_keys(src: DataFrame, target: DataFrame | None, src_time: str, target
     return fresh.select(*keys).distinct()
 
 
+def split_groups(df: DataFrame, touched: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of the touched groups, the other rows); a null key is a group like any other.
+
+    ``touched`` holds distinct keys, as a change log gives them. A few groups of one
+    key become literals in the filter of the scan.
+    """
+    keys = list(keys)
+    if len(keys) == 1:
+        few = [r[0] for r in touched.select(*keys).limit(LITERAL_GROUPS + 1).collect()]
+        if len(few) <= LITERAL_GROUPS:
+            inside = in_values(keys[0], few)
+            return df.where(inside), df.where(~F.coalesce(inside, F.lit(False)))
+    names = touched.select(*[F.col(k).alias(f"_touched_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_touched_{k}"))
+    return df.join(names, same, "left_semi"), df.join(names, same, "left_anti")
+
+
+def rebuild_groups(src: DataFrame, target: DataFrame, touched: DataFrame, keys: Sequence[str], build) -> DataFrame:
+    """I3 from a change log: the touched groups are built anew from all their rows, or go when none are left."""
+    inside, _ = split_groups(src, touched, keys)
+    _, others = split_groups(target, touched, keys)
+    kept, new = align(others, build(inside))
+    return kept.unionByName(new)
+
+
 def recompute_changed(
     src: DataFrame,
     target: DataFrame | None,
@@ -131,7 +161,8 @@ def recompute_changed(
     rows have left is found as well, by its count: it is rebuilt, or removed
     when nothing is left of it. ``partial=True`` reproduces the reference, which
     aggregates only the changed rows and lets that partial result replace the
-    whole group.
+    whole group. Where the source keeps a change log, ``rebuild_groups`` needs
+    neither the time filter nor the counts.
     """
     if target is None:
         return build(src)

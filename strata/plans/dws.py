@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
-from strata.operators.incremental import max_value, newer_than, recompute_changed, upsert
+from strata.operators.incremental import max_value, newer_than, rebuild_groups, recompute_changed, split_groups, upsert
 from strata.operators.joins import lookup_join
 
 
@@ -99,8 +99,14 @@ def dws_ecommerce_category_daily(
     as_of=None,
     target: DataFrame | None = None,
     partial: bool = False,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
-    """Category metrics, rebuilt for categories with products processed since the last run."""
+    """Category metrics, rebuilt for categories with products processed since the last run.
+
+    ``touched`` names the categories from the products' change log, which spares counting all products.
+    """
+    if target is not None and touched is not None:
+        return rebuild_groups(dwd_products, target, touched, ["category"], lambda frame: _stamp(category_metrics(frame), as_of))
     return recompute_changed(
         dwd_products,
         target,
@@ -188,6 +194,7 @@ def dws_customer_order_summary_changed(
     dwd_customers: DataFrame,
     target: DataFrame | None,
     as_of=None,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """M17 incrementally: the same table as the full recompute merged by key.
 
@@ -196,10 +203,15 @@ def dws_customer_order_summary_changed(
     (an order went to another customer), are re-aggregated over ALL their
     orders (I3 applied to I9); customers left without orders go, the rest of the
     target is kept. Requires processing stamps that grow from run to run
-    (``as_of`` is the run clock), which the DWD upserts keep.
+    (``as_of`` is the run clock), which the DWD upserts keep. ``touched`` names the
+    customers from the change logs instead, which needs neither stamps nor counts.
     """
     if target is None:
         return dws_customer_order_summary(dwd_orders, dwd_customers, as_of=as_of)
+    if touched is not None:
+        people, _ = split_groups(dwd_customers, touched, ["customer_id"])
+        return rebuild_groups(dwd_orders, target, touched, ["customer_id"],
+                              lambda orders: dws_customer_order_summary(orders, people, as_of=as_of))
     since = F.lit(max_value(target, "_dws_processed_at")).cast("timestamp_ntz")
     now = dwd_orders.groupBy("customer_id").agg(F.count("order_id").alias("_now"))
     before = target.select(F.col("customer_id").alias("_id"), "total_orders")

@@ -22,7 +22,7 @@ from strata.operators.dedup import latest_by_key
 from strata.operators.incremental import newer_than, recompute_changed
 from strata.operators.joins import attach_latest, attach_one_row, lookup_join, orphans
 from strata.operators.ranking import global_rank, top_k_rank
-from strata.plans import ads, dwd, dws
+from strata.plans import ads, dwd, dws, jobs
 from strata.plans import oracle as O
 from strata.plans import suite as S
 from strata.plans.catalog import AS_OF, Warehouse
@@ -427,6 +427,83 @@ def q_upsert_partitions_moved(spark, sf_dir):
     return out.select("order_id", "total_amount", F.col("_part_date").alias("order_month"))
 
 
+def _scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@register("watermark_pruned", O.sql(
+    f"SELECT * FROM ods_github_events WHERE _ingested_at > {_sql_ts(CUTS['github_events'])}", ["ods_github_events"]))
+def q_watermark_pruned(spark, sf_dir):
+    """S6 + I1: events landed by load day; the read after a watermark opens only the days since then."""
+    job = jobs.Job(spark, _scratch(spark, "watermark"), as_of=AS_OF)
+    job.land("github_events", Warehouse(spark, sf_dir).raw("github_events"))
+    return job.ods("github_events", since=CUTS["github_events"])
+
+
+LATE_LOAD = _dt.datetime(2024, 2, 1, 6, 0, 0)
+
+
+@register("late_rows_reach_dws", O.sql("dws_github_daily_activity"))
+def q_late_rows_reach_dws(spark, sf_dir):
+    """I2 with late rows (G3): a tenth of the events of all days is loaded after the day summary was
+    built; the change log names their days, and the refreshed summary equals the full build."""
+    w = Warehouse(spark, sf_dir)
+    job = jobs.Job(spark, _scratch(spark, "late-rows"), as_of=AS_OF, seed=w.seed())
+    raw, late = w.raw("github_events"), F.col("id").cast("long") % 10 == 3
+    job.land("github_events", raw.where(~late))
+    job.refresh_dwd("github_events")
+    job.refresh_dws("dws_github_daily_activity")
+    job.land("github_events", raw.where(late).withColumn("_ingested_at", F.lit(LATE_LOAD).cast("timestamp_ntz")))
+    job.refresh_dwd("github_events")
+    return job.refresh_dws("dws_github_daily_activity")
+
+
+O.rel("orders_given_away", """
+SELECT * REPLACE (CASE WHEN order_id % 9 = 4 THEN customer_id % 7 + 1 ELSE customer_id END AS customer_id)
+FROM dwd_business_orders""", ["dwd_business_orders"])
+
+
+@register("moved_orders_reach_customers", O.sql(
+    O.CUSTOMER_AGG.format(orders="orders_given_away", customers="dwd_business_customers"),
+    ["orders_given_away", "dwd_business_customers"]))
+def q_moved_orders_reach_customers(spark, sf_dir):
+    """I9 from the change log: a ninth of the orders goes to other customers in a second load; those
+    they left and those they came to are re-aggregated, and the table equals the full build."""
+    w = Warehouse(spark, sf_dir)
+    job = jobs.Job(spark, _scratch(spark, "moved-orders"), as_of=AS_OF, grain="month")
+    raw, moved = w.raw("business_orders"), F.col("order_id") % 9 == 4
+    job.land("business_orders", raw)
+    job.land("business_customers", w.raw("business_customers"))
+    for domain in ("business_orders", "business_customers"):
+        job.refresh_dwd(domain)
+    job.refresh_dws("dws_customer_order_summary")
+    job.land("business_orders", raw.where(moved).withColumns({
+        "customer_id": F.col("customer_id") % 7 + 1, "_ingested_at": F.lit(LATE_LOAD).cast("timestamp_ntz")}))
+    job.refresh_dwd("business_orders")
+    return job.refresh_dws("dws_customer_order_summary")
+
+
+O.rel("products_regrouped", """
+SELECT * REPLACE (CASE WHEN product_id % 6 = 1 THEN 'second hand' ELSE category END AS category) FROM dwd_ecommerce_products""",
+      ["dwd_ecommerce_products"])
+
+
+@register("moved_products_reach_categories", O.sql(
+    O.CATEGORY_AGG.format(src="products_regrouped", stamp=O.AS_OF), ["products_regrouped"]))
+def q_moved_products_reach_categories(spark, sf_dir):
+    """I3 from the change log: a sixth of the products moves to a new category in a second load."""
+    w = Warehouse(spark, sf_dir)
+    job = jobs.Job(spark, _scratch(spark, "moved-products"), as_of=AS_OF)
+    raw, moved = w.raw("ecommerce_products"), F.col("id") % 6 == 1
+    job.land("ecommerce_products", raw)
+    job.refresh_dwd("ecommerce_products")
+    job.refresh_dws("dws_ecommerce_category_daily")
+    job.land("ecommerce_products", raw.where(moved).withColumns({
+        "category": F.lit("second hand "), "_ingested_at": F.lit(LATE_LOAD).cast("timestamp_ntz")}))
+    job.refresh_dwd("ecommerce_products")
+    return job.refresh_dws("dws_ecommerce_category_daily")
+
+
 # =====================================================================================
 # Joins, windows, aggregates, scalar functions
 # =====================================================================================

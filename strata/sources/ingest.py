@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.exprs import ts_literal
+from strata.functions.exprs import in_values, ts_literal
 from strata.session import ensure_checkpoint_dir
 
 # ---------------------------------------------------------------------------
@@ -97,14 +97,6 @@ def values_frame(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({aliases})")
 
 
-def append_raw(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Append sink that creates the table on first write."""
-    writer = df.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-
-
 # --- versioned full-refresh / upsert sink -----------------------------------
 # Paths go through the Hadoop FileSystem API, so the same code works on a shared
 # cluster store (hdfs://, s3a://, abfs://) and on a local folder.
@@ -245,14 +237,20 @@ def stage_batch(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/batch-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def drop_batch(staged: DataFrame) -> None:
+    """Delete the files of a staged batch that nothing reads any more."""
+    fs, path = _fs(staged.sparkSession, staged.staged_at)
+    fs.delete(path, True)
 
 
 def _in_partitions(column: str, values: Sequence) -> Column:
-    """A partition filter with literals, so only the named partitions are listed and read."""
-    known = [v for v in values if v is not None]
-    out = F.col(column).isin(known) if known else F.lit(False)
-    return out | F.col(column).isNull() if len(known) < len(values) else out
+    """A filter with literals (null is a value), so only the named partitions are listed and read."""
+    return in_values(column, values)
 
 
 def touched_partitions(target: DataFrame | None, batch: DataFrame, keys: Sequence[str], partition_col: str,
@@ -281,6 +279,9 @@ def upsert_partitions(
     policy: str = "sync_all_columns",
     stable: bool = False,
     newest: str | None = None,
+    track: Sequence[str] = (),
+    gone: Column | None = None,
+    gone_partitions: Sequence = (),
 ) -> str:
     """I4 + I6 on disk, rewriting only the partitions the batch touches.
 
@@ -295,21 +296,35 @@ def upsert_partitions(
     that died between overwrite and delete. Column changes follow ``policy``
     (``strata.operators.incremental.align``); the schema is recorded next to
     the data.
+
+    ``track`` names group columns whose values, of the batch and of the rows it
+    replaces, go to the table's change log (``strata.sources.changes``) before the data
+    is committed. Target rows for which ``gone`` holds (in ``gone_partitions``)
+    go as well, whether the batch repeats their keys or not.
     """
     from strata.operators.dedup import latest_by_key, rest_tiebreak
     from strata.operators.incremental import align
+    from strata.sources import changes
 
     spark = batch.sparkSession
     root = table_root(base, layer, name)
     path = f"{root}/data"
-    batch = stage_batch(batch)
+    staged = batch = stage_batch(batch)
     emptied: list = []
     if target is None:
         new = batch
+        if track:
+            changes.record(batch.select(*track), base, layer, name)
     else:
         target, batch = align(target, batch, policy)
         touched = touched_partitions(target, batch, keys, partition_col, stable)
+        touched = sorted({*touched, *gone_partitions}, key=lambda v: (v is None, v))
         there = target.where(_in_partitions(partition_col, touched))
+        if track:
+            replaced = there.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+            changes.record(replaced.select(*track).unionByName(batch.select(*track)), base, layer, name)
+        if gone is not None:
+            there = there.where(~F.coalesce(gone, F.lit(False)))
         if newest:
             both = there.unionByName(batch)
             order = [F.col(newest).desc_nulls_first(), *rest_tiebreak(both, [*keys, newest, "_dwd_processed_at", partition_col])]
@@ -333,6 +348,7 @@ def upsert_partitions(
         fs, jpath = _fs(spark, folder)
         fs.delete(jpath, True)
     _write_text(spark, f"{root}/_SCHEMA", new.schema.json())
+    drop_batch(staged)
     return path
 
 

@@ -122,7 +122,7 @@ def upsert_batches(spark: SparkSession, landing: str, out_base: str, as_of=None,
     """
     from strata.operators.incremental import max_value
     from strata.plans.jobs import Job
-    from strata.sources.ingest import stage_batch
+    from strata.sources.ingest import drop_batch, stage_batch
 
     stream = read_landing_stream(spark, landing)
     name = "dwd_github_events"
@@ -131,10 +131,10 @@ def upsert_batches(spark: SparkSession, landing: str, out_base: str, as_of=None,
         job = Job(batch.sparkSession, out_base, as_of=as_of, grain=grain)
         rows = stage_batch(dwd.dwd_github_events(typed_events(batch), as_of=job.as_of, merge=False))  # parsed once
         last = max_value(rows, "_ingested_at", default=None)
-        if last is None:
-            return
-        since = job._mark(name, "_ingested_at", job.current("dwd", name))
-        job._upsert(name, rows, last if since is None else max(since, last), newest="_ingested_at")
+        if last is not None:
+            since = job._mark(name, "_ingested_at", job.current("dwd", name))
+            job._upsert(name, rows, last if since is None else max(since, last), newest="_ingested_at")
+        drop_batch(rows)
 
     return (
         stream.writeStream.foreachBatch(apply)
