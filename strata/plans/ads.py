@@ -182,10 +182,10 @@ def ads_business_kpi(dws_customers: DataFrame, dws_daily: DataFrame, as_of=None,
     """Top-k customers by revenue (ties kept) with three ranks, the latest day's
     revenue and change, and the card / e-wallet shares of all orders.
 
-    * revenue rank: whole-frame rank with a top-k filter (partial top-k per task);
+    * revenue rank: the values that make the top k filter the rows, so ties stay spread out;
     * loyalty and average-value ranks of those rows among ALL customers: the
       distributed rank of ``strata.operators.ranking`` (no single-task window
-      over the customer table), both histograms from one pass;
+      over the customer table), both columns in one pass;
     * channel shares: one-row aggregate cross joined (J3);
     * latest day: top-1 row of the daily trend attached to every row (J4).
     """
@@ -196,7 +196,7 @@ def ads_business_kpi(dws_customers: DataFrame, dws_daily: DataFrame, as_of=None,
     customers = dws_customers.select(*cols)
     top = top_k_rank(customers, "total_revenue", "revenue_rank", k)
     top = attach_ranks_many(top, customers.select("total_orders", "avg_order_value"), [
-        ("total_orders", "loyalty_rank", True), ("avg_order_value", "avg_value_rank", True),
+        ("total_orders", "loyalty_rank"), ("avg_order_value", "avg_value_rank"),
     ])
     trend = daily_trend(dws_daily).select(
         F.col("order_date_key").alias("latest_trade_date"),
