@@ -144,6 +144,54 @@ def with_status(results: DataFrame) -> DataFrame:
     )
 
 
+# --- checks inside the write ----------------------------------------------------------
+
+def measures(checks: Sequence[Check]) -> dict[str, Column]:
+    """Counts that a write can collect on the way: rows, and the offending rows of every check but ``unique``.
+
+    For ``accepted_values`` they say whether there are any; which distinct values, a scan has to tell.
+    """
+    out = {"rows": F.count(F.lit(1))}
+    for i, c in enumerate(checks):
+        if c.kind == "accepted_values":
+            out[f"c{i}"] = F.count_if(~F.col(c.column).isin(*c.values))
+        elif c.kind != "unique":
+            out[f"c{i}"] = F.count_if(_row_condition(c))
+    return out
+
+
+def results_from(df: DataFrame, model: str, checks: Sequence[Check], measured: dict[str, int]) -> DataFrame:
+    """What ``run_checks`` gives, from counts collected while the table was written.
+
+    Only uniqueness, and lists of accepted values that were broken, look at the table.
+    """
+    known, open_ = [], []
+    for i, c in enumerate(checks):
+        failures = measured.get(f"c{i}")
+        if failures is None or (c.kind == "accepted_values" and failures):
+            open_.append(c)
+        else:
+            known.append((c.label, model, c.column, c.severity, int(failures)))
+    out = None
+    if known:
+        schema = "test_name string, model string, column_name string, severity string, failures long"
+        out = with_status(df.sparkSession.createDataFrame(known, schema))
+    if open_:
+        rest = run_checks(df, model, open_)
+        out = rest if out is None else out.unionByName(rest)
+    return out
+
+
+def stop_on_failures(model: str, checks: Sequence[Check]):
+    """A gate for a write: raises when a measured check of severity error has failures (Q14)."""
+    def gate(measured: dict[str, int]) -> None:
+        bad = {f"{c.label}({c.column})": measured[f"c{i}"] for i, c in enumerate(checks)
+               if c.severity == "error" and measured.get(f"c{i}")}
+        if bad:
+            raise QualityGateError(f"quality gate failed before {model} was replaced: {bad}")
+    return gate
+
+
 def run_suite(tables: dict[str, DataFrame], suite: dict[str, Sequence[Check]]) -> DataFrame:
     """Checks of several models as one frame (a union of small aggregates)."""
     out = None

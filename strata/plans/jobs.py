@@ -31,10 +31,10 @@ from strata.session import configure
 from strata.functions.exprs import in_values
 from strata.sources import adapters, api_payloads, changes
 from strata.sources.ingest import (
-    load_seed, read_current, read_partitioned, read_watermark, table_root, upsert_partitions, with_ingest_meta, write_table,
-    write_watermark,
+    load_seed, read_current, read_partitioned, read_watermark, recorded_measures, table_root, upsert_partitions, with_ingest_meta,
+    write_table, write_watermark,
 )
-from strata.sources.raw import append_loads, has_loads, read_loads
+from strata.sources.raw import append_loads, appended_measures, has_loads, read_loads
 
 DOMAINS = list(adapters.RAW)
 PIPELINE = "strata run-all"
@@ -119,7 +119,7 @@ def _layer(name: str) -> str:
 class Job:
     def __init__(self, spark: SparkSession, out_base: str, as_of: _dt.datetime | None = None,
                  seed: DataFrame | None = None, now: _dt.datetime | None = None, today: _dt.date | None = None,
-                 grain: str = "day", late_rows: bool = True):
+                 grain: str = "day", late_rows: bool = True, gate: bool = False):
         self.spark = configure(spark)
         self.base = out_base
         self.as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -127,6 +127,7 @@ class Job:
         self.today = today or self.as_of.date()
         self.grain = grain
         self.late_rows = late_rows  # False: day tables only re-open their last day, as the reference does (G3)
+        self.gate = gate  # True: a layer whose rows fail a check of severity error doesn't become current (Q14)
         self._seed = seed
         self.written: dict[str, str] = {}
 
@@ -138,9 +139,26 @@ class Job:
         return read_current(self.spark, table_root(self.base, layer, name))
 
     def save(self, df: DataFrame, layer: str, name: str) -> DataFrame:
-        self.written[name] = write_table(df, self.base, layer, name)
+        self.written[name] = write_table(df, self.base, layer, name, **self._checked(name))
         return self.current(layer, name)
 
+    @staticmethod
+    def _checks(name: str) -> list:
+        return S.FULL_SUITE.get(name, [])
+
+    def _checked(self, name: str) -> dict:
+        """What a write counts of the table's checks, and the gate that sees the counts first."""
+        checks = self._checks(name)
+        return {"measures": quality.measures(checks), "gate": quality.stop_on_failures(name, checks) if self.gate else None}
+
+    def measured(self, name: str) -> dict[str, int] | None:
+        """Counts recorded by the writes of a table; an ODS view has the rows of its raw table that have a key."""
+        layer, _, domain = name.partition("_")
+        if layer in ("raw", "ods"):
+            found = appended_measures(self.spark, table_root(self.base, "raw", domain))
+            return {"rows": found["keyed"]} if found and layer == "ods" else found
+        return recorded_measures(self.spark, self.base, layer, name)
+
     def seed(self) -> DataFrame:
         return self._seed if self._seed is not None else load_seed(self.spark)
 
@@ -165,7 +183,7 @@ class Job:
         part = self._part_name(name)
         path = upsert_partitions(target, batch.withColumn(part, self._part(place)), keys, self.base, layer, name, part,
                                  policy=policy, stable=True, newest=newest, track=TRACKED.get(name, ()),
-                                 gone=gone, gone_partitions=gone_partitions)
+                                 gone=gone, gone_partitions=gone_partitions, **self._checked(name))
         self.written[name] = path
         if mark is not None:
             write_watermark(self.spark, self.base, layer, name, mark)
@@ -181,7 +199,9 @@ class Job:
     # --- layers ----------------------------------------------------------------------
     def land(self, domain: str, frame: DataFrame) -> None:
         """Append one load of a domain to its raw table, under its load period."""
-        append_loads(frame, table_root(self.base, "raw", domain), self.grain)
+        key = ods.SPECS[f"ods_{domain}"][1]
+        counted = quality.measures(self._checks(f"raw_{domain}")) | {"keyed": F.count(key)}
+        append_loads(frame, table_root(self.base, "raw", domain), self.grain, counted)
 
     def land_documents(self, domain: str, path: str, source: str, one_per_file: bool = False,
                        tz: str | None = None) -> None:
@@ -332,15 +352,34 @@ class Job:
         return out
 
     def check(self, models: list[str] | None = None) -> DataFrame:
-        tables = self.tables(models)
-        suite = {m: c for m, c in S.FULL_SUITE.items() if m in tables}
-        return quality.run_suite(tables, suite)
+        """The suite, row-level checks from the counts that the writes recorded."""
+        out = None
+        for model, df in self.tables(models).items():
+            checks = self._checks(model)
+            if not checks:
+                continue
+            found = self.measured(model)
+            part = quality.run_checks(df, model, checks) if found is None else quality.results_from(df, model, checks, found)
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    def counts(self) -> DataFrame:
+        """The row count of every model table, from the record of its writes; a table without one is counted."""
+        known, rest = [], {}
+        for name, df in self.tables().items():
+            if _layer(name) == "raw":
+                continue
+            found = self.measured(name)
+            if found is None:
+                rest[(_layer(name), name)] = df
+            else:
+                known.append((_layer(name), name, found["rows"]))
+        out = self.spark.createDataFrame(known, "schema_name string, table_name string, row_count long")
+        return out.unionByName(monitor.table_counts(rest)) if rest else out
 
     def monitor(self) -> DataFrame | None:
         """Q10 + I8: counts of every model table, drift against yesterday, snapshot upsert."""
-        tables = self.tables()
-        counted = {(_layer(name), name): df for name, df in tables.items() if _layer(name) != "raw"}
-        counts = monitor.table_counts(counted)
+        counts = self.counts()
         snapshot = self.current("dws", "row_count_snapshot")
         drift = None
         if snapshot is not None:
@@ -354,10 +393,11 @@ def run_all(spark: SparkSession, sf_dir: str, out_base: str, as_of=None, now=Non
             seed: DataFrame | None = None, land: bool = True, grain: str = "day", gate: bool = False) -> RunResult:
     """L1: full refresh of all four domains, then checks, drift and summary.
 
-    With ``gate`` a failed check of severity error raises after everything is
+    With ``gate`` a layer whose rows fail a check of severity error doesn't become
+    current, and any failed check of severity error raises at the latest after everything is
     written and reported (Q14).
     """
-    job = Job(spark, out_base, as_of=as_of, seed=seed, now=now, today=today, grain=grain)
+    job = Job(spark, out_base, as_of=as_of, seed=seed, now=now, today=today, grain=grain, gate=gate)
     if land:
         for domain in DOMAINS:
             job.land(domain, adapters.raw(spark, sf_dir, domain))
@@ -384,7 +424,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_base: str, as_of=None, now=Non
 def run_domain(spark: SparkSession, domain: str, sf_dir: str, out_base: str, as_of=None, now=None, today=None,
                seed: DataFrame | None = None, land: bool = True, grain: str = "day", gate: bool = False) -> RunResult:
     """L2: one domain from its ODS view downstream (where its other inputs exist), then its checks."""
-    job = Job(spark, out_base, as_of=as_of, seed=seed, now=now, today=today, grain=grain)
+    job = Job(spark, out_base, as_of=as_of, seed=seed, now=now, today=today, grain=grain, gate=gate)
     if land:
         job.land(domain, adapters.raw(spark, sf_dir, domain))
     job.refresh_dwd(domain)

@@ -11,9 +11,9 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -136,10 +136,21 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(path) if path else None
 
 
+def measured_write(df: DataFrame, measures: Mapping[str, Column], write) -> dict[str, int]:
+    """Run ``write`` on the frame and return the counts that its tasks collected on the way (``Dataset.observe``)."""
+    seen = Observation()
+    write(df.observe(seen, *[c.alias(k) for k, c in measures.items()]))
+    return {k: int(v or 0) for k, v in seen.get.items()}
+
+
 def write_table(df: DataFrame, base: str, layer: str, name: str, partition_by: Sequence[str] = (),
-                keep_versions: int = 2) -> str:
+                keep_versions: int = 2, measures: Mapping[str, Column] | None = None,
+                gate: Callable[[dict[str, int]], None] | None = None) -> str:
     """Write a new version of ``layer.name``; it becomes current with its ``_SUCCESS`` mark.
 
+    ``measures`` are counted by the write itself and recorded with the version
+    (``recorded_measures``); ``gate`` sees them first and may raise, which leaves the old version current.
+
     The new version may be computed from the current one (upsert), since older
     versions stay untouched while it is written. Readers see the old or the
     new version whole, whatever step a job dies in. Versions before the last
@@ -149,10 +160,22 @@ def write_table(df: DataFrame, base: str, layer: str, name: str, partition_by: S
     root = table_root(base, layer, name)
     version = f"v-{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     target = f"{root}/{version}"
-    writer = df.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
+    def write(frame: DataFrame) -> None:
+        writer = frame.write.mode("errorifexists").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(target)
+
+    found = measured_write(df, measures or {"rows": F.count(F.lit(1))}, write)
+    if gate is not None:
+        try:
+            gate(found)
+        except Exception:
+            fs, folder = _fs(spark, target)
+            fs.delete(folder, True)
+            raise
+    _write_text(spark, f"{target}/_MEASURES", json.dumps(found))
+    _write_text(spark, f"{target}/_SUCCESS", "")
     _drop_old_versions(spark, root, keep_versions)
     return target
 
@@ -282,6 +305,8 @@ def upsert_partitions(
     track: Sequence[str] = (),
     gone: Column | None = None,
     gone_partitions: Sequence = (),
+    measures: Mapping[str, Column] | None = None,
+    gate: Callable[[dict[str, int]], None] | None = None,
 ) -> str:
     """I4 + I6 on disk, rewriting only the partitions the batch touches.
 
@@ -300,7 +325,9 @@ def upsert_partitions(
     ``track`` names group columns whose values, of the batch and of the rows it
     replaces, go to the table's change log (``strata.sources.changes``) before the data
     is committed. Target rows for which ``gone`` holds (in ``gone_partitions``)
-    go as well, whether the batch repeats their keys or not.
+    go as well, whether the batch repeats their keys or not. ``measures`` are
+    counted for each rewritten partition and recorded (``recorded_measures``); ``gate`` sees their sums
+    before anything is replaced, and may raise.
     """
     from strata.operators.dedup import latest_by_key, rest_tiebreak
     from strata.operators.incremental import align
@@ -333,8 +360,14 @@ def upsert_partitions(
             kept = there.join(batch.select(*keys).distinct(), list(keys), "left_anti")
             # joins on column names move the key first: restore the table's order
             new = kept.select(*target.columns).unionByName(batch.select(*target.columns))
-        held = {r[0] for r in new.select(partition_col).distinct().collect()}
-        emptied = [v for v in touched if v not in held]
+    # one row per rewritten partition
+    counts = {r[0]: {k: int(v or 0) for k, v in r.asDict().items() if k != partition_col} for r in new.groupBy(partition_col).agg(
+        *[c.alias(k) for k, c in (measures or {"rows": F.count(F.lit(1))}).items()]).collect()}
+    if gate is not None:
+        gate(_summed(counts.values()))
+    if target is not None:
+        emptied = [v for v in touched if v not in counts]
+    before = _read_text(spark, f"{root}/_MEASURES")
     # rebalance: AQE splits a hot partition over several writers and merges small ones
     (
         new.hint("rebalance", partition_col)
@@ -348,10 +381,38 @@ def upsert_partitions(
         fs, jpath = _fs(spark, folder)
         fs.delete(jpath, True)
     _write_text(spark, f"{root}/_SCHEMA", new.schema.json())
+    if target is None or before:  # else rows of the other partitions were never counted
+        known = json.loads(before) if target is not None else {}
+        gone_now = {str(v) for v in emptied}
+        known = {k: v for k, v in known.items() if k not in gone_now} | {str(k): v for k, v in counts.items()}
+        _write_text(spark, f"{root}/_MEASURES", json.dumps(known))
     drop_batch(staged)
     return path
 
 
+def _summed(parts) -> dict[str, int]:
+    out: dict[str, int] = {}
+    for part in parts:
+        for k, v in part.items():
+            out[k] = out.get(k, 0) + v
+    return out
+
+
+def recorded_measures(spark: SparkSession, base: str, layer: str, name: str) -> dict[str, int] | None:
+    """The counts recorded when the table was written (``rows`` and those of its checks); None without a record.
+
+    No table is read: a version carries its own counts, a partitioned table those of
+    its partitions, of which an upsert replaces the ones that it rewrites.
+    """
+    root = table_root(base, layer, name)
+    version = current_version(spark, root)
+    text = _read_text(spark, f"{version}/_MEASURES" if version else f"{root}/_MEASURES")
+    if not text:
+        return None
+    found = json.loads(text)
+    return found if version else _summed(found.values())
+
+
 def read_landing(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True) -> DataFrame:
     """Batch read of API documents dropped as JSON files into a folder; a malformed document raises."""
     return spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.sources.ingest import _fs, _read_text, _write_text, path_exists
+from strata.sources.ingest import _fs, _read_text, _write_text, measured_write, path_exists
 
 LOADED = "_ingested_at"
 LOAD_DAY = "_load_day"
@@ -32,11 +33,12 @@ def recorded_columns(spark: SparkSession, path: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(text)) if text else None
 
 
-def append_loads(df: DataFrame, path: str, grain: str = "day") -> None:
+def append_loads(df: DataFrame, path: str, grain: str = "day", measures: Mapping[str, Column] | None = None) -> None:
     """Append rows under their load period; a column keeps the type it came with first, new columns are added.
 
     Rows without a load time go to a folder of their own, which only a read
-    without watermark opens.
+    without watermark opens. ``measures`` are counted by the write and added to the table's record. An
+    append that dies leaves its pending mark, and the record counts no more.
     """
     spark = df.sparkSession
     known = recorded_columns(spark, path) or T.StructType([])
@@ -46,7 +48,25 @@ def append_loads(df: DataFrame, path: str, grain: str = "day") -> None:
     if len(columns) > len(known.fields):  # recorded first: a column without data reads as null
         _write_text(spark, f"{path}/_SCHEMA", T.StructType(columns).json())
     # rebalance: few files per period, and several writers for a large one
-    rows.withColumn(LOAD_DAY, load_period(grain)).hint("rebalance", LOAD_DAY).write.mode("append").partitionBy(LOAD_DAY).parquet(path)
+    placed = rows.withColumn(LOAD_DAY, load_period(grain)).hint("rebalance", LOAD_DAY)
+    write = lambda frame: frame.write.mode("append").partitionBy(LOAD_DAY).parquet(path)
+    before = _read_text(spark, f"{path}/_MEASURES")
+    pending = path_exists(spark, f"{path}/_PENDING")
+    _write_text(spark, f"{path}/_PENDING", "append")
+    found = measured_write(placed, measures or {"rows": F.count(F.lit(1))}, write)
+    if not pending and (before or not known.fields):
+        total = json.loads(before) if before else {}
+        _write_text(spark, f"{path}/_MEASURES", json.dumps({k: v + total.get(k, 0) for k, v in found.items()}))
+        fs, mark = _fs(spark, f"{path}/_PENDING")
+        fs.delete(mark, False)
+
+
+def appended_measures(spark: SparkSession, path: str) -> dict[str, int] | None:
+    """The sums recorded by all appends; None where one of them died or had no record."""
+    if path_exists(spark, f"{path}/_PENDING"):
+        return None
+    text = _read_text(spark, f"{path}/_MEASURES")
+    return json.loads(text) if text else None
 
 
 def _periods(spark: SparkSession, path: str) -> list[_dt.date]:
