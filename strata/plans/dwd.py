@@ -18,8 +18,24 @@ from strata.operators.dedup import latest_by_key
 from strata.operators.incremental import newer_than, upsert
 
 
-def _finish(cleaned: DataFrame, key: str, as_of, target: DataFrame | None, merge: bool = True,
+#: As ``merge``: the cleaned rows before the newest one per key is picked.
+CLEANED = "cleaned"
+KEYS = {
+    "github_events": "event_id", "weather_forecast": "forecast_time", "ecommerce_products": "product_id",
+    "business_customers": "customer_id", "business_orders": "order_id", "business_order_items": "item_id",
+}
+
+
+def valid_keys(domain: str, ods: DataFrame) -> DataFrame:
+    """key, _ingested_at of the rows that a DWD model accepts: as many distinct keys as the model has rows."""
+    rows = globals()[f"dwd_{domain}"](ods, merge=CLEANED)
+    return rows.select(F.col(KEYS[domain]).alias("key"), "_ingested_at")
+
+
+def _finish(cleaned: DataFrame, key: str, as_of, target: DataFrame | None, merge: bool | str = True,
             policy: str = "sync_all_columns") -> DataFrame:
+    if merge == CLEANED:
+        return cleaned
     latest = latest_by_key(cleaned, [key])
     out = latest.withColumn("_dwd_processed_at", X.ts_literal(as_of))
     return upsert(target, out, [key], policy=policy) if merge else out

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions import exprs as X
-from strata.operators import monitor, quality, report
+from strata.operators import monitor, quality, report, sketches
 from strata.operators.dedup import latest_by_key
 from strata.operators.incremental import newer_than, recompute_changed
 from strata.operators.joins import attach_latest, attach_one_row, lookup_join, orphans
@@ -25,7 +25,7 @@ from strata.operators.ranking import global_rank, top_k_rank
 from strata.plans import ads, dwd, dws, jobs
 from strata.plans import oracle as O
 from strata.plans import suite as S
-from strata.plans.catalog import AS_OF, Warehouse
+from strata.plans.catalog import AS_OF, TRENDS_TODAY, Warehouse
 from strata.plans.registry import register
 from strata.session import ensure_checkpoint_dir
 from strata.sources.ingest import read_partitioned, upsert_partitions, with_ingest_meta, with_layer
@@ -580,16 +580,11 @@ def q_rank_global_distributed(spark, sf_dir):
 
 
 @register("lag_dod_wow", O.sql(f"""
-SELECT event_date, event_type, event_count,
-       lag(event_count, 1) OVER (PARTITION BY event_type ORDER BY event_date) AS prev_day_count,
-       lag(event_count, 7) OVER (PARTITION BY event_type ORDER BY event_date) AS week_ago_count,
-       CASE WHEN lag(event_count, 1) OVER (PARTITION BY event_type ORDER BY event_date) > 0 THEN
-         {O.r2('(CAST(event_count AS DOUBLE) - lag(event_count, 1) OVER (PARTITION BY event_type ORDER BY event_date)) / lag(event_count, 1) OVER (PARTITION BY event_type ORDER BY event_date) * 100')}
-       END AS day_over_day_pct,
-       CASE WHEN lag(event_count, 7) OVER (PARTITION BY event_type ORDER BY event_date) > 0 THEN
-         {O.r2('(CAST(event_count AS DOUBLE) - lag(event_count, 7) OVER (PARTITION BY event_type ORDER BY event_date)) / lag(event_count, 7) OVER (PARTITION BY event_type ORDER BY event_date) * 100')}
-       END AS week_over_week_pct
-FROM dws_github_daily_activity""", ["dws_github_daily_activity"]))
+SELECT *, CASE WHEN prev_day_count > 0 THEN {O.r2('100.0 * (event_count - prev_day_count) / prev_day_count')} END AS day_over_day_pct,
+       CASE WHEN week_ago_count > 0 THEN {O.r2('100.0 * (event_count - week_ago_count) / week_ago_count')} END AS week_over_week_pct
+FROM (SELECT event_date, event_type, event_count, lag(event_count) OVER days AS prev_day_count,
+             lag(event_count, 7) OVER days AS week_ago_count
+      FROM dws_github_daily_activity WINDOW days AS (PARTITION BY event_type ORDER BY event_date))""", ["dws_github_daily_activity"]))
 def q_lag_dod_wow(spark, sf_dir):
     """W3 + F14: LAG 1 and 7 within each event type over all days, percent changes."""
     w = Warehouse(spark, sf_dir)
@@ -930,14 +925,26 @@ O.rel("counts_yesterday", _counts_sql("_first"),
       [f"ods_{d}_first" for d in CUTS] + [f"dwd_{d}_first" for d in CUTS])
 
 
-def _counts(spark, sf_dir, first: bool) -> DataFrame:
+def _counts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(today's, yesterday's) row counts of the ODS and DWD tables, each domain counted in one pass.
+
+    A DWD table has a row for every key with a valid row, so it is counted from
+    its keys, without building it; yesterday's are the keys loaded up to the cut.
+    """
     w = Warehouse(spark, sf_dir)
-    tables = {}
-    for d in CUTS:
-        ods_frame = _first(w, d) if first else w.ods(d)
-        tables[("ods", f"ods_{d}")] = ods_frame
-        tables[("dwd", f"dwd_{d}")] = getattr(dwd, f"dwd_{d}")(ods_frame, as_of=AS_OF)
-    return monitor.table_counts(tables)
+    out = None
+    for d, cut in CUTS.items():
+        before = F.col("_ingested_at") <= F.lit(cut).cast("timestamp_ntz")
+        ods_rows = w.ods(d).agg(F.count(F.lit(1)).alias("today"), F.count_if(before).alias("yesterday"))
+        keys = dwd.valid_keys(d, w.ods(d)).groupBy("key").agg(F.bool_or(before).alias("early"))
+        dwd_rows = keys.agg(F.count(F.lit(1)).alias("today"), F.count_if("early").alias("yesterday"))
+        for layer, part in (("ods", ods_rows), ("dwd", dwd_rows)):
+            part = part.select(F.lit(layer).alias("schema_name"), F.lit(f"{layer}_{d}").alias("table_name"), "today", "yesterday")
+            out = part if out is None else out.unionByName(part)
+    rows = out.collect()  # one row per table
+    frame = lambda c: spark.createDataFrame(
+        [(r["schema_name"], r["table_name"], r[c]) for r in rows], "schema_name string, table_name string, row_count long")
+    return frame("today"), frame("yesterday")
 
 
 _DAY = f"DATE '{SNAPSHOT_DAY:%Y-%m-%d}'"
@@ -950,10 +957,10 @@ UNION ALL SELECT {_DAY} AS snapshot_date, schema_name, table_name, row_count FRO
     ["counts_yesterday", "counts_today"]))
 def q_snapshot_upsert(spark, sf_dir):
     """I8: today's counts replace a stale same-day snapshot; yesterday's rows stay."""
-    yesterday = _counts(spark, sf_dir, first=True)
+    today, yesterday = _counts(spark, sf_dir)
     snap = monitor.as_snapshot(yesterday, SNAPSHOT_DAY - _dt.timedelta(days=1)).unionByName(
         monitor.as_snapshot(yesterday, SNAPSHOT_DAY))  # stale values for today, to be replaced
-    return monitor.snapshot_upsert(snap, _counts(spark, sf_dir, first=False), SNAPSHOT_DAY)
+    return monitor.snapshot_upsert(snap, today, SNAPSHOT_DAY)
 
 
 @register("row_count_drift", O.sql(f"""
@@ -968,5 +975,53 @@ WHERE CASE WHEN y.row_count = 0 THEN (CASE WHEN t.row_count > 0 THEN 100.0 ELSE
     ["counts_today", "counts_yesterday"]))
 def q_row_count_drift(spark, sf_dir):
     """Q10: tables that moved more than 30 percent since yesterday's snapshot."""
-    yesterday = monitor.as_snapshot(_counts(spark, sf_dir, first=True), SNAPSHOT_DAY - _dt.timedelta(days=1))
-    return monitor.row_count_drift(_counts(spark, sf_dir, first=False), yesterday, SNAPSHOT_DAY)
+    today, yesterday = _counts(spark, sf_dir)
+    before = monitor.as_snapshot(yesterday, SNAPSHOT_DAY - _dt.timedelta(days=1))
+    return monitor.row_count_drift(today, before, SNAPSHOT_DAY)
+
+
+O.rel("events_trending_first", O.trending("dws_github_daily_activity_first"), ["dws_github_daily_activity_first"])
+_EVENT_TABLES = {"ods_github_events": "ods_github_events_first", "dwd_github_events": "dwd_github_events_first",
+                 "dws_github_daily_activity": "dws_github_daily_activity_first", "ads_github_trending": "events_trending_first"}
+
+
+@register("drift_from_record", O.sql(
+    "SELECT schema_name, table_name, yesterday_count, today_count, " + O.r2("pct", 1) + " AS change_pct, "
+    "CASE WHEN today_count > yesterday_count THEN '+' ELSE '-' END AS direction, pct > 30.0 AS alert FROM ("
+    "SELECT *, CASE WHEN yesterday_count > 0 THEN abs(today_count - yesterday_count) * 100.0 / yesterday_count "
+    "WHEN today_count > 0 THEN 100.0 ELSE 0.0 END AS pct FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{t[:3]}' AS schema_name, '{t}' AS table_name, (SELECT CAST(count(*) AS BIGINT) FROM {first}) AS yesterday_count, "
+        f"(SELECT CAST(count(*) AS BIGINT) FROM {t}) AS today_count" for t, first in _EVENT_TABLES.items()) + "))",
+    [*_EVENT_TABLES, *_EVENT_TABLES.values()]))
+def q_drift_from_record(spark, sf_dir):
+    """A12 + Q10 + I8 on stored tables: the events of two loads go through all layers; counts and drift come
+    from what the writes recorded, no table is read for them."""
+    w = Warehouse(spark, sf_dir)
+    job = jobs.Job(spark, _scratch(spark, "drift"), as_of=AS_OF, seed=w.seed(), today=TRENDS_TODAY)
+    raw, early = w.raw("github_events"), F.col("_ingested_at") <= F.lit(CUTS["github_events"]).cast("timestamp_ntz")
+    out = None
+    for day, load in ((TRENDS_TODAY, early), (TRENDS_TODAY + _dt.timedelta(days=1), ~early)):
+        job.land("github_events", raw.where(load))
+        job.refresh_dwd("github_events")
+        job.refresh_dws("dws_github_daily_activity")
+        job.refresh_ads("ads_github_trending")
+        counts = job.counts()
+        out = counts if out is None else monitor.row_count_drift(counts, monitor.as_snapshot(out, TRENDS_TODAY), day, alerts_only=False)
+    return out
+
+
+@register("weekly_actors_from_sketches", O.sql("""
+SELECT CAST(date_trunc('week', event_date) AS TIMESTAMP) AS week, event_type, count(DISTINCT actor_id) AS unique_actors,
+       count(*) AS event_count, true AS within_bound
+FROM dwd_github_events GROUP BY 1, 2""", ["dwd_github_events"]))
+def q_weekly_actors_from_sketches(spark, sf_dir):
+    """A3 approximate + A9: distinct actors per week and type, merged from daily sketches without the
+    events; held against the exact counts and the stated bound."""
+    events = Warehouse(spark, sf_dir).dwd("github_events")
+    daily = sketches.daily_sketches(events, ["event_date", "event_type"], ["actor_id"])
+    week = F.date_trunc("week", F.col("event_date").cast("timestamp")).cast("timestamp_ntz").alias("week")
+    weekly = sketches.merge_sketches(daily.withColumn("week", week), ["week", "event_type"], ["actor_id"])
+    exact = events.groupBy(week, "event_type").agg(F.countDistinct("actor_id").alias("unique_actors"))
+    bound = F.abs(F.col("approx_actor_id") - F.col("unique_actors")) <= sketches.error_bound() * F.col("unique_actors") + 0.5
+    return weekly.join(exact, ["week", "event_type"]).select("week", "event_type", "unique_actors", "event_count", bound.alias("within_bound"))
