@@ -16,8 +16,10 @@ def test_weekly_counts_from_daily_sketches_keep_the_bound(spark, actors):
     for r in merged.collect():
         n, c = exact[r["kind"]]
         assert abs(r["approx_actor"] - n) <= error_bound() * n + 0.5 and r["event_count"] == c
-    # a merge of merges is a merge: months may come from weeks
-    assert merge_sketches(merged, [], ["actor"]).first()["approx_actor"] == merge_sketches(daily, [], ["actor"]).first()["approx_actor"]
+    # merged sketches merge again (months from weeks), within the same bound
+    n = rows.select("actor").distinct().count()
+    for whole in (merge_sketches(merged, [], ["actor"]), merge_sketches(daily, [], ["actor"])):
+        assert abs(whole.first()["approx_actor"] - n) <= error_bound() * n + 0.5
 
 
 def test_nulls_and_empty_groups(spark):
