@@ -8,6 +8,10 @@ event records dropped into a landing folder are a stream:
   (keeps the FIRST arrival per event id inside the watermark)
 * X3 ``upsert_batches``: ``foreachBatch`` applying the batch DWD model and
   the upsert, so the result equals the batch M7 (latest load wins)
+* X2 ``latest_events``: keyed state that holds the newest row per event id and
+  replaces it when a later one arrives, in whatever order (update mode)
+* X4 ``exact_daily_distinct``: exact distinct counts as two states, one row per
+  (day, type, value) and one count per (day, type)
 * X4 ``daily_type_counts``: tumbling 1-day windows per type with a late-data
   bound; distinct actors are approximate (exact distinct is not supported on
   streams)
@@ -110,15 +114,53 @@ def clean_dedup_stream(raw_stream: DataFrame, watermark: str = "1 day", event_ti
     return out if keep_event_ts else out.drop("_event_ts")
 
 
-def upsert_batches(spark: SparkSession, landing: str, out_base: str, as_of=None,
-                   checkpoint: str | None = None, grain: str = "day") -> StreamingQuery:
+#: State on local disk with change-log checkpoints, so it may outgrow an executor's memory.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Queries started from here on hold their state in RocksDB."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+def latest_events(raw_stream: DataFrame) -> DataFrame:
+    """The newest row per event id, as the batch M7 picks it; for update mode.
+
+    The state is one row per event: the least of (no load time first, latest load,
+    then the other columns ascending), which is the batch's order. A row that comes
+    late, again or with an equal load time changes the state only if the batch would
+    pick it, so the last row given out per event is the batch's row.
+    """
+    cleaned = dwd.dwd_github_events(typed_events(raw_stream), merge=dwd.CLEANED)
+    rest = [c for c in cleaned.columns if c != "event_id"]
+    place = [F.col("_ingested_at").isNotNull().alias("o1"), (-F.unix_micros(F.col("_ingested_at").cast("timestamp"))).alias("o2")]
+    best = cleaned.groupBy("event_id").agg(F.min(F.struct(*place, *rest)).alias("r"))
+    return best.select("event_id", *[F.col(f"r.{c}").alias(c) for c in rest])
+
+
+def exact_daily_distinct(clean_stream: DataFrame, column: str, out: str = "unique_values") -> DataFrame:
+    """Exact distinct values of ``column`` per (event_date, event_type); for update mode.
+
+    The first state has a row for every (day, type, value) seen, the second counts those
+    that are new. Events don't change their day, type or value; where they do, use
+    ``upsert_batches(.., daily=True)``.
+    """
+    seen = clean_stream.where(F.col(column).isNotNull()).select("event_date", "event_type", column)
+    return seen.dropDuplicates(["event_date", "event_type", column]).groupBy("event_date", "event_type").agg(F.count(F.lit(1)).alias(out))
+
+
+def upsert_batches(spark: SparkSession, landing: str, out_base: str, as_of=None, checkpoint: str | None = None,
+                   grain: str = "day", daily: bool = False, seed: DataFrame | None = None) -> StreamingQuery:
     """Each micro-batch is cleaned by the batch model and upserted into DWD.
 
     The micro-batch goes through the same partitioned upsert as the batch job
     (``strata.plans.jobs.Job``): only the event days it touches are rewritten,
     and the table layout is the one the batch pipeline reads. Of the rows of an
     event, stored or new, the one loaded last stays, so late and equal load
-    times lose nothing and a replayed micro-batch changes nothing.
+    times lose nothing and a replayed micro-batch changes nothing. With ``daily``
+    the days that the micro-batch touched are summed up anew from the change log (M13), with
+    exact distinct counts.
     """
     from strata.operators.incremental import max_value
     from strata.plans.jobs import Job
@@ -128,12 +170,14 @@ def upsert_batches(spark: SparkSession, landing: str, out_base: str, as_of=None,
     name = "dwd_github_events"
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        job = Job(batch.sparkSession, out_base, as_of=as_of, grain=grain)
+        job = Job(batch.sparkSession, out_base, as_of=as_of, grain=grain, seed=seed)
         rows = stage_batch(dwd.dwd_github_events(typed_events(batch), as_of=job.as_of, merge=False))  # parsed once
         last = max_value(rows, "_ingested_at", default=None)
         if last is not None:
             since = job._mark(name, "_ingested_at", job.current("dwd", name))
             job._upsert(name, rows, last if since is None else max(since, last), newest="_ingested_at")
+            if daily:
+                job.refresh_dws("dws_github_daily_activity")
         drop_batch(rows)
 
     return (
