@@ -96,6 +96,11 @@ def exact_sum(c: str | Column, scale: int = 2) -> Column:
     return F.sum(F.round(col_(c) * unit).cast("long")) / F.lit(unit)
 
 
+def exact_avg(c: str | Column, scale: int = 2) -> Column:
+    """Average of values with up to ``scale`` digits, from their exact sum: the same in any order of tasks."""
+    return exact_sum(c, scale) / F.nullif(F.count(col_(c)), F.lit(0))
+
+
 def line_total(quantity: str | Column, unit_price: str | Column, discount_pct: str | Column) -> Column:
     """``quantity * unit_price * (1 - coalesce(discount, 0) / 100)``, rounded."""
     q, p, d = col_(quantity), col_(unit_price), col_(discount_pct)

@@ -151,7 +151,7 @@ def daily_revenue(dws_daily: DataFrame) -> DataFrame:
     return dws_daily.groupBy("order_date_key").agg(
         X.exact_sum("total_revenue").alias("daily_revenue"),
         F.sum("order_count").cast("long").alias("daily_orders"),
-        X.round_money(F.avg("avg_order_value"), 2).alias("daily_avg_order_value"),
+        X.round_money(X.exact_avg("avg_order_value"), 2).alias("daily_avg_order_value"),
     )
 
 

@@ -66,9 +66,9 @@ def dws_weather_daily_summary(dwd_weather: DataFrame, as_of=None, target: DataFr
     out = src.groupBy("forecast_date").agg(
         F.min("temperature_2m").alias("min_temperature"),
         F.max("temperature_2m").alias("max_temperature"),
-        X.round_money(F.avg("temperature_2m"), 2).alias("avg_temperature"),
-        X.round_money(F.avg("humidity"), 1).alias("avg_humidity"),
-        X.round_money(F.sum("precipitation"), 2).alias("total_precipitation"),
+        X.round_money(X.exact_avg("temperature_2m", 6), 2).alias("avg_temperature"),
+        X.round_money(X.exact_avg("humidity", 0), 1).alias("avg_humidity"),
+        X.round_money(X.exact_sum("precipitation", 6), 2).alias("total_precipitation"),
         F.count(F.lit(1)).alias("record_count"),
         # Distinct labels sorted and comma-joined; at most 13 labels per day.
         F.array_join(F.array_sort(F.collect_set("weather_category")), ",").alias("weather_categories"),
@@ -82,12 +82,12 @@ def category_metrics(products: DataFrame) -> DataFrame:
     return products.groupBy("category").agg(
         F.count("product_id").alias("product_count"),
         F.countDistinct("brand").alias("brand_count"),
-        X.round_money(F.avg("price"), 2).alias("avg_price"),
+        X.round_money(X.exact_avg("price"), 2).alias("avg_price"),
         X.round_money(F.min("price"), 2).alias("min_price"),
         X.round_money(F.max("price"), 2).alias("max_price"),
-        X.round_money(F.avg("rating"), 2).alias("avg_rating"),
+        X.round_money(X.exact_avg("rating"), 2).alias("avg_rating"),
         F.sum("stock").cast("long").alias("total_stock"),
-        X.round_money(F.sum(F.col("price") * F.col("stock")), 2).alias("total_inventory_value"),
+        X.round_money(X.exact_sum(F.col("price") * F.col("stock")), 2).alias("total_inventory_value"),
         F.count_if(F.col("rating_tier") == "platinum").alias("platinum_products"),
         F.count_if(F.col("rating_tier") == "gold").alias("gold_products"),
         F.count_if(F.col("discount_pct") > 0).alias("discounted_products"),
@@ -133,7 +133,7 @@ def dws_order_daily_summary(dwd_orders: DataFrame, as_of=None, target: DataFrame
         F.count("order_id").alias("order_count"),
         F.countDistinct("customer_id").alias("unique_customers"),
         X.round_money(X.exact_sum("total_amount"), 2).alias("total_revenue"),
-        X.round_money(F.avg("total_amount"), 2).alias("avg_order_value"),
+        X.round_money(X.exact_avg("total_amount"), 2).alias("avg_order_value"),
         F.count_if(F.col("payment_channel") == "card").alias("card_orders"),
         F.count_if(F.col("payment_channel") == "e_wallet").alias("ewallet_orders"),
         F.count_if(F.col("payment_channel") == "bank_transfer").alias("bank_transfer_orders"),
@@ -147,7 +147,7 @@ def customer_order_totals(dwd_orders: DataFrame) -> DataFrame:
     return dwd_orders.groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),
         X.round_money(X.exact_sum("total_amount"), 2).alias("total_revenue"),
-        X.round_money(F.avg("total_amount"), 2).alias("avg_order_value"),
+        X.round_money(X.exact_avg("total_amount"), 2).alias("avg_order_value"),
         F.max("order_date").alias("last_order_date"),
         F.min("order_date").alias("first_order_date"),
         F.countDistinct("order_date_key").alias("active_days"),
