@@ -28,7 +28,7 @@ from strata.plans import suite as S
 from strata.plans.catalog import AS_OF, TRENDS_TODAY, Warehouse
 from strata.plans.registry import register
 from strata.session import ensure_checkpoint_dir
-from strata.sources.ingest import read_partitioned, upsert_partitions, with_ingest_meta, with_layer
+from strata.sources.ingest import load_seed, read_partitioned, upsert_partitions, with_ingest_meta, with_layer
 from strata.sources.json_records import json_path, quarantine, read_json_columnar, read_json_records
 from strata.sources.tables import read_table
 
@@ -208,6 +208,25 @@ def q_seed_join_default(spark, sf_dir):
     return joined.select("event_id", key.alias("event_type"), "category")
 
 
+@register("seed_from_csv", """
+SELECT n_name AS event_type, r_name AS category, concat(n_name, ', "', r_name, '"') AS description, count(c_custkey) AS customers
+FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2, 3""")
+def q_seed_from_csv(spark, sf_dir):
+    """S7 from a file: a CSV of the nations (quotes and commas in it) is written, loaded with the declared
+    schema and joined to every customer."""
+    path = _scratch(spark, "seed-csv")
+    nation, region = read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region")
+    text = F.concat(F.col("n_name"), F.lit(', "'), F.col("r_name"), F.lit('"'))
+    rows = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    rows.select(F.col("n_name").alias("event_type"), F.col("r_name").alias("category"), text.alias("description")).write.option(
+        "header", True).option("escape", '"').csv(path)
+    seed = load_seed(spark, path)
+    named = read_table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
+    counts = named.groupBy("n_name").agg(F.count(F.lit(1)).alias("customers"))
+    joined = lookup_join(seed, counts, F.col("event_type"), "n_name", defaults={"customers": F.lit(0)})
+    return joined.select("event_type", "category", "description", "customers")
+
+
 # =====================================================================================
 # Dedup, incremental load and merge
 # =====================================================================================

@@ -72,10 +72,12 @@ def with_layer(df: DataFrame, layer: str) -> DataFrame:
 def load_seed(spark: SparkSession, path: str | None = None, rows=None, schema: T.StructType = SEED_SCHEMA) -> DataFrame:
     """A small dimension from CSV with a declared schema (no inference).
 
-    Without a path the built-in category seed is returned.
+    The header must name the schema's columns; quotes within a value are doubled; a
+    malformed row raises. Without a path the built-in category seed is returned.
     """
     if path:
-        return spark.read.schema(schema).option("header", True).csv(path)
+        options = {"header": True, "enforceSchema": False, "escape": '"', "multiLine": True, "mode": "FAILFAST"}
+        return spark.read.schema(schema).options(**options).csv(path)
     return values_frame(spark, rows if rows is not None else EVENT_TYPE_CATEGORIES, schema)
 
 

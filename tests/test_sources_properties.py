@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from conftest import SF001
 from strata.operators.dedup import latest_by_key
 from strata.operators.incremental import upsert
-from strata.sources.ingest import read_landing
+from strata.sources.ingest import load_seed, read_landing
 from strata.sources.json_records import read_json_columnar, read_json_records
 from strata.sources.tables import read_table
 
@@ -76,3 +77,18 @@ def test_upsert_matches_model(spark, target, incoming):
     assert got == want
     again = sorted(tuple(r) for r in upsert(upsert(t, i, ["k"]), i, ["k"]).collect())
     assert again == want
+
+
+def test_seed_from_csv_checks_header_and_rows(spark, scratch):
+    """RFC 4180 quoting, an empty field is null, a wrong header or a short row raises."""
+    def load(name, text):
+        path = os.path.join(scratch, name)
+        with open(path, "w") as f:
+            f.write(text)
+        return [tuple(r) for r in load_seed(spark, path).collect()]
+
+    good = 'event_type,category,description\nPushEvent,code,"a, ""quoted"" text\nover two lines"\nForkEvent,,\n'
+    assert load("good.csv", good) == [("PushEvent", "code", 'a, "quoted" text\nover two lines'), ("ForkEvent", None, None)]
+    for name, text in (("header.csv", "kind,category,description\nA,b,c\n"), ("row.csv", "event_type,category,description\nA,b\n")):
+        with pytest.raises(Exception):
+            load(name, text)
