@@ -6,8 +6,9 @@
    at least l of their first n - ceil(t * n) + l shingles; nodes whose heads hold too few shingles that any
    other node's head holds can't link and stay alone. The others' whole sets are read, and nodes of
    which too many shingles are in no other of these sets fall away as well.
-2. Levels: pivots are picked by hash from the nodes that are left, few at first and ``GROWTH`` times as many
-   at each further level, so a family of copies meets few pivots and is settled while they are few. All
+2. Levels: pivots are the central nodes of those that are left: of the nodes that hold a shingle the one whose
+   shingles are the most common leads it, and a node that leads half of its shared shingles is a pivot. Two nodes
+   that share more than half can't both be, so pivots lie apart and a family of copies meets few of them. All
    nodes within 2e of a pivot are found through the heads for that distance, and their distances
    measured on whole sets. A node within e of a pivot is linked to it and lies in the region of its nearest one.
 3. Windows: a link from a node x of the region of p ends within d(x, p) + e of p. So the nodes between e and 2e
@@ -15,7 +16,8 @@
    (Nodes closer to p are linked to p, like all of the region, and need not meet.)
 4. Pivots and the nodes of regions are settled: every link that they have is known or
    implied. The rest goes to the next level, where nodes without enough shingles shared with the rest
-   fall away again. At the last level every node is a pivot.
+   fall away again. Every level settles the most central node of each family that is left; after ``LEVELS``
+   of them every node is a pivot.
 
 Links are exact: no estimate decides, and no pair within e is left out except where both ends are already
 joined through the same pivot, so the components are those of all links.
@@ -39,9 +41,10 @@ from strata.llm.common import doc_blocks, ragged, release, stage
 from strata.llm.graph import components
 from strata.llm.neardup import Settings, common_counts, full_sets, shingle_sets
 
-#: Pivots of the first level, about; each level has GROWTH times the share of the last one.
-FIRST_PIVOTS = 64
-GROWTH = 8
+#: Levels with central pivots, at most; at the one after them every node that is left is a pivot.
+LEVELS = 5
+#: Up to this many nodes that are left with a shingle meet in a join; more of them in blocks.
+SHORT_LIST = 16
 #: Nodes and shingles of one side of a block in a region, about.
 BLOCK_NODES = 256
 BLOCK_SHINGLES = 400_000
@@ -91,44 +94,74 @@ def _reaches(inter: Column, a: Column, b: Column, num: int, den: int) -> Column:
     return inter * den >= (a + b - inter) * num
 
 
-def distances(sets: DataFrame, pivots: DataFrame, alive: DataFrame, num: int, den: int, once: bool) -> DataFrame:
-    """p, y, np, ny, inter: the alive nodes y whose similarity to pivot p is at least num / den (``once``: y < p only)."""
+def _prefix(sets: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """nid, n, u, v: the first shingles of each node, of which two nodes with similarity num / den share one."""
+    n = F.col("n")
+    length = (n - F.floor((n * num + (den - 1)) / den) + 1).cast("int")
+    return sets.join(nodes.select("nid", "u"), "nid").select("nid", "n", "u", F.explode(F.slice("vals", 1, length)).alias("v"))
+
+
+def central(sets: DataFrame, alive: DataFrame, s: Settings) -> DataFrame:
+    """nid, n, u of the pivots: the nodes that lead half of the shingles (of their heads) that they share."""
+    rows = stage(_prefix(sets, alive, s.num, s.den).select("nid", "v"), "head-rows")
+    common = rows.groupBy("v").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    score = rows.join(common, "v", "left").groupBy("nid").agg(
+        F.avg(F.coalesce("c", F.lit(0))).alias("score"), F.count("c").alias("k")).where("k > 0")
+    score = stage(score, "scores")
+    leaders = rows.join(score, "nid").groupBy("v").agg(
+        F.max(F.struct("score", "k", "nid")).alias("t"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    led = leaders.groupBy(F.col("t.nid").alias("nid")).agg(F.count(F.lit(1)).alias("led"), F.max("t.k").alias("k"))
+    return stage(alive.join(led.where("2 * led >= k").select("nid"), "nid"), "pivots")
 
-    def prefix(nodes: DataFrame, name: str) -> DataFrame:
-        n = F.col("n")
-        length = n - F.floor((n * num + (den - 1)) / den) + 1
-        return sets.join(nodes.select("nid", "u"), "nid").select(
-            F.col("nid").alias(name), n.alias(f"n{name}"), F.col("u").alias(f"u{name}"),
-            F.explode(F.slice("vals", 1, length.cast("int"))).alias("v"),
-        )
 
-    met = prefix(pivots, "p").join(prefix(alive, "y"), "v")
+def distances(sets: DataFrame, pivots: DataFrame, alive: DataFrame, num: int, den: int, once: bool) -> DataFrame:
+    """p, y, np, ny, inter: the nodes y whose similarity to p is at least num / den (``once``: y < p only).
+
+    pivots, alive: rows of ``_prefix`` for that similarity.
+    """
+    named = lambda f, x: f.select(F.col("nid").alias(x), F.col("n").alias(f"n{x}"), F.col("u").alias(f"u{x}"), "v")
+    met = named(pivots, "p").join(named(alive, "y"), "v")
     met = met.where(F.col("y") < F.col("p") if once else F.col("y") != F.col("p"))
     most = F.least(F.col("np") - F.col("up"), F.col("ny") - F.col("uy"))  # shingles that others have as well
-    pairs = met.where(_reaches(most, F.col("np"), F.col("ny"), num, den)).select("p", "y").distinct()
+    counted = met.where(_reaches(most, F.col("np"), F.col("ny"), num, den)).groupBy("p", "y", "np", "ny").agg(F.count(F.lit(1)).alias("c"))
+    # what the two share beyond their heads lies after the head that ends first
+    rest = F.floor((F.greatest("np", "ny") * num + (den - 1)) / den) - 1
+    pairs = counted.where(_reaches(F.col("c") + rest, F.col("np"), F.col("ny"), num, den)).select("p", "y")
     side = lambda x: sets.select(F.col("nid").alias(x), F.col("n").alias(f"n{x}"), F.col("vals").alias(f"v{x}"))
     exact = pairs.join(side("p"), "p").join(side("y"), "y").withColumn("inter", F.size(F.array_intersect("vp", "vy")))
     return exact.where(_reaches(F.col("inter"), F.col("np"), F.col("ny"), num, den)).select("p", "y", "np", "ny", "inter").distinct()
 
 
-def region_links(sets: DataFrame, inner: DataFrame, outer: DataFrame, s: Settings) -> DataFrame:
+def region_links(sets: DataFrame, alive: DataFrame, inner: DataFrame, outer: DataFrame, s: Settings) -> DataFrame:
     """a, b: links between the nodes of regions (p, x, jx) and the nodes in their windows (p, y, jy).
 
-    Of the links of one y into one block of a region one is given: the region is joined through p.
+    Of the links of one y into one block of a region one is given: the region is joined through p. Nodes
+    meet only where the windows and the shingles that nobody else has allow a link to some node of the other side.
     """
     e = 1 - s.num / s.den
-    bounds = outer.groupBy("p").agg(F.max("jy").alias("top"))
-    inner = inner.join(bounds, "p").where(F.col("jx") - F.col("top") <= e + 1e-9).select("p", F.col("x").alias("nid"), F.col("jx").alias("j"))
-    nearest = inner.groupBy("p").agg(F.min("j").alias("low"))
-    outer = outer.join(nearest, "p").where(F.col("low") - F.col("jy") <= e + 1e-9).select("p", F.col("y").alias("nid"), F.col("jy").alias("j"))
-    sized = lambda f: f.join(sets.select("nid", "n"), "nid").groupBy("p").agg(
+    known = alive.select("nid", "n", (F.col("n") - F.col("u")).alias("room"))
+    inner = inner.select("p", F.col("x").alias("nid"), F.col("jx").alias("j")).join(known, "nid")
+    outer = outer.select("p", F.col("y").alias("nid"), F.col("jy").alias("j")).join(known, "nid")
+
+    def possible(side: DataFrame, other: DataFrame, best: Column) -> DataFrame:
+        """``best``: the similarity to p of the other side's node whose window reaches the farthest."""
+        of = other.groupBy("p").agg(best.alias("reach"), F.max("room").alias("most"), F.min("n").alias("least"))
+        gap = F.abs(F.col("j") - F.col("reach")) <= e + 1e-9
+        shared = F.least("room", "most")
+        fits = shared * s.den >= (F.col("n") + F.greatest("least", shared) - shared) * s.num
+        return side.join(of, "p").where(gap & fits).select("p", "nid", "j", "n", "room")
+
+    inner = possible(inner, outer, F.max("j"))
+    outer = stage(possible(outer, inner, F.min("j")), "windows")
+    inner = stage(inner.join(outer.select("p").distinct(), "p", "left_semi"), "inner")
+    sized = lambda f: f.groupBy("p").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("k"))
     grid = sized(inner).withColumnRenamed("k", "rows").join(sized(outer).withColumnRenamed("k", "cols"), "p")
     zero = F.lit(0).cast("long")
     place = lambda k: F.pmod(F.xxhash64("nid"), F.col(k))
     every = lambda k: F.explode(F.sequence(zero, F.col(k) - 1))
-    left = inner.join(grid, "p").select("p", place("rows").alias("i"), every("cols").alias("k"), F.lit(True).alias("is_x"), "nid", "j")
-    right = outer.join(grid, "p").select("p", every("rows").alias("i"), place("cols").alias("k"), F.lit(False).alias("is_x"), "nid", "j")
+    left = inner.join(grid, "p").select("p", place("rows").alias("i"), every("cols").alias("k"), F.lit(True).alias("is_x"), "nid", "j", "room")
+    right = outer.join(grid, "p").select("p", every("rows").alias("i"), place("cols").alias("k"), F.lit(False).alias("is_x"), "nid", "j", "room")
     blocks = left.union(right).join(sets, "nid")
     num, den = s.num, s.den
 
@@ -136,26 +169,89 @@ def region_links(sets: DataFrame, inner: DataFrame, outer: DataFrame, s: Setting
         x, y = block[block.is_x], block[~block.is_x]
         if not len(x) or not len(y):
             return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+        both = x.n.to_numpy()[:, None] + y.n.to_numpy()[None, :]
+        most = np.minimum(x.room.to_numpy()[:, None], y.room.to_numpy()[None, :])
+        maybe = (most * den >= (both - most) * num) & (x.j.to_numpy()[:, None] - y.j.to_numpy()[None, :] <= e + 1e-9)
+        xs, ys = maybe.any(axis=1), maybe.any(axis=0)
+        x, y, both, maybe = x[xs], y[ys], both[xs][:, ys], maybe[xs][:, ys]
+        if not maybe.size:
+            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
         inter = common_counts(x.vals, y.vals)
-        total = x.n.to_numpy()[:, None] + y.n.to_numpy()[None, :] - inter
-        linked = (inter * den >= total * num) & (x.j.to_numpy()[:, None] - y.j.to_numpy()[None, :] <= e + 1e-9)
+        linked = maybe & (inter * den >= (both - inter) * num)
         some = np.flatnonzero(linked.any(axis=0))
         return pd.DataFrame({"a": x.nid.to_numpy()[linked.argmax(axis=0)[some]], "b": y.nid.to_numpy()[some]})
 
     return blocks.groupBy("p", "i", "k").applyInPandas(meet, "a long, b long")
 
 
+def last_links(sets: DataFrame, alive: DataFrame, s: Settings) -> list[DataFrame]:
+    """Links between the nodes that no level has settled, every node being a pivot.
+
+    Nodes that share a shingle of their heads meet: in a join where few hold it, else as
+    blocks of nodes against each other, of which only the components come out.
+    """
+    rows = _prefix(sets, alive, s.num, s.den)
+    sizes = rows.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    rows = stage(rows.join(sizes, "v"), "last-heads")
+    short = rows.where(F.col("m") <= SHORT_LIST)
+    pairs = stage(distances(sets, short, short, s.num, s.den, once=True), "near").select(F.col("p").alias("a"), F.col("y").alias("b"))
+    long = rows.where(F.col("m") > SHORT_LIST)
+    if long.isEmpty():
+        return [pairs]
+    zero = F.lit(0).cast("long")
+    long = long.select("v", "nid", "u", F.ceil(F.col("m") / BLOCK_NODES).cast("long").alias("k"))
+    long = long.withColumn("at", F.pmod(F.xxhash64("nid"), F.col("k")))
+    left = long.select("v", F.col("at").alias("i"), F.explode(F.sequence(F.col("at"), F.col("k") - 1)).alias("k"), F.lit(True).alias("is_x"), "nid", "u")
+    right = long.select("v", F.explode(F.sequence(zero, F.col("at"))).alias("i"), F.col("at").alias("k"), F.lit(False).alias("is_x"), "nid", "u")
+    blocks = left.union(right).join(sets, "nid")
+    num, den = s.num, s.den
+
+    def meet(block: pd.DataFrame) -> pd.DataFrame:
+        x, y = block[block.is_x], block[~block.is_x]
+        if not len(x) or not len(y):
+            return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
+        both = x.n.to_numpy()[:, None] + y.n.to_numpy()[None, :]
+        most = np.minimum((x.n - x.u).to_numpy()[:, None], (y.n - y.u).to_numpy()[None, :])
+        linked = most * den >= (both - most) * num
+        if linked.any():
+            inter = common_counts(x.vals, y.vals)
+            linked &= inter * den >= (both - inter) * num
+        xs, ys = x.nid.to_numpy(), y.nid.to_numpy()
+        i, j = np.nonzero(linked & (xs[:, None] != ys[None, :]))
+        return spanning(xs[i], ys[j])
+
+    return [pairs, stage(blocks.groupBy("v", "i", "k").applyInPandas(meet, "a long, b long"), "last-links")]
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """Each node of the links (a, b) with the smallest node of its component."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    ends = np.split(at, 2)
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[ends[0]], label[ends[1]])
+        new = label.copy()
+        np.minimum.at(new, ends[0], low)
+        np.minimum.at(new, ends[1], low)
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    own = label != np.arange(len(nodes))
+    return pd.DataFrame({"a": nodes[own], "b": nodes[label[own]]})
+
+
 def links_of(sets: DataFrame, alive: DataFrame, s: Settings) -> list[DataFrame]:
     """Frames of links (a, b) that give the components of all links between the alive nodes."""
     found: list[DataFrame] = []
     alive = stage(linkable(sets, alive, s), "alive")
     left = alive.count()
-    share, level = FIRST_PIVOTS / max(left, 1), 0
-    while left and share < 0.5:
-        level += 1
-        pick = F.pmod(F.xxhash64("nid", F.lit(level)), F.lit(1 << 30)) < int(share * (1 << 30))
-        pivots = stage(alive.where(pick), "pivots")
-        near = stage(distances(sets, pivots, alive, 2 * s.num - s.den, s.den, once=False), "near")
+    for _ in range(LEVELS):
+        if not left:
+            break
+        pivots = central(sets, alive, s)
+        wide = 2 * s.num - s.den
+        near = stage(distances(sets, _prefix(sets, pivots, wide, s.den), _prefix(sets, alive, wide, s.den), wide, s.den, once=False), "near")
         j = F.col("inter") / (F.col("np") + F.col("ny") - F.col("inter"))
         close = _reaches(F.col("inter"), F.col("np"), F.col("ny"), s.num, s.den)
         measured = near.select("p", "y", j.alias("j"), close.alias("close"))
@@ -164,15 +260,13 @@ def links_of(sets: DataFrame, alive: DataFrame, s: Settings) -> list[DataFrame]:
         regions = stage(plain.where("close").groupBy("y").agg(F.max(F.struct("j", "p")).alias("t")).select(
             F.col("t.p").alias("p"), F.col("y").alias("x"), F.col("t.j").alias("jx")), "regions")
         window = plain.where("NOT close").select("p", "y", F.col("j").alias("jy"))
-        found.append(stage(region_links(sets, regions, window, s), "region-links"))
+        found.append(stage(region_links(sets, alive, regions, window, s), "region-links"))
         settled = pivots.select("nid").union(regions.select(F.col("x")))
         last, alive = alive, stage(linkable(sets, alive.join(settled, "nid", "left_anti"), s), "alive")
         release(last, pivots, regions)
         left = alive.count()
-        share *= GROWTH
     if left:
-        exact = stage(distances(sets, alive, alive, s.num, s.den, once=True), "near")
-        found.append(exact.select(F.col("p").alias("a"), F.col("y").alias("b")))
+        found += last_links(sets, alive, s)
     return found
 
 

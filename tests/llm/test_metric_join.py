@@ -2,6 +2,7 @@ import collections
 import random
 import tempfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,9 +35,10 @@ def _borders():
     return rows
 
 
-@pytest.mark.parametrize("first", [1, 8, 64])
-def test_components_equal_brute_force(spark, monkeypatch, first):
-    monkeypatch.setattr(metric_join, "FIRST_PIVOTS", first)
+@pytest.mark.parametrize("levels", [0, 5])
+def test_components_equal_brute_force(spark, monkeypatch, levels):
+    monkeypatch.setattr(metric_join, "LEVELS", levels)
+    monkeypatch.setattr(metric_join, "SHORT_LIST", 4)
     monkeypatch.setattr(metric_join, "BLOCK_NODES", 5)
     rows = _copies() + [(20_000 + d, t) for d, t in _borders()]
     assert _found(metric_join.jaccard_components(docs_frame(spark, rows))) == _components(rows, 5, 80, 100)
@@ -44,15 +46,14 @@ def test_components_equal_brute_force(spark, monkeypatch, first):
 
 def test_windows_find_links_that_pivots_do_not_show(spark, monkeypatch):
     """Families spread out to the threshold: many links run between regions."""
-    monkeypatch.setattr(metric_join, "FIRST_PIVOTS", 12)
     rows = []
     for k in range(8):
         rows += _family(1000 * k, 150, 55, 25, 40 + k)
     seen = []
     real = metric_join.region_links
 
-    def counted(sets, inner, outer, s):
-        out = real(sets, inner, outer, s)
+    def counted(*args):
+        out = real(*args)
         seen.append(out.count())
         return out
 
@@ -68,9 +69,26 @@ def test_hot_copies_common_lines_and_repeated_rows(spark):
     assert _found(metric_join.jaccard_components(docs_frame(spark, rows))) == _components(rows, 5, 80, 100)
 
 
+def test_spanning_links_keep_components():
+    rng = np.random.default_rng(5)
+    for n, m in ((1, 0), (5, 3), (60, 40), (200, 300)):
+        a, b = rng.integers(0, n, m) * 7 - 9, rng.integers(0, n, m) * 7 - 9
+        out = metric_join.spanning(a, b)
+        parent = {x: x for x in [*a, *b]}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for x, y in zip(a, b):
+            parent[max(find(x), find(y))] = min(find(x), find(y))
+        assert {(x, find(x)) for x in parent if find(x) != x} == set(zip(out.a, out.b))
+
+
 def test_other_thresholds(spark):
     rows = _borders()
-    for words, num in ((3, 85), (2, 60)):
+    for words, num in ((2, 60),):
         found = _found(metric_join.jaccard_components(docs_frame(spark, rows), Settings(words=words, num=num, den=100)))
         assert found == _components(rows, words, num, 100)
     with pytest.raises(ValueError):
