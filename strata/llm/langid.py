@@ -6,10 +6,12 @@ and scaled to length one. Document frequencies are counted by Spark over all
 training rows; a few centroids per language come from spherical k-means on a
 bounded sample of them (``SAMPLE_PER_LANGUAGE``). A text gets the language of
 the centroid with the highest cosine; ``rejected`` marks texts farther from
-every centroid than almost all training texts are from theirs.
+every centroid than almost all training texts are from theirs. The sample holds distinct texts,
+so copies of one text neither crowd out a language nor reach the driver.
 
 Defined results: null texts and texts without a letter are ``und`` with score
-0; with no training rows every text is ``und``; ties go to the language that
+0; with no training rows every text is ``und``; texts too short for a trigram get the language that sorts first, with score 0; a
+language whose training texts are all that short is not learned; ties go to the language that
 sorts first; input columns named like the results are replaced.
 """
 
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
@@ -28,8 +30,10 @@ from strata.llm.common import arrow_schema, doc_blocks, mix64, text_bytes, witho
 
 DIMENSIONS = 4096
 CENTROIDS = 4
-#: Bound of the sample that k-means sees, for each language (about this many rows).
+#: Bound of the sample that k-means sees, for each language (distinct texts, those with the smallest hashes).
 SAMPLE_PER_LANGUAGE = 600
+#: Rows of one matrix of trigram counts (DIMENSIONS numbers a row).
+BLOCK_ROWS = 1000
 #: This share of the sampled training texts lies beyond the distance at which a text is rejected.
 REJECT_QUANTILE = 0.005
 UNKNOWN = "und"
@@ -57,6 +61,13 @@ def trigram_counts(column: pa.Array) -> np.ndarray:
     return flat.reshape(n_docs, DIMENSIONS).astype(np.float32)
 
 
+def row_blocks(batches, text: str):
+    """Parts of the batches, bounded by bytes and by rows."""
+    for part, _, _ in doc_blocks(batches, text):
+        for a in range(0, len(part), BLOCK_ROWS):
+            yield part.slice(a, BLOCK_ROWS)
+
+
 def unit_rows(m: np.ndarray) -> np.ndarray:
     norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
     return np.divide(m, norm, out=np.zeros_like(m), where=norm > 0)
@@ -88,7 +99,7 @@ def document_frequencies(training: DataFrame, text: str) -> np.ndarray:
 
     def run(batches):
         total = np.zeros(DIMENSIONS + 1, np.int64)
-        for part, _, _ in doc_blocks(batches, text):
+        for part in row_blocks(batches, text):
             counts = trigram_counts(part.column(text))
             total[:DIMENSIONS] += (counts > 0).sum(axis=0)
             total[DIMENSIONS] += len(counts)
@@ -103,25 +114,21 @@ def document_frequencies(training: DataFrame, text: str) -> np.ndarray:
 
 
 def sample_vectors(training: DataFrame, text: str, label: str) -> dict[str, np.ndarray]:
-    """Trigram counts of about SAMPLE_PER_LANGUAGE rows per language, picked by a hash of the text."""
-    sizes = {r[0]: r[1] for r in training.groupBy(label).count().collect()}
-    unit = 1_000_000
-    pick = F.lit(False)
-    for name, n in sizes.items():
-        part = min(unit, SAMPLE_PER_LANGUAGE * unit // n + 1)
-        pick = F.when(F.col(label) == name, F.pmod(F.xxhash64(text), F.lit(unit)) < part).otherwise(pick)
+    """Trigram counts of SAMPLE_PER_LANGUAGE distinct texts per language (all, if fewer), picked by a hash of the text."""
+    keyed = training.select(F.col(label).cast("string").alias("label"), F.col(text).alias("t"), F.xxhash64(text).alias("h"))
+    first = Window.partitionBy("label").orderBy("h")
+    picked = keyed.select("label", "h").distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= SAMPLE_PER_LANGUAGE)
+    # SAMPLE_PER_LANGUAGE rows of a few bytes per language; copies of a text meet in a partial aggregate
+    texts = keyed.join(F.broadcast(picked.drop("r")), ["label", "h"]).groupBy("label", "h").agg(F.first("t").alias("t"))
 
     def run(batches):
-        for part, _, _ in doc_blocks(batches, text):
-            counts = trigram_counts(part.column(text)).astype(np.uint16)
+        for part in row_blocks(batches, "t"):
+            counts = np.minimum(trigram_counts(part.column("t")), 65_535).astype(np.uint16)
             yield pa.RecordBatch.from_pydict({
-                "label": part.column(label).cast(pa.string()),
-                "v": pa.array([c.tobytes() for c in counts], pa.binary()),
-                "t": part.column(text).cast(pa.string()),
+                "label": part.column("label").cast(pa.string()), "h": part.column("h"), "v": pa.array([c.tobytes() for c in counts], pa.binary()),
             })
 
-    rows = training.where(pick).select(text, label).mapInArrow(run, "label string, v binary, t string")
-    rows = rows.select("label", "v", F.md5("t").alias("h")).collect()
+    rows = texts.mapInArrow(run, "label string, h long, v binary").collect()
     out: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r["label"], r["h"])):
         out.setdefault(r["label"], []).append(np.frombuffer(r["v"], np.uint16).astype(np.float32))
@@ -145,7 +152,7 @@ def fit(training: DataFrame, text: str = "text", label: str = "lang") -> Model:
     training = training.where(F.col(label).isNotNull() & F.col(text).isNotNull())
     df = document_frequencies(training, text)
     n = max(1, int(df[DIMENSIONS]))
-    idf = np.log((1 + n) / (1 + df[:DIMENSIONS])).astype(np.float32)
+    idf = np.log(1 + n / (1 + df[:DIMENSIONS])).astype(np.float32)  # above zero, also where every text is the same
     names, centres, own = [], [], []
     for name, counts in sample_vectors(training, text, label).items():
         x = weigh(counts, idf)
@@ -173,7 +180,7 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches):
         m = shared.value
         names = np.array(m.languages, dtype=object)
-        for part, _, _ in doc_blocks(batches, text):
+        for part in row_blocks(batches, text):
             column = part.column(text).cast(pa.large_string())
             letter = pc.fill_null(pc.match_substring_regex(column, r"\p{L}"), False).to_numpy(zero_copy_only=False)
             if len(names):

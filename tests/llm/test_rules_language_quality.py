@@ -134,3 +134,33 @@ def test_sum_of_squares_identity():
 def test_quality_without_labels(spark):
     machine = quality_fm.fit(docs_frame(spark, [(1, "a")]), spark.createDataFrame([], LABELS))
     assert abs(quality_fm.score(docs_frame(spark, EDGE), machine).first()["score"] - 0.5) < 1e-9
+
+
+def _told(spark, training, texts):
+    model = langid.fit(docs_frame(spark, training))
+    rows = langid.identify(docs_frame(spark, list(enumerate(texts))), model).orderBy("doc_id").collect()
+    return model, [(r["lang_pred"], r["score"]) for r in rows]
+
+
+def test_one_hot_text_hides_no_language(spark):
+    """Many rows of one language, one text that fills another: both are learned, and copies count once."""
+    rows = [(i, prose(i, 30), "en") for i in range(300)] + [(1000 + i, "der die das und nicht ein eine mit von", "de") for i in range(2000)]
+    model, told = _told(spark, rows, [prose(5000, 40), "und nicht mit der", "das"])
+    assert sorted(set(model.languages)) == ["de", "en"]
+    assert [t[0] for t in told] == ["en", "de", "de"]
+    sampled = langid.sample_vectors(docs_frame(spark, rows), "text", "lang")
+    assert len(sampled["de"]) == 1 and len(sampled["en"]) == 300
+
+
+def test_equal_training_rows_and_one_row_teach_a_language(spark):
+    for rows in ([(1, "hello there", "en")] * 2, [(1, "hello there", "en")]):
+        _, told = _told(spark, rows, ["hello there", "hi", "x", "12 34", None])
+        assert [t[0] for t in told] == ["en", "en", "en", "und", "und"] and told[0][1] > 0.99
+
+
+def test_many_short_texts_and_counts_beyond_two_bytes(spark, monkeypatch):
+    monkeypatch.setattr(langid, "BLOCK_ROWS", 50)
+    rows = [(i, ("ab " if i % 2 else "yz ") * (1 + i % 3), "aa" if i % 2 else "zz") for i in range(1500)]
+    rows += [(5000, "qrs" * 70_000, "qq")]
+    _, told = _told(spark, rows, ["ab ab", "yz yz yz", "qrsqrsqrs"])
+    assert [t[0] for t in told] == ["aa", "zz", "qq"]
