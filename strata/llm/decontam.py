@@ -21,14 +21,15 @@ into one space.
 The benchmark is the stated query set: it is read in blocks of bounded size and
 broadcast block by block; the documents aren't shuffled.
 
-Defined results: null and empty texts and items hold and match nothing; items
-shorter than q must occur exactly; repeated rows get equal results; overlapping
+Defined results: null and empty texts and items hold and match nothing; an item without id is matched like
+any other, with a null item_id; items shorter than q must occur exactly; repeated rows get equal results; overlapping
 matches of one item count once (fewest edits, then first); columns named like
 the results are replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,6 +46,7 @@ from strata.llm.common import (
     mix64,
     powers,
     prefix_hash,
+    stage,
     text_bytes,
     without,
 )
@@ -95,7 +97,7 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 class Items:
     """q-gram postings of a block of items."""
 
-    ids: list[int]
+    ids: list[int | None]
     texts: list[np.ndarray]
     budgets: np.ndarray
     needed: np.ndarray
@@ -107,8 +109,8 @@ class Items:
     place: np.ndarray
 
 
-def index(rows: list[tuple[int, str]]) -> Items:
-    ids = [int(i) for i, _ in rows]
+def index(rows: list[tuple[int | None, str]]) -> Items:
+    ids = [None if i is None else int(i) for i, _ in rows]
     data, offsets = text_bytes(pa.array([t for _, t in rows], pa.string()))
     flat, bounds, _ = plain(data, offsets)
     texts = []
@@ -283,7 +285,7 @@ def passages(x: Items, data: np.ndarray, offsets: np.ndarray) -> list[list[dict]
                 got.append((doc, i, at, at + len(needle), 0))
     out: list[list[dict]] = [[] for _ in range(len(offsets) - 1)]
     taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for doc, item, start, end, edits in sorted(got, key=lambda g: (g[0], x.ids[g[1]], g[1], g[4], g[2], g[3])):
+    for doc, item, start, end, edits in sorted(got, key=lambda g: (g[0], g[1], g[4], g[2], g[3])):
         spans = taken.setdefault((doc, item), [])
         if any(start < e and s < end for s, e in spans) or end <= start:
             continue
@@ -296,16 +298,14 @@ def passages(x: Items, data: np.ndarray, offsets: np.ndarray) -> list[list[dict]
     return out
 
 
-def item_blocks(benchmark: DataFrame, most: int = BLOCK_ITEM_BYTES) -> list[Items]:
-    """The benchmark's items with text, cut by a hash of the id into blocks of about ``most`` bytes."""
-    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long"), "text")
+def item_blocks(benchmark: DataFrame, most: int = BLOCK_ITEM_BYTES) -> Iterator[Items]:
+    """The benchmark's items with text, cut by a hash of the text into blocks of about ``most`` bytes, one at a time."""
+    items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(total // most) + 1
-    out = []
     for i in range(n):
-        rows = items.where(F.pmod(F.hash("item_id"), F.lit(n)) == i).distinct().collect()
-        out.append(index(sorted((r["item_id"], r["text"]) for r in rows)))
-    return out
+        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == i).distinct().collect()
+        yield index(sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])))
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "matches") -> DataFrame:
@@ -332,7 +332,31 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "
     return marked
 
 
+def holders(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, th (hash of the text), matches of the rows that hold an item; other columns and rows stay in the JVM.
+
+    The benchmark's blocks are built, broadcast and released one after the other.
+    """
+    slim = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
+    schema = StructType([*slim.schema.fields[:2], StructField("matches", ArrayType(MATCH, False))])
+    kind, out = arrow_schema(schema).field("matches").type, None
+    for block in item_blocks(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(block)  # item_blocks bounds it
+
+        def run(batches, shared=shared):
+            for part, data, offsets in doc_blocks(batches):
+                found = passages(shared.value, data, offsets)
+                at = [i for i, f in enumerate(found) if f]
+                if at:
+                    keys = [part.column(c).take(pa.array(at)) for c in ("doc_id", "th")]
+                    yield pa.RecordBatch.from_arrays([*keys, pa.array([found[i] for i in at], kind)], names=["doc_id", "th", "matches"])
+
+        held = stage(slim.mapInArrow(run, schema), "held")
+        shared.unpersist()
+        out = held if out is None else out.unionByName(held)
+    return out
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark passage it holds."""
-    rows = mark(docs.select("doc_id", "text"), benchmark).where(F.size("matches") > 0)
-    return rows.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+    return holders(docs, benchmark).select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")

@@ -259,3 +259,16 @@ def score(df: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, target, strict=True)], schema=target)
 
     return df.mapInArrow(run, schema)
+
+
+def scores(df: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
+    """doc_id, th (hash of the text), score: nothing but ids and the text goes through Python, the text only in."""
+    shared = df.sparkSession.sparkContext.broadcast(machine)  # WORD_BUCKETS x (RANK + 1) numbers, whatever the data
+    slim = df.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
+
+    def run(batches):
+        for part, data, offsets in doc_blocks(batches):
+            found = pa.array(shared.value.score(features(data, offsets)), pa.float64())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), found], names=["doc_id", "th", "score"])
+
+    return slim.mapInArrow(run, "doc_id long, th long, score double")

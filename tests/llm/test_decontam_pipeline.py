@@ -99,10 +99,17 @@ def test_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     bench = spark.createDataFrame(items, ITEMS)
     whole = {(r["doc_id"], r["item_id"]) for r in decontam.matches(docs, bench).collect()}
     monkeypatch.setattr(decontam, "BLOCK_ITEM_BYTES", 400)
-    assert len(decontam.item_blocks(bench, 400)) > 2
+    assert len(list(decontam.item_blocks(bench, 400))) > 2
     assert {(r["doc_id"], r["item_id"]) for r in decontam.matches(docs, bench).collect()} == whole == {(i, i) for i, _ in items}
 
 
+def test_items_without_id_are_found(spark):
+    items = [(None, prose(700, 25)), (None, prose(701, 25)), (3, prose(702, 25))]
+    docs = docs_frame(spark, [(i, f"{prose(710 + i, 30)} {t} {prose(720 + i, 30)}") for i, (_, t) in enumerate(items)])
+    found = decontam.matches(docs, spark.createDataFrame(items, ITEMS)).collect()
+    assert sorted((r["doc_id"], -1 if r["item_id"] is None else r["item_id"]) for r in found) == [(0, -1), (1, -1), (2, 3)]
+
+
 def test_empty_tables(spark, scratch):
     write_docs(spark, scratch, [], benchmark=([], ITEMS))
     assert queries.op6_benchmark_decontamination(spark, scratch).count() == 0
