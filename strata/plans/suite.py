@@ -11,12 +11,9 @@ from strata.operators.quality import accepted_values as av
 from strata.operators.quality import assert_rows, not_null_multicol, reasonable_range
 from strata.operators.quality import not_null as nn
 from strata.operators.quality import unique as uq
+from strata.sources.ingest import EVENT_TYPE_CATEGORIES
 
-GITHUB_EVENT_TYPES = [
-    "PushEvent", "WatchEvent", "PullRequestEvent", "IssuesEvent", "IssueCommentEvent", "CreateEvent",
-    "DeleteEvent", "ForkEvent", "CommitCommentEvent", "PublicEvent", "GollumEvent", "MemberEvent",
-    "ReleaseEvent", "SponsorshipEvent",
-]
+GITHUB_EVENT_TYPES = [event_type for event_type, _, _ in EVENT_TYPE_CATEGORIES]
 
 # Checks declared on the raw sources; uniqueness warns there as on ODS, since raw repeats keys.
 RAW_SUITE = {
