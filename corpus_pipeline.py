@@ -72,7 +72,9 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every text, with the digests of the ids and of the bytes they decode to."""
     _small_batches(spark)
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path, pattern).drop("text"), path, pattern)
+    # written between the two, so that a task has one Python worker and not one for each direction
+    ids = stage(bpe.encode(docs.select("doc_id", "text"), path, pattern).drop("text"), "token-ids")
+    coded = bpe.decode(ids, path, pattern)
     return coded.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
