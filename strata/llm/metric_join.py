@@ -41,6 +41,8 @@ from strata.llm.common import doc_blocks, ragged, release, stage
 from strata.llm.graph import components
 from strata.llm.neardup import Settings, common_counts, full_sets, shingle_sets
 
+#: A head is longer by n // EXTRA shingles than one that holds a single common one, and must hold as many more of them.
+EXTRA = 8
 #: Levels with central pivots, at most; at the one after them every node that is left is a pivot.
 LEVELS = 5
 #: Up to this many nodes that are left with a shingle meet in a join; more of them in blocks.
@@ -61,10 +63,10 @@ def heads(docs: DataFrame, s: Settings) -> DataFrame:
         for part, data, offsets in doc_blocks(batches):
             sets = shingle_sets(data, offsets, s.words)
             n = np.array([len(x) for x in sets], np.int64)
-            length = np.where(n > 0, n - _ceil_share(n, s.num, s.den) + 1 + n // 16, 0)
+            length = np.where(n > 0, n - _ceil_share(n, s.num, s.den) + 1 + n // EXTRA, 0)
             nid = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=8).digest(), "little", signed=True) if len(x) else None for x in sets]
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), part.column("th"), pa.array(n), pa.array(nid, pa.int64()), pa.array(1 + n * s.num // (s.den * 16)),
+                part.column("doc_id"), part.column("th"), pa.array(n), pa.array(nid, pa.int64()), pa.array(1 + n * s.num // (s.den * EXTRA)),
                 ragged(np.concatenate([*[x[:k] for x, k in zip(sets, length)], np.empty(0, np.int64)]), np.minimum(length, n), pa.int64()),
             ], names=["doc_id", "th", "n", "nid", "need", "head"])
 
