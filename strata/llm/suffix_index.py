@@ -358,14 +358,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     counted again for changed texts; rows whose whole text repeats stay, empty.
     """
     texts, spans = duplicate_spans(docs.select("doc_id", "text"), length)
-    changed = cut(texts, spans)
+    # written first: two Python steps in one stage would take two workers a task, which keep their memory
+    changed = stage(cut(texts, spans).select("doc_id", "th", "kept"), "kept-bytes")
 
     def whole(batches):
         for batch in batches:
             kept = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(kept, pa.string())], names=["doc_id", "th", "kept"])
 
-    changed = changed.select("doc_id", "th", "kept").mapInArrow(whole, "doc_id long, th long, kept string")
+    changed = changed.mapInArrow(whole, "doc_id long, th long, kept string")
     changed = stage(changed.dropDuplicates(["doc_id", "th"]).withColumnRenamed("doc_id", "cut_id").withColumnRenamed("th", "cut_th"), "changed")
     same = lambda d: d["doc_id"].cast("long").eqNullSafe(F.col("cut_id")) & (d["__th"] == F.col("cut_th"))
     keyed = docs.withColumn("__th", F.xxhash64("text"))
