@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from strata.llm.common import arrow_schema, blocks, ragged, text_bytes, without
+from strata.llm.common import arrow_schema, blocks, frugal, ragged, text_bytes, without
 
 LONG_PIECE = 256
 NONE = np.int32(2**31 - 1)
@@ -287,13 +287,13 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", out
         c = codec(shared.value, pattern)
         for batch in batches:
             _, offsets = text_bytes(batch.column(text))
-            for a, b in blocks(offsets, 4 << 20):
+            for a, b in blocks(offsets):  # its chunks are Python strings, some 25 times its bytes
                 part = batch.slice(a, b - a)
                 ids, counts = c.encode(part.column(text).to_pylist())
                 columns = [*part.columns, ragged(ids, counts, pa.int32())]
                 yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, target, strict=True)], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)
 
 
 def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -315,7 +315,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out:
                 columns = [*part.columns, pa.array(raw, pa.binary())]
                 yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, target, strict=True)], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)
 
 
 def digests(spark: SparkSession, documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

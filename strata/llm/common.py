@@ -8,8 +8,10 @@ document, so one vectorised pass serves a whole block. Blocks are bounded by
 
 from __future__ import annotations
 
+import ctypes
+import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +98,34 @@ def doc_blocks(batches, column: str = "text", most: int = BLOCK_BYTES):
             yield batch.slice(a, b - a), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
+def give_back() -> None:
+    """Return to the system what this worker's allocators hold beyond its live data (nothing where they can't)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def frugal(run: Callable) -> Callable:
+    """A step over record batches whose worker gives memory back, at most once a second and at its end.
+
+    Workers stay with the executor for later stages; without this each keeps the most that it ever took.
+    """
+
+    def step(batches):
+        last = time.monotonic()
+        for out in run(batches):
+            yield out
+            del out
+            if time.monotonic() - last > 1.0:
+                give_back()
+                last = time.monotonic()
+        give_back()
+
+    return step
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the 64-bit result."""
     x = x ^ (x >> _U(33))

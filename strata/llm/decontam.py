@@ -43,6 +43,7 @@ from strata.llm.common import (
     LOWER,
     arrow_schema,
     doc_blocks,
+    frugal,
     mix64,
     powers,
     prefix_hash,
@@ -328,7 +329,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "
                 columns = [*part.columns[: len(target) - 1], pa.array(found, kind)]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, target, strict=True)], schema=target)
 
-        marked = source.mapInArrow(run, into)
+        marked = source.mapInArrow(frugal(run), into)
     return marked
 
 
@@ -351,7 +352,7 @@ def holders(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     keys = [part.column(c).take(pa.array(at)) for c in ("doc_id", "th")]
                     yield pa.RecordBatch.from_arrays([*keys, pa.array([found[i] for i in at], kind)], names=["doc_id", "th", "matches"])
 
-        held = stage(slim.mapInArrow(run, schema), "held")
+        held = stage(slim.mapInArrow(frugal(run), schema), "held")
         shared.unpersist()
         out = held if out is None else out.unionByName(held)
     return out

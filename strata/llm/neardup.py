@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import LOWER, chained, doc_blocks, ragged, release, stage, word_hashes, word_spans
+from strata.llm.common import LOWER, chained, doc_blocks, frugal, ragged, release, stage, word_hashes, word_spans
 from strata.llm.graph import components
 
 RISK = 1e-8
@@ -110,7 +110,7 @@ def sketches(docs: DataFrame, s: Settings) -> DataFrame:
             ], names=["doc_id", "th", "n_shingles", "nid", "sketch"])
 
     slim = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
-    return slim.mapInArrow(run, "doc_id long, th long, n_shingles long, nid long, sketch array<bigint>")
+    return slim.mapInArrow(frugal(run), "doc_id long, th long, n_shingles long, nid long, sketch array<bigint>")
 
 
 def inverted_lists(nodes: DataFrame, s: Settings) -> DataFrame:
@@ -144,7 +144,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
             )
 
     # repeated rows give a node twice; its sets are equal, and links are a set
-    return found.mapInArrow(run, "nid long, n long, vals array<bigint>")
+    return found.mapInArrow(frugal(run), "nid long, n long, vals array<bigint>")
 
 
 def similar(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:

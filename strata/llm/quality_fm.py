@@ -27,15 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from strata.llm.common import (
-    BYTE_VALUES,
-    arrow_schema,
-    doc_blocks,
-    prefix_hash,
-    span_hash,
-    without,
-    word_spans,
-)
+from strata.llm.common import BYTE_VALUES, arrow_schema, doc_blocks, frugal, prefix_hash, span_hash, without, word_spans
 
 WORD_BUCKETS = 1 << 15
 RANK = 8
@@ -233,7 +225,7 @@ def fit(training: DataFrame, labels: DataFrame, label: str = "quality", text: st
                 "stats": pa.array([s.tobytes() for s in f.statistics], pa.binary()),
             })
 
-    got = rows.mapInArrow(run, "label int, buckets binary, vals binary, stats binary").collect()
+    got = rows.mapInArrow(frugal(run), "label int, buckets binary, vals binary, stats binary").collect()
     got.sort(key=lambda r: (bytes(r["stats"]), bytes(r["buckets"]), r["label"]))  # the same fit however rows arrive
     n = len(got)
     lens = [len(r["buckets"]) // 4 for r in got]
@@ -258,7 +250,7 @@ def score(df: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
             columns = [*part.columns, pa.array(shared.value.score(features(data, offsets)), pa.float64())]
             yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(columns, target, strict=True)], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)
 
 
 def scores(df: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
@@ -271,4 +263,4 @@ def scores(df: DataFrame, machine: Machine, text: str = "text") -> DataFrame:
             found = pa.array(shared.value.score(features(data, offsets)), pa.float64())
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("th"), found], names=["doc_id", "th", "score"])
 
-    return slim.mapInArrow(run, "doc_id long, th long, score double")
+    return slim.mapInArrow(frugal(run), "doc_id long, th long, score double")

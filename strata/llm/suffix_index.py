@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import BYTE_VALUES, doc_blocks, mix64, powers, prefix_hash, ragged, release, span_hash, stage
+from strata.llm.common import BYTE_VALUES, doc_blocks, frugal, mix64, powers, prefix_hash, ragged, release, span_hash, stage
 
 LENGTH = 200
 GRAM = 32
@@ -139,7 +139,7 @@ def sampled_suffixes(docs: DataFrame, length: int) -> DataFrame:
                 ragged(k[many], np.bincount(d[many], minlength=n), pa.int64()),
             ], names=["doc_id", "th", "suffixes", "twice"])
 
-    return docs.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, suffixes array<bigint>, twice array<bigint>")
+    return docs.select("doc_id", "th", "text").mapInArrow(frugal(run), "doc_id long, th long, suffixes array<bigint>, twice array<bigint>")
 
 
 def candidate_runs(found: DataFrame, length: int) -> DataFrame:
@@ -167,7 +167,7 @@ def candidate_runs(found: DataFrame, length: int) -> DataFrame:
                 pa.array(anchor - base), pa.array(anchor - last), pa.array(anchor - first), pa.array(whole.view(np.int64)),
             ], names=["doc_id", "th", "suffix", "anchor", "lo", "hi", "whole"])
 
-    return found.mapInArrow(run, "doc_id long, th long, suffix long, anchor long, lo long, hi long, whole long")
+    return found.mapInArrow(frugal(run), "doc_id long, th long, suffix long, anchor long, lo long, hi long, whole long")
 
 
 def _pairs_in(doc: np.ndarray, key: np.ndarray, owner: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -209,7 +209,7 @@ def part_hashes(found: DataFrame, length: int, single: bool) -> DataFrame:
                 pa.array(a), pa.array(b), pa.array(whole.view(np.int64)), pa.array(core.view(np.int64)),
             ], names=["doc_id", "th", "suffix", "anchor", "lo", "hi", "whole", "core"])
 
-    return found.mapInArrow(run, "doc_id long, th long, suffix long, anchor long, lo long, hi long, whole long, core long")
+    return found.mapInArrow(frugal(run), "doc_id long, th long, suffix long, anchor long, lo long, hi long, whole long, core long")
 
 
 def _same_row(a: DataFrame, b: DataFrame):
@@ -332,7 +332,7 @@ def cut(texts: DataFrame, spans: DataFrame) -> DataFrame:
                 batch.column("doc_id"), batch.column("th"), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary()),
             ], names=["doc_id", "th", "n_removed", "n_spans", "kept"])
 
-    return _with_rows(texts, per, "spans").mapInArrow(run, "doc_id long, th long, n_removed long, n_spans long, kept binary")
+    return _with_rows(texts, per, "spans").mapInArrow(frugal(run), "doc_id long, th long, n_removed long, n_spans long, kept binary")
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -366,7 +366,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             kept = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(kept, pa.string())], names=["doc_id", "th", "kept"])
 
-    changed = changed.mapInArrow(whole, "doc_id long, th long, kept string")
+    changed = changed.mapInArrow(frugal(whole), "doc_id long, th long, kept string")
     changed = stage(changed.dropDuplicates(["doc_id", "th"]).withColumnRenamed("doc_id", "cut_id").withColumnRenamed("th", "cut_th"), "changed")
     same = lambda d: d["doc_id"].cast("long").eqNullSafe(F.col("cut_id")) & (d["__th"] == F.col("cut_th"))
     keyed = docs.withColumn("__th", F.xxhash64("text"))
