@@ -11,18 +11,25 @@
    with the votes, so no list grows with a host and no voted path is left out.
 
 Boilerplate inside the container (menus, headers, footers, sidebars, notices,
-adverts, forms, comments) is left out by tag, role or class. Blocks are cleaned
+adverts, forms, comments) is left out by tag, role or class. Such a mark is
+void where it would take the article: on an element with most of the page's
+text beside which almost none is left (a form or wrapper around the whole page,
+a menu that is never closed). Marks inside that element hold. Blocks are cleaned
 as one: character references decoded, white space folded, joined by a space.
 
-Defined results: null, empty or text-free pages give an empty text; a null or
+Defined results: null, empty or text-free pages give an empty text, and so do
+pages whose only text is a short marked element (a lone notice); a null or
 odd url counts as the host ''; equal rows get equal results; input columns
-named like the results are replaced.
+named like the results are replaced. Paths are kept as digests, so time and
+memory grow with the page, however deep its tags are nested.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as htmllib
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -68,6 +75,12 @@ HEADS = frozenset(("header", "site-header", "page-header", "topbar", "top-bar"))
 #: An element that starts closes these open ones (text blocks can't hold blocks).
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 FAVOURED = {"article": 1.5, "main": 1.3}
+#: A mark is void on an element with most of the page's text and this many times the text left beside it.
+VOID_SHARE = 20
+#: Without an article, main or heading inside, such an element needs this many characters.
+VOID_CHARS = 250
+EVIDENCE = frozenset(("article", "main", "h1", "h2"))
+_CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in RAW}
 
 
 @dataclass
@@ -75,11 +88,24 @@ class Box:
     """A block-level element that can hold the article."""
 
     parent: int
+    #: Digest of the tags and classes from the body down, and their length.
     path: str
+    length: int
     tag: str
     score: float = 0.0
 
 
+@dataclass
+class Mark:
+    """An element marked as boilerplate."""
+
+    parent: int
+    #: Characters outside links, and whether an article or heading stands inside.
+    chars: int = 0
+    evidence: bool = False
+    dropped: bool = True
+
+
 @dataclass
 class Page:
     boxes: list[Box] = field(default_factory=list)
@@ -107,39 +133,64 @@ def _marks(tag: str, attrs: str) -> tuple[bool, str]:
     return dropped, classes
 
 
+def settle(marks: list[Mark]) -> None:
+    """Void the marks that would take the article. ``marks[0]`` stands for all that is unmarked."""
+    own = [m.chars for m in marks]
+    for m in reversed(marks[1:]):  # parents stand before their children
+        marks[m.parent].chars += m.chars
+        marks[m.parent].evidence |= m.evidence
+    marks[0].dropped, left, total = False, own[0], marks[0].chars
+    for i, m in enumerate(marks[1:], 1):
+        if marks[m.parent].dropped or 2 * m.chars <= total or VOID_SHARE * left > m.chars:
+            continue
+        if m.evidence or m.chars >= VOID_CHARS:
+            m.dropped = False
+            left += own[i]
+
+
 def parse(source: str) -> Page:
     """One pass over the tags; text between them is only sliced and joined."""
-    page = Page([Box(-1, "", "body")])
-    stack: list[tuple[str, int, bool, bool]] = []  # tag, box, in boilerplate, in a link
-    box, dropped, link = 0, False, False
-    parts: list[str] = []
-    linked = 0
-    at, low = 0, None
+    page = Page([Box(-1, "", 0, "body")])
+    stack: list[tuple[str, int, int, bool]] = []  # tag, box, mark, in a link
+    opened: Counter[str] = Counter()  # tags on the stack
+    unclosed: set[str] = set()  # raw tags without an end from here on
+    marks = [Mark(0)]
+    box, mark, link = 0, 0, False
+    raw: list[tuple[int, list[tuple[int, str, bool]]]] = []
+    parts: list[tuple[int, str, bool]] = []  # mark, text, in a link
+    at = 0
 
     def flush():
-        nonlocal linked
+        nonlocal parts
         if parts:
-            text = "".join(parts)
-            if "&" in text:
-                text = htmllib.unescape(text)
-            text = " ".join(text.split())
-            if text:
-                page.blocks.append((box, text, linked))
-            parts.clear()
-        linked = 0
-
-    def restore():
-        nonlocal box, dropped, link
-        _, box, dropped, link = stack[-1] if stack else ("", 0, False, False)
+            raw.append((box, parts))
+            parts = []
+
+    def leave(k: int):
+        nonlocal box, mark, link
+        for entry in stack[k:]:
+            opened[entry[0]] -= 1
+        del stack[k:]
+        _, box, mark, link = stack[-1] if stack else ("", 0, 0, False)
+
+    def enter(tag: str, bad: bool):
+        nonlocal mark
+        if bad:
+            marks.append(Mark(mark))
+            mark = len(marks) - 1
+        if tag in EVIDENCE:
+            marks[mark].evidence = True
+        stack.append((tag, box, mark, link))
+        opened[tag] += 1
 
     while True:
         m = _TOKEN.search(source, at)
         end = m.start() if m else len(source)
-        if end > at and not dropped:
+        if end > at:
             text = source[at:end]
-            parts.append(text)
-            if link:
-                linked += len(text)
+            parts.append((mark, text, link))
+            if not link:
+                marks[mark].chars += len(text.strip())
         if not m:
             break
         at = m.end()
@@ -148,50 +199,58 @@ def parse(source: str) -> Page:
             continue
         tag = tag.lower()
         if m["end"] or m["end2"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if any(s[0] not in INLINE for s in stack[k:]):
-                        flush()
-                    del stack[k:]
-                    restore()
-                    break
+            if opened[tag] > 0:
+                k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag)
+                if any(s[0] not in INLINE for s in stack[k:]):
+                    flush()
+                leave(k)
             continue
         if tag in VOID:
-            if not dropped and tag in ("br", "hr"):
-                parts.append(" ")
+            if tag in ("br", "hr"):
+                parts.append((mark, " ", False))
             continue
         if tag in RAW:
-            low = low if low is not None else source.lower()
-            close = low.find("</" + tag, at)
-            if tag in ("script", "style", "textarea", "title") or close >= 0:
-                close = close if close >= 0 else len(source)
-                nxt = source.find(">", close)
+            close = None if tag in unclosed else _CLOSE[tag].search(source, at)
+            if close is None:
+                unclosed.add(tag)
+            if close is not None or tag in ("script", "style", "textarea", "title"):
+                nxt = source.find(">", close.start()) if close is not None else -1
                 at = nxt + 1 if nxt >= 0 else len(source)
             continue
         attrs = m["attrs"] or ""
         bad, classes = _marks(tag, attrs)
         if tag in INLINE:
-            dropped, link = dropped or bad, link or tag == "a"
-            stack.append((tag, box, dropped, link))
+            link = link or tag == "a"
+            enter(tag, bad)
             continue
         flush()
         shut = CLOSES.get(tag, ())
         for k in range(len(stack) - 1, -1, -1):
             name = stack[k][0]
             if name == "p" or name in shut or (len(tag) == 2 and tag[0] == "h" == name[0] and len(name) == 2 and tag[1].isdigit()):
-                del stack[k:]
-                restore()
+                leave(k)
                 break
             if name not in INLINE:
                 break
         if tag in ("html", "body"):
-            stack.append((tag, 0, dropped, link))
+            box = 0
+            enter(tag, False)
             continue
-        dropped = dropped or bad
-        page.boxes.append(Box(box, f"{page.boxes[box].path}/{tag}{classes}", tag))
+        step, above = f"/{tag}{classes}", page.boxes[box]
+        digest = hashlib.blake2b((above.path + step).encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+        page.boxes.append(Box(box, digest, above.length + len(step), tag))
         box = len(page.boxes) - 1
-        stack.append((tag, box, dropped, link))
+        enter(tag, bad)
     flush()
+    settle(marks)
+    for where, pieces in raw:
+        kept = [(text, linked) for of, text, linked in pieces if not marks[of].dropped]
+        text = "".join([text for text, _ in kept])
+        if "&" in text:
+            text = htmllib.unescape(text)
+        text = " ".join(text.split())
+        if text:
+            page.blocks.append((where, text, sum(len(t) for t, linked in kept if linked)))
     return page
 
 
@@ -212,14 +271,15 @@ def best_box(page: Page) -> int:
     return max(range(len(page.boxes)), key=lambda i: (page.boxes[i].score, i))
 
 
-def votes(page: Page) -> dict[str, float]:
+def votes(page: Page) -> dict[tuple[str, int], float]:
+    """Share of the best score of each path (with its length) that the page votes for."""
     score(page)
     top = max(b.score for b in page.boxes)
-    out: dict[str, float] = {}
+    out: dict[tuple[str, int], float] = {}
     if top > 0:
         for b in page.boxes:
             if b.score >= VOTE_SHARE * top:
-                out[b.path] = max(out.get(b.path, 0.0), b.score / top)
+                out[b.path, b.length] = max(out.get((b.path, b.length), 0.0), b.score / top)
     return out
 
 
@@ -269,20 +329,22 @@ def host_votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
     def run(batches):
         for batch in batches:
-            hosts, paths, shares = [], [], []
+            hosts, paths, lengths, shares = [], [], [], []
             for h, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                for path, share in votes(parse(source or "")).items():
+                for (path, length), share in votes(parse(source or "")).items():
                     hosts.append(h)
                     paths.append(path)
+                    lengths.append(length)
                     shares.append(round(share * 1000))
             yield pa.RecordBatch.from_pydict({
-                "host": pa.array(hosts, pa.string()), "path": pa.array(paths, pa.string()), "share": pa.array(shares, pa.int64()),
+                "host": pa.array(hosts, pa.string()), "path": pa.array(paths, pa.string()),
+                "length": pa.array(lengths, pa.int64()), "share": pa.array(shares, pa.int64()),
             })
 
-    cast = pages.select(host(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(run, "host string, path string, share long")
-    counted = cast.groupBy("host", "path").agg(F.sum("share").alias("votes"))
-    # of paths with equal votes the deeper, then the first by name
-    return counted.select("host", "path", F.struct((-F.col("votes")).alias("v"), (-F.length("path")).alias("l"), F.col("path").alias("p")).alias("place"))
+    cast = pages.select(host(F.col(url)).alias("host"), F.col(html).alias("html")).mapInArrow(run, "host string, path string, length long, share long")
+    counted = cast.groupBy("host", "path").agg(F.sum("share").alias("votes"), F.max("length").alias("length"))
+    # of paths with equal votes the longer, then the first by digest
+    return counted.select("host", "path", F.struct((-F.col("votes")).alias("v"), (-F.col("length")).alias("l"), F.col("path").alias("p")).alias("place"))
 
 
 def best_paths(pages: DataFrame, voted: DataFrame) -> DataFrame:

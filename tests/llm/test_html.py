@@ -1,3 +1,6 @@
+import time
+import tracemalloc
+
 import pytest
 
 from strata.llm import html_extract, queries
@@ -73,3 +76,52 @@ def test_extract_replaces_a_clashing_column(spark):
     df = spark.createDataFrame([(1, "https://h/", "<p>new</p>", "old")], "id long, url string, html string, TEXT string")
     row = html_extract.extract(df).first().asDict()
     assert row["text"] == "new" and "TEXT" not in row and "html" not in row
+
+
+STORY = "<h1>The old harbour</h1><p>Boats leave at dawn and come back with the tide.</p><p>Nobody counts them any more.</p>"
+STORY_TEXT = "The old harbour Boats leave at dawn and come back with the tide. Nobody counts them any more."
+LONG_STORY = "".join(f"<p>Paragraph {i} tells how the harbour was built and who paid for it.</p>" for i in range(12))
+
+
+@pytest.mark.parametrize("body", [
+    f"<form id='page-form'><nav><a href=/>home</a></nav><article>{STORY}</article><footer>imprint</footer></form>",
+    f"<div class='page-with-sidebar has-comments'><div class='content'>{STORY}</div><div class='sidebar'><p>recent posts</p></div></div>",
+    f"<article class='alert-free related'>{STORY}</article>",
+    f"<nav><ul><li><a href=/a>first</a><li><a href=/b>second</a></ul><article>{STORY}</article><footer>imprint</footer>",
+    f"<div class='modal'><div class='form'><main>{STORY}</main><div class='comments'><p>me too</p></div></div></div>",
+])
+def test_marks_never_take_the_article(body):
+    """Marked wrappers around the whole page are void; marks inside them hold."""
+    got = html_extract.text_of(html_extract.parse(f"<html><body>{body}</body></html>"), None)
+    assert got == STORY_TEXT
+
+
+def test_marks_hold_beside_an_article():
+    """Comments, notices and forms longer than the article still go."""
+    noise = "<p>I could not agree more with every word of this, thank you!</p>" * 14
+    for mark in ("<div class='comments'>{}</div>", "<aside>{}</aside>", "<form>{}</form>", "<section id='cookie-notice'>{}</section>"):
+        page = f"<html><body><article>{LONG_STORY}</article>{mark.format(noise)}</body></html>"
+        got = html_extract.text_of(html_extract.parse(page), None)
+        assert got.startswith("Paragraph 0 tells") and got.endswith("who paid for it.") and "agree" not in got
+    alone = "<html><body><div class='cookie-banner'><p>We use cookies.</p></div><footer>imprint</footer></body></html>"
+    assert html_extract.text_of(html_extract.parse(alone), None) == ""
+
+
+def test_letters_whose_lower_case_is_longer():
+    page = f"<article><p>{chr(0x130) * 40}</p><SCRIPT>var x = '<p>no</p>';</Script ><p>first</p><p>second</p></article>"
+    assert html_extract.text_of(html_extract.parse(page), None) == f"{chr(0x130) * 40} first second"
+    dotless = f"<p>a</p><script>{chr(0x131)}</scr{chr(0x131)}pt> x</script><p>b</p>"  # only ASCII letters end a tag
+    assert html_extract.text_of(html_extract.parse(dotless), None) == "a b"
+
+
+def test_deep_and_unclosed_tags():
+    """Time and memory grow with the page, not with the square of its depth."""
+    tracemalloc.start()
+    began = time.monotonic()
+    deep = html_extract.parse("<div class='level'>" * 50_000 + "<p>the bottom</p>" + "</section>" * 50_000 + "</div>" * 50_000)
+    html_extract.votes(deep)
+    assert html_extract.text_of(deep, None) == "the bottom"
+    raw = html_extract.parse("<p>start</p>" + "<svg>" * 20_000 + "<p>end</p>")
+    assert html_extract.text_of(raw, None) == "start end"
+    assert tracemalloc.get_traced_memory()[1] < 150e6 and time.monotonic() - began < 60
+    tracemalloc.stop()
