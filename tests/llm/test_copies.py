@@ -238,6 +238,53 @@ def test_long_lists_meet_in_full(spark, monkeypatch):
     assert all(56 <= got[i]["n_covered"] <= 60 for i in range(80))
 
 
+def _line_and_words(n, seed):
+    """Word arrays of texts with one line in common, else the same 150 words in another order; two share a passage too."""
+    rng = np.random.default_rng(seed)
+    line, own, passage = np.arange(12), np.arange(100, 250), np.arange(500, 560)
+    out = [np.concatenate([p[:70], line, p[70:]]) for p in (rng.permutation(own) for _ in range(n))]
+    changed = np.where(np.arange(60) % 9 == 4, 900, passage)
+    out[1], out[2] = np.concatenate([out[1], passage, rng.permutation(own)]), np.concatenate([out[2], changed])
+    return [w.astype(np.int32) for w in out]
+
+
+def test_pairs_with_one_line_in_common_are_not_aligned(spark):
+    """Of a long list only pairs that could hold a passage have their words sent on, however many words they share."""
+    texts = _line_and_words(40, 1)
+    words = spark.createDataFrame([(i, w.tolist()) for i, w in enumerate(texts)], "rid long, words array<int>")
+    members = spark.createDataFrame([(7, i, i, True) for i in range(40)], "seed long, rid long, comp long, bare boolean")
+    assert [tuple(r) for r in chaining._all_pairs(members, words).collect()] == [(1, 2)]
+
+
+def test_no_pair_with_a_passage_is_left_out():
+    """The block's bounds against the examination of every pair: texts cut and edited from common ones, some periodic."""
+    rng = np.random.default_rng(8)
+    bases = [rng.integers(0, 60 if k % 2 else 2000, 160) for k in range(3)]
+
+    def text(k):
+        if k % 9 == 0:
+            return np.tile(bases[k % 3][: 5 + k % 30], 9)
+        parts = []
+        for base in (bases[k % 3], bases[int(rng.integers(3))]):
+            at = int(rng.integers(0, 60))
+            part = base[at : at + int(rng.integers(50, 100))].copy()
+            part[rng.random(len(part)) < rng.choice([0, 0.08, 0.15, 0.2])] = 5000 + k
+            parts += [rng.integers(0, 2000, int(rng.integers(0, 30))), np.delete(part, rng.integers(0, len(part), 2))]
+        return np.concatenate(parts)
+
+    texts = [text(k).astype(np.int32) for k in range(70)]
+    left, right = texts[:35], texts[35:]
+    could, found = chaining.could_share(left, right, np.ones((35, 35), bool)), 0
+    for i, a in enumerate(left):
+        for j, b in enumerate(right):
+            x, y = chaining.common_runs(a, chaining.sorted_runs(b))
+            got = [chaining.align(a.tolist(), b.tolist(), x[q].tolist(), y[q].tolist()) for q in chaining.chain(x, y)]
+            if any(got):
+                found += 1
+                assert could[i, j] and chaining.dense_window(a, np.sort(b)) and chaining.dense_window(b, np.sort(a))
+    assert found > 50 and not could.all()
+
+
 def test_empty_tables(spark, scratch):
     write_docs(spark, scratch, [])
     for query in (queries.op4_minhash_neardup, queries.op7_suffix_array_dedup, queries.op10_substring_dedup):
