@@ -37,9 +37,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import doc_blocks, ragged, release, stage
+from strata.llm.common import doc_blocks, ragged, release, stage, stage_parts
 from strata.llm.graph import components
-from strata.llm.neardup import Settings, common_counts, full_sets, shingle_sets
+from strata.llm.neardup import BROADCAST_IDS, Settings, common_counts, full_sets, shingle_sets
 
 #: A head is longer by n // EXTRA shingles than one that holds a single common one, and must hold as many more of them.
 EXTRA = 8
@@ -50,6 +50,11 @@ SHORT_LIST = 16
 #: Nodes and shingles of one side of a block in a region, about.
 BLOCK_NODES = 256
 BLOCK_SHINGLES = 400_000
+#: Heads are counted, and texts beyond BROADCAST_IDS fetched, in so many parts, one after another.
+PARTS = 4
+#: Sets travel for so many pairs, or in blocks with so many shingles, at once; more where that is half of all sets.
+PAIRS_AT_ONCE = 1 << 17
+SHINGLES_AT_ONCE = 1 << 24
 
 
 def _ceil_share(n, num: int, den: int):
@@ -74,12 +79,31 @@ def heads(docs: DataFrame, s: Settings) -> DataFrame:
     return slim.mapInArrow(run, "doc_id long, th long, n long, nid long, need long, head array<bigint>")
 
 
-def sharing(nodes: DataFrame) -> DataFrame:
-    """The nodes (nid, rep) whose heads hold enough shingles of other heads."""
-    rows = nodes.select("nid", "need", F.explode("head").alias("v"))
-    several = rows.groupBy("v").agg(F.min("nid").alias("a"), F.max("nid").alias("b")).where("a < b").select("v")
-    kept = rows.join(several, "v", "left_semi").groupBy("nid").agg(F.count(F.lit(1)).alias("c"), F.min("need").alias("need"))
-    return nodes.select("nid", "rep").join(kept.where("c >= need").select("nid"), "nid")
+def sharing(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes (nid, rep) whose heads hold enough shingles of other heads.
+
+    rows: ``heads``; the rows of a node hold equal heads, so each adds what the node has in common.
+    """
+    values = rows.where("nid IS NOT NULL").select("nid", F.explode("head").alias("v"))
+
+    def counts(part: DataFrame) -> DataFrame:
+        several = part.groupBy("v").agg(F.min("nid").alias("a"), F.max("nid").alias("b")).where("a < b").select("v")
+        return part.join(several, "v", "left_semi").groupBy("nid").agg(F.count(F.lit(1)).alias("c"))
+
+    # a part of the shingles at a time, so that less than the heads themselves is shuffled at once
+    counted = stage_parts((counts(values.where(F.pmod("v", F.lit(PARTS)) == i)) for i in range(PARTS)), "head-counts")
+    counted = counted.groupBy("nid").agg(F.sum("c").alias("c"))
+    return nodes.join(counted, "nid").where("c >= need * copies").select("nid", "rep")
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
+    """nid, n, vals of the wanted nodes (nid, doc_id, th), staged. Where their ids can't be broadcast and texts have
+    to meet them in a shuffle, a part of the texts does so at a time."""
+    parts = 1 if wanted.count() <= BROADCAST_IDS else PARTS
+    mine = lambda f, th, i: f.where(F.pmod(th, F.lit(parts)) == i) if parts > 1 else f
+    return stage_parts((
+        full_sets(mine(docs, F.xxhash64("text"), i), mine(wanted, F.col("th"), i), s).dropDuplicates(["nid"]) for i in range(parts)
+    ), "sets")
 
 
 def linkable(sets: DataFrame, alive: DataFrame, s: Settings) -> DataFrame:
@@ -117,7 +141,7 @@ def central(sets: DataFrame, alive: DataFrame, s: Settings) -> DataFrame:
 
 
 def distances(sets: DataFrame, pivots: DataFrame, alive: DataFrame, num: int, den: int, once: bool) -> DataFrame:
-    """p, y, np, ny, inter: the nodes y whose similarity to p is at least num / den (``once``: y < p only).
+    """p, y, np, ny, inter: the nodes y whose similarity to p is at least num / den (``once``: y < p only). Staged.
 
     pivots, alive: rows of ``_prefix`` for that similarity.
     """
@@ -128,10 +152,38 @@ def distances(sets: DataFrame, pivots: DataFrame, alive: DataFrame, num: int, de
     counted = met.where(_reaches(most, F.col("np"), F.col("ny"), num, den)).groupBy("p", "y", "np", "ny").agg(F.count(F.lit(1)).alias("c"))
     # what the two share beyond their heads lies after the head that ends first
     rest = F.floor((F.greatest("np", "ny") * num + (den - 1)) / den) - 1
-    pairs = counted.where(_reaches(F.col("c") + rest, F.col("np"), F.col("ny"), num, den)).select("p", "y")
-    side = lambda x: sets.select(F.col("nid").alias(x), F.col("n").alias(f"n{x}"), F.col("vals").alias(f"v{x}"))
-    exact = pairs.join(side("p"), "p").join(side("y"), "y").withColumn("inter", F.size(F.array_intersect("vp", "vy")))
-    return exact.where(_reaches(F.col("inter"), F.col("np"), F.col("ny"), num, den)).select("p", "y", "np", "ny", "inter").distinct()
+    pairs = stage(counted.where(_reaches(F.col("c") + rest, F.col("np"), F.col("ny"), num, den)).select("p", "y"), "met")
+    total = pairs.count()
+    # a part of the pairs at a time, so the sets that travel with them stay in proportion to the input
+    parts = total // max(PAIRS_AT_ONCE, sets.count() // 2) + 1
+
+    def exact(some: DataFrame) -> DataFrame:
+        used = sets
+        if total // parts <= BROADCAST_IDS:
+            used = sets.join(F.broadcast(some.select(F.col("p").alias("nid")).union(some.select("y")).distinct()), "nid", "left_semi")
+        side = lambda x: used.select(F.col("nid").alias(x), F.col("n").alias(f"n{x}"), F.col("vals").alias(f"v{x}"))
+        both = some.join(side("p"), "p").join(side("y"), "y").withColumn("inter", F.size(F.array_intersect("vp", "vy")))
+        return both.where(_reaches(F.col("inter"), F.col("np"), F.col("ny"), num, den)).select("p", "y", "np", "ny", "inter")
+
+    part = F.pmod(F.xxhash64("p", "y"), F.lit(parts))
+    near = stage_parts((exact(pairs.where(part == i) if parts > 1 else pairs) for i in range(parts)), "near")
+    release(pairs)
+    return near
+
+
+def met_in_blocks(blocks: DataFrame, keys: list[str], sets: DataFrame, meet) -> DataFrame:
+    """a, b: the links that ``meet`` finds in the blocks (keys, nid, size and more) with their sets. Staged.
+
+    size: the shingles of a node. The nodes of a block are there once for each block, and their
+    sets are added for a part of the blocks at a time.
+    """
+    moved, total = (f.agg(F.sum(c)).first()[0] or 0 for f, c in ((blocks, "size"), (sets, "n")))
+    parts = moved // max(SHINGLES_AT_ONCE, total // 2) + 1
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts))
+    some = lambda i: blocks.where(part == i) if parts > 1 else blocks
+    return stage_parts(
+        (some(i).drop("size").join(sets, "nid").groupBy(*keys).applyInPandas(meet, "a long, b long") for i in range(parts)), "block-links"
+    )
 
 
 def region_links(sets: DataFrame, alive: DataFrame, inner: DataFrame, outer: DataFrame, s: Settings) -> DataFrame:
@@ -162,9 +214,9 @@ def region_links(sets: DataFrame, alive: DataFrame, inner: DataFrame, outer: Dat
     zero = F.lit(0).cast("long")
     place = lambda k: F.pmod(F.xxhash64("nid"), F.col(k))
     every = lambda k: F.explode(F.sequence(zero, F.col(k) - 1))
-    left = inner.join(grid, "p").select("p", place("rows").alias("i"), every("cols").alias("k"), F.lit(True).alias("is_x"), "nid", "j", "room")
-    right = outer.join(grid, "p").select("p", every("rows").alias("i"), place("cols").alias("k"), F.lit(False).alias("is_x"), "nid", "j", "room")
-    blocks = left.union(right).join(sets, "nid")
+    rest = ["nid", "j", "room", F.col("n").alias("size")]
+    left = inner.join(grid, "p").select("p", place("rows").alias("i"), every("cols").alias("k"), F.lit(True).alias("is_x"), *rest)
+    right = outer.join(grid, "p").select("p", every("rows").alias("i"), place("cols").alias("k"), F.lit(False).alias("is_x"), *rest)
     num, den = s.num, s.den
 
     def meet(block: pd.DataFrame) -> pd.DataFrame:
@@ -183,29 +235,30 @@ def region_links(sets: DataFrame, alive: DataFrame, inner: DataFrame, outer: Dat
         some = np.flatnonzero(linked.any(axis=0))
         return pd.DataFrame({"a": x.nid.to_numpy()[linked.argmax(axis=0)[some]], "b": y.nid.to_numpy()[some]})
 
-    return blocks.groupBy("p", "i", "k").applyInPandas(meet, "a long, b long")
+    return met_in_blocks(left.union(right), ["p", "i", "k"], sets, meet)
 
 
 def last_links(sets: DataFrame, alive: DataFrame, s: Settings) -> list[DataFrame]:
     """Links between the nodes that no level has settled, every node being a pivot.
 
     Nodes that share a shingle of their heads meet: in a join where few hold it, else as
-    blocks of nodes against each other, of which only the components come out.
+    blocks of nodes against each other, of which only the components come out. The lists of many
+    shingles hold mostly the same nodes: the nodes that such lists connect meet as one group where
+    that puts fewer nodes into blocks than the lists one by one.
     """
     rows = _prefix(sets, alive, s.num, s.den)
     sizes = rows.groupBy("v").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     rows = stage(rows.join(sizes, "v"), "last-heads")
     short = rows.where(F.col("m") <= SHORT_LIST)
-    pairs = stage(distances(sets, short, short, s.num, s.den, once=True), "near").select(F.col("p").alias("a"), F.col("y").alias("b"))
+    pairs = distances(sets, short, short, s.num, s.den, once=True).select(F.col("p").alias("a"), F.col("y").alias("b"))
     long = rows.where(F.col("m") > SHORT_LIST)
     if long.isEmpty():
         return [pairs]
-    zero = F.lit(0).cast("long")
-    long = long.select("v", "nid", "u", F.ceil(F.col("m") / BLOCK_NODES).cast("long").alias("k"))
-    long = long.withColumn("at", F.pmod(F.xxhash64("nid"), F.col("k")))
-    left = long.select("v", F.col("at").alias("i"), F.explode(F.sequence(F.col("at"), F.col("k") - 1)).alias("k"), F.lit(True).alias("is_x"), "nid", "u")
-    right = long.select("v", F.explode(F.sequence(zero, F.col("at"))).alias("i"), F.col("at").alias("k"), F.lit(False).alias("is_x"), "nid", "u")
-    blocks = left.union(right).join(sets, "nid")
+    groups = stage(meeting_groups(long), "groups")
+    zero, rest = F.lit(0).cast("long"), ["nid", "u", F.col("n").alias("size")]
+    long = groups.withColumn("at", F.pmod(F.xxhash64("nid"), F.col("k")))
+    left = long.select("whole", "g", F.col("at").alias("i"), F.explode(F.sequence(F.col("at"), F.col("k") - 1)).alias("k"), F.lit(True).alias("is_x"), *rest)
+    right = long.select("whole", "g", F.explode(F.sequence(zero, F.col("at"))).alias("i"), F.col("at").alias("k"), F.lit(False).alias("is_x"), *rest)
     num, den = s.num, s.den
 
     def meet(block: pd.DataFrame) -> pd.DataFrame:
@@ -222,7 +275,30 @@ def last_links(sets: DataFrame, alive: DataFrame, s: Settings) -> list[DataFrame
         i, j = np.nonzero(linked & (xs[:, None] != ys[None, :]))
         return spanning(xs[i], ys[j])
 
-    return [pairs, stage(blocks.groupBy("v", "i", "k").applyInPandas(meet, "a long, b long"), "last-links")]
+    links = met_in_blocks(left.union(right), ["whole", "g", "i", "k"], sets, meet)
+    release(rows, groups)
+    return [pairs, links]
+
+
+def meeting_groups(long: DataFrame) -> DataFrame:
+    """whole, g, nid, n, u, k: groups of nodes that meet in k * k blocks, for the lists (v, nid, n, u, m).
+
+    A group is a list, or all nodes that lists connect (``whole``) where so fewer nodes stand in blocks.
+    """
+    blocks = lambda m: F.ceil(m / BLOCK_NODES).cast("long")
+    lists = long.groupBy("v").agg(F.first("m").alias("m"), F.min("nid").alias("lead"))
+    comps = components(long.join(lists.select("v", "lead"), "v"), "nid", "lead")
+    comps = stage(comps.withColumnRenamed("node", "nid"), "connected")
+    one_by_one = lists.join(comps.withColumnRenamed("nid", "lead"), "lead").groupBy("component").agg(
+        F.sum(F.col("m") * (blocks(F.col("m")) + 1)).alias("apart"))
+    size = comps.groupBy("component").agg(F.count(F.lit(1)).alias("c")).join(one_by_one, "component")
+    named = long.join(comps, "nid").join(size, "component")
+    together = F.col("c") * (blocks(F.col("c")) + 1) <= F.col("apart")
+    whole = named.where(together).groupBy(F.col("component").alias("g"), "nid").agg(
+        F.first("n").alias("n"), F.first("u").alias("u"), F.first("c").alias("m"))
+    parted = named.where(~together).select(F.col("v").alias("g"), "nid", "n", "u", "m")
+    both = whole.withColumn("whole", F.lit(True)).unionByName(parted.withColumn("whole", F.lit(False)))
+    return both.withColumn("k", blocks(F.col("m"))).drop("m")
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
@@ -253,7 +329,7 @@ def links_of(sets: DataFrame, alive: DataFrame, s: Settings) -> list[DataFrame]:
             break
         pivots = central(sets, alive, s)
         wide = 2 * s.num - s.den
-        near = stage(distances(sets, _prefix(sets, pivots, wide, s.den), _prefix(sets, alive, wide, s.den), wide, s.den, once=False), "near")
+        near = distances(sets, _prefix(sets, pivots, wide, s.den), _prefix(sets, alive, wide, s.den), wide, s.den, once=False)
         j = F.col("inter") / (F.col("np") + F.col("ny") - F.col("inter"))
         close = _reaches(F.col("inter"), F.col("np"), F.col("ny"), s.num, s.den)
         measured = near.select("p", "y", j.alias("j"), close.alias("close"))
@@ -262,7 +338,7 @@ def links_of(sets: DataFrame, alive: DataFrame, s: Settings) -> list[DataFrame]:
         regions = stage(plain.where("close").groupBy("y").agg(F.max(F.struct("j", "p")).alias("t")).select(
             F.col("t.p").alias("p"), F.col("y").alias("x"), F.col("t.j").alias("jx")), "regions")
         window = plain.where("NOT close").select("p", "y", F.col("j").alias("jy"))
-        found.append(stage(region_links(sets, alive, regions, window, s), "region-links"))
+        found.append(region_links(sets, alive, regions, window, s))
         settled = pivots.select("nid").union(regions.select(F.col("x")))
         last, alive = alive, stage(linkable(sets, alive.join(settled, "nid", "left_anti"), s), "alive")
         release(last, pivots, regions)
@@ -280,11 +356,14 @@ def jaccard_components(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     prepared = stage(heads(docs, s), "heads")
     nodes = stage(prepared.where("nid IS NOT NULL").groupBy("nid").agg(
         F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "th")).alias("rep"),
-        F.first("need").alias("need"), F.first("head").alias("head"),
+        F.first("need").alias("need"), F.count(F.lit(1)).alias("copies"),
     ), "nodes")
-    wanted = stage(sharing(nodes).select("nid", "rep.doc_id", "rep.th"), "wanted")
-    sets = stage(full_sets(docs, wanted, s).dropDuplicates(["nid"]), "sets")
-    links = links_of(sets, wanted.select("nid"), s)
+    wanted = stage(sharing(prepared, nodes).select("nid", "rep.doc_id", "rep.th"), "wanted")
+    rows = stage(prepared.select("doc_id", "n", "nid"), "rows")
+    release(prepared)  # the heads are used up
+    sets = whole_sets(docs, wanted, s)
+    ids = wanted.select("nid")
+    links = links_of(sets, F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, s)
     spark = docs.sparkSession
     edges = spark.createDataFrame([], "a long, b long")
     for part in links:
@@ -295,7 +374,7 @@ def jaccard_components(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     named = nodes.select("nid", "first_id").join(comps.withColumnRenamed("node", "nid"), "nid", "left")
     least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("first_id").alias("least_id"))
     named = named.join(least, "component", "left").select("nid", F.coalesce("least_id", "first_id").alias("component_id"))
-    out = prepared.select("doc_id", "n", "nid").join(named, "nid", "left")
+    out = rows.join(named, "nid", "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("nid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )

@@ -44,6 +44,35 @@ def test_components_equal_brute_force(spark, monkeypatch, levels):
     assert _found(metric_join.jaccard_components(docs_frame(spark, rows))) == _components(rows, 5, 80, 100)
 
 
+@pytest.mark.parametrize("levels", [0, 1])
+def test_sets_travel_a_part_at_a_time(spark, monkeypatch, levels):
+    """Not all heads, pairs, blocks and texts are shuffled at once, and the components stay the same."""
+    for name, value in {"LEVELS": levels, "SHORT_LIST": 4, "BLOCK_NODES": 5, "PAIRS_AT_ONCE": 1, "SHINGLES_AT_ONCE": 1, "BROADCAST_IDS": 0}.items():
+        monkeypatch.setattr(metric_join, name, value)
+    monkeypatch.setattr(neardup, "BROADCAST_IDS", 0)
+    parts, real = collections.Counter(), metric_join.stage_parts
+
+    def counted(frames, name):
+        frames = list(frames)
+        parts[name] = max(parts[name], len(frames))
+        return real(frames, name)
+
+    monkeypatch.setattr(metric_join, "stage_parts", counted)
+    rows = _borders()[60:] + [(9000, _borders()[70][1]), (None, _borders()[70][1]), (9001, None), (9002, "")]
+    assert _found(metric_join.jaccard_components(docs_frame(spark, rows))) == _components(rows, 5, 80, 100)
+    assert parts["head-counts"] > 1 and parts["sets"] > 1 and parts["near" if levels else "block-links"] > 1
+
+
+def test_nodes_of_many_lists_stand_in_few_blocks(spark, monkeypatch):
+    """40 nodes in 30 lists meet as one group, not list by list; of a list that shares one node with the next all stay apart."""
+    monkeypatch.setattr(metric_join, "BLOCK_NODES", 8)
+    long = [(v, nid, 100, 3, 40) for v in range(30) for nid in range(40)]
+    long += [(1000 + v, 5000 + 9 * v + i, 100, 3, 10) for v in range(30) for i in range(10)]
+    groups = metric_join.meeting_groups(spark.createDataFrame(long, "v long, nid long, n long, u long, m long")).collect()
+    assert sorted((r.nid, r.k) for r in groups if r.whole) == [(i, 5) for i in range(40)]
+    assert sorted((r.g, r.nid, r.k) for r in groups if not r.whole) == [(v, n, 2) for v, n, *_ in long if v >= 1000]
+
+
 def test_windows_find_links_that_pivots_do_not_show(spark, monkeypatch):
     """Families spread out to the threshold: many links run between regions."""
     rows = []
