@@ -238,6 +238,47 @@ def test_long_lists_meet_in_full(spark, monkeypatch):
     assert all(56 <= got[i]["n_covered"] <= 60 for i in range(80))
 
 
+def test_words_travel_a_part_at_a_time(spark, monkeypatch):
+    """Neither the words of all pairs and blocks nor all texts are shuffled at once, and the passages stay the same."""
+    line, rows = prose(5300, 12), [(900, None), (901, "one two")]
+    for i in range(40):
+        own = prose(5400 + i // 2, 60).split()
+        rows.append((i, f"{prose(5500 + i, 40)} {' '.join(own[:22])} {line} {' '.join(own[22:44])} {prose(5600 + i, 40)}"))
+    rows.append(rows[5])
+    docs = docs_frame(spark, rows)
+    want = collections.Counter(tuple(r) for r in chaining.summary(docs).collect())
+    for name, value in {"PAIRS_AT_ONCE": 1, "BLOCK_ROWS": 8, "MEET_ROWS": 3, "BROADCAST_ROWS": 0}.items():
+        monkeypatch.setattr(chaining, name, value)
+    parts, real = collections.Counter(), chaining.stage_parts
+
+    def counted(frames, name):
+        frames = list(frames)
+        parts[name] = max(parts[name], len(frames))
+        return real(frames, name)
+
+    monkeypatch.setattr(chaining, "stage_parts", counted)
+    assert collections.Counter(tuple(r) for r in chaining.summary(docs).collect()) == want
+    assert min(parts[name] for name in ("words", "passages", "met")) > 1
+
+
+def test_documents_of_a_long_list_meet_once(spark, monkeypatch):
+    """Odd documents meet each other and the rest once, and a document stands in one row for each share it meets."""
+    monkeypatch.setattr(chaining, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(chaining, "MEET_ROWS", 3)
+    rows = [(s, rid, rid, True, rid >= even) for s, n, even in ((1, 40, 0), (2, 40, 15), (3, 20, 19), (4, 20, 20), (5, 5, 1)) for rid in range(n)]
+    long = spark.createDataFrame(rows, "seed long, rid long, comp long, bare boolean, odd boolean")
+    blocks = chaining.long_lists(long).toPandas()
+    met = collections.Counter()
+    for (seed, _, _), block in blocks.groupby(["seed", "i", "j"]):
+        for left, right in chaining.meetings(block):
+            own = left.is_left.iat[0] and right.is_left.iat[0]
+            met.update((seed, *sorted((a, b))) for a in left.rid for b in right.rid if a < b or not own)
+    odd = {(s, rid) for s, rid, _, _, is_odd in rows if is_odd}
+    want = {(s, a, b) for s, a, *_ in rows for t, b, *_ in rows if s == t and a < b and ((s, a) in odd or (s, b) in odd)}
+    assert set(met) == want and set(met.values()) == {1}
+    assert blocks.groupby(["seed", "rid"]).size().loc[1].max() == 5
+
+
 def _line_and_words(n, seed):
     """Word arrays of texts with one line in common, else the same 150 words in another order; two share a passage too."""
     rng = np.random.default_rng(seed)
